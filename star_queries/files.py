@@ -1,0 +1,19 @@
+"""Writing of named files for queries that read files back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from zoneday.session import scratch_path
+
+
+def write_named_csv(df: DataFrame, directory: str, name: str) -> None:
+    """One CSV file of a given name, through Spark's own file system client."""
+    spark = df.sparkSession
+    part = scratch_path(spark, "part")
+    df.coalesce(1).write.option("header", "true").csv(part)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(directory).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(directory))
+    written = fs.globStatus(path(f"{part}/part-*.csv"))[0].getPath()
+    fs.rename(written, path(f"{directory}/{name}"))

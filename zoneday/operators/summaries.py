@@ -288,12 +288,13 @@ def box_stats(df: DataFrame, group: str, value: str, exact_rows: int = 2_000_000
     Up to a checked number of rows the quartiles come from one exact
     aggregate; above it from the distributed exact ranks.
     """
-    df = df.filter(F.col(value).isNotNull())
+    # read three times below, so written once; usually an aggregate of a panel
+    df = materialize(df.filter(F.col(value).isNotNull()).select(group, value), "box")
     if df.select(F.lit(1)).limit(exact_rows + 1).count() <= exact_rows:
         quart = df.groupBy(group).agg(F.percentile(value, [0.25, 0.5, 0.75]).alias("q"))
     else:
         quart = exact_quantiles(df, group, value, [0.25, 0.5, 0.75]).select(group, "q")
-    with_q = lookup(df.select(group, value), quart, group, "inner")
+    with_q = lookup(df, quart, group, "inner")
     fenced = with_q.select(
         group,
         F.col(value).alias("_v"),
