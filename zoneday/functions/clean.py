@@ -31,8 +31,8 @@ def repair_names(names: Sequence[str]) -> list[str]:
     """Syntactic, unique names: odd characters become dots, repeats get .1, .2 ..."""
     base = []
     for raw in names:
-        name = re.sub(r"[^A-Za-z0-9._]", ".", raw)
-        if not re.match(r"[A-Za-z]|\.(?![0-9])", name):
+        name = re.sub(r"[^\w.]", ".", raw)
+        if not re.match(r"[^\W\d_]|\.(?!\d)", name):
             name = "X" + name
         base.append(name)
     taken, out, count = set(base), [], {}

@@ -129,11 +129,25 @@ def dissolve(edges: DataFrame, parents: DataFrame, parent: str = "cz_id", zone:
 
 
 def interior_point(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
-    """A point inside each polygon: middle of the widest run on its mid-height line."""
-    mid = edges.groupBy(zone).agg(
-        ((F.min(F.least("y1", "y2")) + F.max(F.greatest("y1", "y2"))) / 2).alias("y")
+    """A point inside each polygon: middle of the widest run on a line across it.
+
+    The line lies at mid-height, or, where that passes between separate parts,
+    through the middle of the edge nearest to it.
+    """
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    mid = edges.groupBy(zone).agg(((F.min(low) + F.max(high)) / 2).alias("_mid"))
+    crosses = lambda y: (F.col("y1") > F.col(y)) != (F.col("y2") > F.col(y))
+    centre = (F.col("y1") + F.col("y2")) / 2
+    lines = (
+        lookup(edges.filter("y1 <> y2"), mid, zone, "inner")
+        .groupBy(zone)
+        .agg(
+            F.max(F.when(crosses("_mid"), F.col("_mid"))).alias("_at_mid"),
+            F.min_by(centre, F.struct(F.abs(centre - F.col("_mid")), centre)).alias("_near"),
+        )
+        .select(zone, F.coalesce("_at_mid", "_near").alias("y"))
     )
-    crossing = lookup(edges, mid, zone, "inner").filter((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y")))
+    crossing = lookup(edges, lines, zone, "inner").filter(crosses("y"))
     x = F.col("x1") + (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1"))
     # only the few edges that cross the line reach the window
     w = Window.partitionBy(zone).orderBy("_x")

@@ -13,7 +13,7 @@ from zoneday.functions.weather import nan_to_null
 from zoneday.operators.keys import map_claims, stack
 
 
-def _text_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
+def _text_csv(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
     """CSV with header, every column text."""
     return spark.read.options(header="true", inferSchema="false", **options).csv(path)
 
@@ -62,7 +62,8 @@ def read_employment(spark: SparkSession, directory: str, prefix: str = "allhlcn"
     """Employment sheets below a folder, all text, columns missing in some files filled with NULL.
 
     Files are grouped by their header line first, so sheets of one layout are
-    one scan however many there are.
+    one scan however many there are.  Their headers contain line breaks; a
+    sheet is one small unit, so it need not be split.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -73,11 +74,11 @@ def read_employment(spark: SparkSession, directory: str, prefix: str = "allhlcn"
     # a file list, one short line per sheet; the sheets themselves stay distributed
     by_header: dict[tuple[str, ...], list[str]] = {}
     for row in listing.collect():
-        header = tuple(_text_csv(spark, row.path).columns)
+        header = tuple(_text_csv(spark, row.path, multiLine="true").columns)
         by_header.setdefault(header, []).append(row.path)
     if not by_header:
         raise FileNotFoundError(f"no {prefix}*.csv below {directory}")
-    frames = [clean.normalize_columns(_text_csv(spark, files)) for files in by_header.values()]
+    frames = [clean.normalize_columns(_text_csv(spark, files, multiLine="true")) for files in by_header.values()]
     return stack(frames)
 
 
