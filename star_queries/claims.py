@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from zoneday.functions import clean, report
 from zoneday.functions.weather import rate_per
 from zoneday.operators import dense, keys, rollup, summaries
 from zoneday.plans import claims as plans
-from zoneday.session import scratch_path
+from zoneday.session import materialize, scratch_path
 from zoneday.sources import sinks, tables
 
 INCLUDE, EXCLUDE = ("hot", "red"), ("bolt", "rod")
@@ -38,8 +40,8 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return tables.clean_claims(raw_claims(spark, sf))
 
 
-def mapped(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.clean_claims(raw_claims(spark, sf), geo(spark, sf))
+def mapped(spark: SparkSession, sf: str, table: DataFrame | None = None) -> DataFrame:
+    return tables.clean_claims(raw_claims(spark, sf), geo(spark, sf) if table is None else table)
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
@@ -61,7 +63,9 @@ def zone_employment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rates(spark: SparkSession, sf: str) -> DataFrame:
-    return plans.rate_panel(mapped(spark, sf), zone_employment(spark, sf))
+    # the crosswalk serves the claims and the employment, each with its size check
+    g = materialize(geo(spark, sf), "geo")
+    return plans.rate_panel(mapped(spark, sf, g), rollup.employment_by_zone(sheets(spark, sf), g))
 
 
 def coded(spark: SparkSession, sf: str) -> DataFrame:
@@ -483,8 +487,6 @@ _KEPT = "year(bill_date) not in (2020, 2021)"
     ),
 )
 def heat_table(spark, sf):
-    from zoneday.session import materialize
-
     return summaries.heat_table(materialize(heat_daily(spark, sf), "heat-daily"))
 
 
@@ -499,8 +501,6 @@ def heat_table(spark, sf):
     ),
 )
 def monthly_rate(spark, sf):
-    from datetime import date
-
     out = summaries.monthly_rate(rates(spark, sf), 1996, date(2001, 2, 1))
     return out.withColumn("avg_claims_per_100k", r("avg_claims_per_100k"))
 
@@ -543,8 +543,6 @@ def box_stats(spark, sf):
     ),
 )
 def box_outliers(spark, sf):
-    from zoneday.session import materialize
-
     rows = materialize(summaries.seasonal_rates(rates(spark, sf)), "seasonal")
     stats = summaries.box_stats(rows, "month", "avg_daily")
     return summaries.box_outliers(rows, stats, "month", "avg_daily").select("cz_id", "year", "month", r("avg_daily"))

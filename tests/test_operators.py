@@ -205,12 +205,13 @@ def test_exact_quantiles_match_numpy_on_skewed_groups(spark):
     data += [("ties", 5.0)] * 900 + [("ties", 6.0)] * 101 + [("one", 3.0)] + [("two", 1.0), ("two", 2.0), ("none", None)]
     df = spark.createDataFrame(data, "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {r.g: (r.total, r.q) for r in summaries.exact_quantiles(df, "g", "v", probs, bins=16).collect()}
-    for g in ("hot", "ties", "one", "two"):
-        values = [v for k, v in data if k == g]
-        assert got[g][0] == len(values)
-        assert got[g][1] == pytest.approx(list(np.quantile(values, probs)))
-    assert "none" not in got
+    for margin in (0.002, 0.2):
+        got = {r.g: (r.total, r.q) for r in summaries.exact_quantiles(df, "g", "v", probs, margin).collect()}
+        for g in ("hot", "ties", "one", "two"):
+            values = [v for k, v in data if k == g]
+            assert got[g][0] == len(values)
+            assert got[g][1] == pytest.approx(list(np.quantile(values, probs)))
+        assert "none" not in got
 
 
 def test_box_stats_both_ways(spark, rows):

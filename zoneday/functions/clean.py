@@ -106,7 +106,7 @@ def parse_month_year(c: Column | str) -> Column:
 def parse_amount(c: Column | str) -> Column:
     """Money or thousands text to double; anything unreadable, or NaN, is NULL."""
     number = F.regexp_replace(_col(c), "[$,]", "").try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.nullif(number, F.lit(float("nan")))
 
 
 def blank_to(c: Column | str, value: str) -> Column:

@@ -16,6 +16,11 @@ from zoneday.operators.rollup import weighted_mean
 from zoneday.session import lookup
 
 
+# Weights are four narrow fields, about 80 bytes in a hash table, so this bound
+# keeps a broadcast near 400 MB: enough for a state at 800 m.
+WEIGHTS_MAX_ROWS = 5_000_000
+
+
 @dataclass(frozen=True)
 class GridSpec:
     """Regular grid: left and top edge, cell size, shape; row 0 is the top row."""
@@ -122,8 +127,9 @@ def zonal_mean(grid: DataFrame, weights: DataFrame, zone: str = "zone_id") -> Da
 
     The weights go to the scanlines, each picks its own cells, and the partial
     sums of a map task leave one row per zone and day before any shuffle.
+    Beyond the checked bound the scanlines are shuffled by row instead.
     """
-    cells = lookup(grid.select("var", "date", "row", "values"), weights, "row", "inner")
+    cells = lookup(grid.select("var", "date", "row", "values"), weights, "row", "inner", WEIGHTS_MAX_ROWS)
     v = F.get("values", F.col("col")).cast("double")
     return (
         cells.select(zone, "var", "date", "cov", v.alias("_v"))
@@ -135,7 +141,7 @@ def zonal_mean(grid: DataFrame, weights: DataFrame, zone: str = "zone_id") -> Da
 def zonal_mean_cells(cells: DataFrame, weights: DataFrame, zone: str = "zone_id") -> DataFrame:
     """The same over one row per cell, ``(var, date, row, col, value)``."""
     return (
-        lookup(cells, weights, ["row", "col"], "inner")
+        lookup(cells, weights, ["row", "col"], "inner", WEIGHTS_MAX_ROWS)
         .groupBy(zone, "var", "date")
         .agg(weighted_mean("value", "cov").alias("value"))
     )

@@ -39,10 +39,8 @@ def employment_by_zone(
         raise ValueError("county_source='crosswalk' needs the crosswalk table")
     counties = distinct_pairs(source, ["fips", "cz_id"]).filter(F.col("cz_id").isNotNull())
     average = employment.select("fips", "year", "qtr", quarter_average("qtr", months).alias("avg_emp"))
-    # counties come first as partial sums, so the lookup meets few rows
-    by_county = average.groupBy("fips", "year", "qtr").agg(F.sum("avg_emp").alias("avg_emp"))
     return (
-        lookup(by_county, counties, "fips", "inner")
+        lookup(average, counties, "fips", "inner")
         .groupBy("cz_id", "year", "qtr")
         .agg(F.coalesce(F.sum("avg_emp"), F.lit(0.0)).alias("emp_cz"))
     )

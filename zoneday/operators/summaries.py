@@ -222,15 +222,18 @@ def seasonal_rates(
 
 
 def exact_quantiles(
-    df: DataFrame, group: str, value: str, probs: Sequence[float], bins: int = 64
+    df: DataFrame, group: str, value: str, probs: Sequence[float], margin: float = 0.002
 ) -> DataFrame:
     """Exact interpolated quantiles of groups too large for one task.
 
-    Equal values are counted first.  Approximate quantiles then cut every
-    group into ranges; counts per range tell which ones hold the wanted ranks,
-    and only those rows are ranked, one range at a time.  Returns
-    ``(group, total, q array<double>)`` in the order of ``probs``.
+    Equal values are counted first.  Approximate quantiles just below and above
+    each wanted one cut every group into ranges; counts per range tell which
+    ones hold the wanted ranks, normally the narrow ones, and only those rows
+    are ranked, one range at a time.  The counts make the result exact however
+    good the cuts are.  Returns ``(group, total, q array<double>)`` in the
+    order of ``probs``.
     """
+    cut_at = sorted({min(max(p + side * margin, 0.0), 1.0) for p in probs for side in (-1, 1)})
     counts = materialize(
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
@@ -238,13 +241,13 @@ def exact_quantiles(
         "value-counts",
     )
     cuts = counts.groupBy("_g").agg(
-        F.percentile_approx("_v", [i / bins for i in range(1, bins)], 10_000).alias("_cuts"),
+        F.percentile_approx("_v", cut_at, 10_000).alias("_cuts"),
         F.sum("_n").alias("_total"),
     )
     binned = lookup(counts, cuts.select("_g", "_cuts"), "_g", "inner").select(
         "_g", "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_bin")
     )
-    # at most `bins` rows per group from here on
+    # a handful of rows per group from here on
     per_bin = binned.groupBy("_g", "_bin").agg(F.sum("_n").alias("_in"))
     before = Window.partitionBy("_g").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     per_bin = per_bin.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))

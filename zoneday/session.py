@@ -29,7 +29,12 @@ def build_session(app: str = "zoneday", master: str | None = None, **extra: str)
         builder = builder.master(master)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not master and "spark__sql__shuffle__partitions" not in extra:
+        # start from plenty of shuffle partitions; adaptive execution merges small ones
+        wanted = max(200, 3 * spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return spark
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -69,9 +69,9 @@ def read_grid_header(spark: SparkSession, path: str) -> GridSpec:
 def _floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Little-endian float32 bytes to float lists, a whole Arrow batch at a time."""
     for batch in batches:
-        raw = batch.column("bytes").cast(pa.large_binary())
-        flat = np.frombuffer(b"".join(raw.to_pylist()), dtype="<f4")
-        offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in raw.to_pylist()])]).astype("int32")
+        raw = batch.column("bytes").to_pylist()
+        flat = np.frombuffer(b"".join(raw), dtype="<f4")
+        offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in raw])]).astype("int32")
         values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.float32()))
         yield pa.RecordBatch.from_arrays(
             [batch.column("var"), batch.column("date"), batch.column("row"), values],

@@ -35,6 +35,13 @@ def write_csv(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "o
     out.write.mode(mode).option("header", "true").csv(path)
 
 
+def write_scanlines(grid: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Scanline table by variable and year, ordered by row: row statistics then skip what a window leaves out."""
+    keys = ["var", "year", "row", "date"]
+    dated = grid.withColumn("year", F.year("date"))
+    sorted_for_write(dated, keys).write.mode(mode).partitionBy("var", "year").parquet(path)
+
+
 def _paths(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")

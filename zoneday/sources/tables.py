@@ -152,15 +152,25 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
 
 
 def clean_claims(raw: DataFrame, geo: DataFrame | None = None) -> DataFrame:
-    """Typed claims with an age in the kept band, mapped to a zone where ``geo`` is given."""
-    typed = raw.withColumns(
-        {
-            "zip": clean.zip5("zip"),
-            "bill_date": clean.parse_mdy("bill_date"),
-            "dob": clean.parse_month_year("dob_my"),
-            "charge": clean.parse_amount("charge"),
-        }
+    """Typed claims with an age in the kept band, mapped to a zone where ``geo`` is given.
+
+    The parsed fields pass through ``inline`` so that the optimizer does not
+    copy the parsing into the age filter: every field is parsed once per row.
+    """
+    parsed = F.struct(
+        clean.parse_mdy("bill_date").alias("bill_date"), clean.parse_month_year("dob_my").alias("dob")
+    )
+    rest = [c for c in raw.columns if c != "bill_date"]
+    aged = (
+        raw.select(*rest, F.inline(F.array(parsed)))
+        .withColumn("age", clean.age_years("bill_date", "dob"))
+        .filter(clean.age_kept("age"))
+        .withColumns(
+            {
+                "zip": clean.zip5("zip"),
+                "charge": clean.parse_amount("charge"),
+                "gender": clean.blank_to("gender", "U"),
+            }
+        )
     )
-    aged = typed.withColumn("age", clean.age_years("bill_date", "dob")).filter(clean.age_kept("age"))
-    aged = aged.withColumn("gender", clean.blank_to("gender", "U"))
     return aged if geo is None else map_claims(aged, geo)
