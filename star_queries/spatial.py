@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from star_queries.registry import r, register, sql, table, view
 from zoneday.functions.geodesy import PARAMETERS as P
 from zoneday.operators import geometry, keys, raster
-from zoneday.session import scratch_path
+from zoneday.session import materialize, scratch_path
 from zoneday.sources import polygons, rasters
 
 GRID = raster.GridSpec(x0=0.0, y0=10.0, dx=1.0, dy=1.0, nrows=10, ncols=10)
@@ -77,8 +77,8 @@ _ZONAL = """select zone_id, var, date, round(sum(cov*value)/sum(cov),6) as value
 
 @register("zonal_mean", sql(_ZONAL.replace("cov*value", "cov*cast(cast(value as float) as double)"), "grid", "cover"))
 def zonal_mean(spark, sf):
-    """Whole scanlines with precomputed weights."""
-    weights = raster.coverage_weights(box_edges(spark, sf, "rect_polygons"), 10, 10)
+    """Whole scanlines with weights computed once and kept."""
+    weights = materialize(raster.coverage_weights(box_edges(spark, sf, "rect_polygons"), 10, 10), "weights")
     out = raster.zonal_mean(scanlines(spark, sf), weights)
     # a day all of whose cells are missing in a zone is NULL here and absent from the cell join
     return out.filter(F.col("value").isNotNull()).withColumn("value", r("value"))
@@ -86,7 +86,7 @@ def zonal_mean(spark, sf):
 
 @register("zonal_mean_cells", sql(_ZONAL, "grid", "cover"))
 def zonal_mean_cells(spark, sf):
-    weights = raster.coverage_weights(box_edges(spark, sf, "rect_polygons"), 10, 10)
+    weights = materialize(raster.coverage_weights(box_edges(spark, sf, "rect_polygons"), 10, 10), "weights")
     return raster.zonal_mean_cells(view(spark, sf, "grid"), weights).withColumn("value", r("value"))
 
 

@@ -200,3 +200,43 @@ def test_extract_sink_resumes(spark, tmp_path, rows):
     assert [(str(p), v) for p, v in rows(back, "period")] == [("2019", 1.0), ("2020", 2.0)]
     jobs = spark.createDataFrame([("tmax", "2020"), ("tmax", "2021")], "var string, period string")
     assert rows(sinks.pending_extracts(jobs, path)) == [("tmax", "2021")]
+
+
+def test_extraction_from_files_to_periods(spark, tmp_path, rows):
+    from zoneday.plans.extraction import extract_zones, layer_weights
+
+    grid = raster.GridSpec(x0=-100.0, y0=31.0, dx=0.25, dy=0.25, nrows=4, ncols=4)
+    bbox = (-99.75, 30.25, -99.0, 31.0)  # the right three columns of the upper three rows
+    base = np.arange(16, dtype="f4").reshape(4, 4)
+    base[1, 2] = -9999
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    for day in ("20191231", "20200101", "20200102"):
+        grid_file(src, f"grid_tmax_us_25m_{day}.bil", base + (0 if day[:4] == "2019" else 100) * (base != -9999))
+    grid_file(src, "grid_tmax_us_25m_20200103.bil", base[:2])
+    ring = [(-99.625, 30.5), (-99.25, 30.5), (-99.25, 30.75), (-99.625, 30.75)]
+    from zoneday.operators import geometry
+
+    edges = geometry.ring_edges(
+        spark.createDataFrame([("z", 0, 0, [{"x": x, "y": y} for x, y in [*ring, ring[0]]])], f"zone_id string, part int, ring int, pts array<{geometry.POINT}>")
+    )
+    weights = layer_weights(edges, grid, bbox)
+    # half of cell (1, 1) and all of cell (1, 2), whose value is missing
+    assert rows(weights, "col") == [("z", 1, 0, 0.5), ("z", 1, 1, 1.0)]
+    run = lambda last: extract_zones(spark, str(src), ["tmax"], date(2019, 1, 1), last, grid, weights, out, bbox)
+    assert run(date(2019, 12, 31)).count() == 1
+    assert rows(run(date(2020, 12, 31)).select("date"), "date") == [(date(2020, 1, 1),), (date(2020, 1, 2),)]
+    assert run(date(2020, 12, 31)).isEmpty()
+    back = spark.read.parquet(out).select("zone_id", "date", "value")
+    assert rows(back, "date") == [("z", date(2019, 12, 31), 5.0), ("z", date(2020, 1, 1), 105.0), ("z", date(2020, 1, 2), 105.0)]
+
+
+def test_scanline_table_layout(spark, tmp_path):
+    lines = spark.createDataFrame(
+        [("tmax", date(y, 1, d), r, [1.0]) for y in (2020, 2021) for d in (1, 2) for r in (1, 0)],
+        "var string, date date, row int, values array<float>",
+    )
+    sinks.write_scanlines(lines, str(tmp_path / "grid"))
+    back = spark.read.parquet(str(tmp_path / "grid"))
+    assert back.count() == 8
+    plan = back.filter("row between 0 and 0 and year = 2020")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(row,0)" in plan and "year" in plan.split("PartitionFilters")[1]

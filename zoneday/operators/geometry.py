@@ -139,7 +139,7 @@ def interior_point(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
     crosses = lambda y: (F.col("y1") > F.col(y)) != (F.col("y2") > F.col(y))
     centre = (F.col("y1") + F.col("y2")) / 2
     lines = (
-        lookup(edges.filter("y1 <> y2"), mid, zone, "inner")
+        lookup(edges.filter("y1 <> y2"), mid, zone, "inner", derived=True)
         .groupBy(zone)
         .agg(
             F.max(F.when(crosses("_mid"), F.col("_mid"))).alias("_at_mid"),
@@ -147,7 +147,7 @@ def interior_point(edges: DataFrame, zone: str = "zone_id") -> DataFrame:
         )
         .select(zone, F.coalesce("_at_mid", "_near").alias("y"))
     )
-    crossing = lookup(edges, lines, zone, "inner").filter(crosses("y"))
+    crossing = lookup(edges, lines, zone, "inner", derived=True).filter(crosses("y"))
     x = F.col("x1") + (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1"))
     # only the few edges that cross the line reach the window
     w = Window.partitionBy(zone).orderBy("_x")
@@ -179,7 +179,7 @@ def points_in_polygons(
     """
     boxes = bounding_boxes(edges, zone).select(zone, "xmin")
     listed = (
-        lookup(edges.filter("y1 <> y2"), boxes, zone, "inner")
+        lookup(edges.filter("y1 <> y2"), boxes, zone, "inner", derived=True)
         .withColumn(
             "cy",
             F.explode(F.sequence(_cell(F.least("y1", "y2"), size), _cell(F.greatest("y1", "y2"), size))),
@@ -201,7 +201,7 @@ def points_in_polygons(
         < (F.col("x2") - F.col("x1")) * (F.col("_py") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
     )
     return (
-        lookup(placed, listed, ["cx", "cy"], "inner")
+        lookup(placed, listed, ["cx", "cy"], "inner", derived=True)
         .filter(crosses)
         .groupBy(point, zone)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -227,7 +227,7 @@ def candidate_pairs(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
         F.col("cy") == _cell(F.greatest("a_ymin", "b_ymin"), size)
     )
     return (
-        lookup(left, right, ["cx", "cy"], "inner")
+        lookup(left, right, ["cx", "cy"], "inner", derived=True)
         .filter((lap("x") > 0) & (lap("y") > 0) & corner)
         .select(
             F.col("a_zone_id").alias("zone_id"),
@@ -255,13 +255,13 @@ def overlap_area(zones: DataFrame, parents: DataFrame, size: float) -> DataFrame
             "band", F.explode(F.sequence(_cell(lo, size), _cell(hi, size)))
         )
 
-    left = banded(lookup(zones, pairs, "zone_id", "inner").filter(
+    left = banded(lookup(zones, pairs, "zone_id", "inner", derived=True).filter(
         (F.least("x1", "x2") < F.col("hi")) & (F.greatest("x1", "x2") > F.col("lo"))
     ))
     right = banded(parents).select(
         F.col("zone_id").alias("parent_id"), "band", *[F.col(c).alias(f"p_{c}") for c in ("x1", "y1", "x2", "y2")]
     )
-    both = lookup(left, right, ["parent_id", "band"], "inner")
+    both = lookup(left, right, ["parent_id", "band"], "inner", derived=True)
     l = F.greatest(F.least("x1", "x2"), F.least("p_x1", "p_x2"), F.col("band") * size)
     r = F.least(F.greatest("x1", "x2"), F.greatest("p_x1", "p_x2"), (F.col("band") + 1) * size)
     met = both.withColumns({"_l": l.cast("double"), "_r": r.cast("double")}).filter("_r > _l")

@@ -244,6 +244,7 @@ def exact_quantiles(
         F.percentile_approx("_v", cut_at, 10_000).alias("_cuts"),
         F.sum("_n").alias("_total"),
     )
+    cuts = materialize(cuts, "cuts")
     binned = lookup(counts, cuts.select("_g", "_cuts"), "_g", "inner").select(
         "_g", "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_bin")
     )
@@ -266,7 +267,8 @@ def exact_quantiles(
         ),
     )
     in_bin = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_in"))
-    targets = ranks.join(per_bin, "_g").filter(in_bin).distinct()
+    # two ranks per probability and group
+    targets = materialize(ranks.join(per_bin, "_g").filter(in_bin).distinct(), "targets")
     needed = targets.select("_g", "_bin", "_before").distinct()
     upto = Window.partitionBy("_g", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = lookup(binned, needed, ["_g", "_bin"], "inner").withColumn(
@@ -297,7 +299,7 @@ def box_stats(df: DataFrame, group: str, value: str, exact_rows: int = 2_000_000
         quart = df.groupBy(group).agg(F.percentile(value, [0.25, 0.5, 0.75]).alias("q"))
     else:
         quart = exact_quantiles(df, group, value, [0.25, 0.5, 0.75]).select(group, "q")
-    with_q = lookup(df, quart, group, "inner")
+    with_q = lookup(df, quart, group, "inner", derived=True)
     fenced = with_q.select(
         group,
         F.col(value).alias("_v"),

@@ -28,5 +28,5 @@ def count_panel(mapped_claims: DataFrame) -> DataFrame:
 
 def rate_panel(mapped_claims: DataFrame, employment: DataFrame) -> DataFrame:
     """Counts with quarterly employment ``(cz_id, year, qtr, emp_cz)`` and claims per 100,000 workers."""
-    panel = lookup(count_panel(mapped_claims), employment, ["cz_id", "year", "qtr"], "left")
+    panel = lookup(count_panel(mapped_claims), employment, ["cz_id", "year", "qtr"], "left", derived=True)
     return panel.withColumn("claims_per_100k", rate_per("n_claims", "emp_cz"))

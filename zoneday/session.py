@@ -75,6 +75,7 @@ def lookup(
     on: str | list[str],
     how: str = "left",
     max_rows: int = BROADCAST_MAX_ROWS,
+    derived: bool = False,
 ) -> DataFrame:
     """Join a lookup table to facts that may be arbitrarily large and skewed.
 
@@ -82,7 +83,13 @@ def lookup(
     Beyond it the join is an ordinary shuffle join: adaptive execution splits
     the fact side of an oversized key, so one hot key still spreads over many
     tasks and no row is lost.
+
+    ``derived`` says that the table is itself the result of real work: it is
+    then written once, instead of being computed for the check and again for
+    the join.
     """
+    if derived:
+        table = materialize(table, "lookup")
     if fits_broadcast(table, max_rows):
         table = F.broadcast(table)
     return facts.join(table, on, how)

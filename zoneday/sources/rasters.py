@@ -41,11 +41,11 @@ def raster_catalog(
     )
 
 
-def read_raster_bytes(spark: SparkSession, directory: str, variables: Sequence[str], glob: str = "*.bil") -> DataFrame:
-    """(var, date, content) of raw grids."""
-    files = (
-        spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter=glob).load(directory)
-    )
+def read_raster_bytes(
+    spark: SparkSession, paths: str | list[str], variables: Sequence[str], glob: str = "*.bil"
+) -> DataFrame:
+    """(var, date, content) of raw grids below folders, or of a list of files."""
+    files = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter=glob).load(paths)
     var, day = name_parts(F.col("path"), variables)
     return files.select(var.alias("var"), day.alias("date"), "content").filter("var <> '' and date is not null")
 
