@@ -59,6 +59,13 @@ def missing_blocks(spark, sf):
     return dense.missing_blocks(missing(spark, sf))
 
 
+@register("gap_blocks", sql("select var, min_date, max_date from blocks", "blocks"))
+def gap_blocks(spark, sf):
+    c = materialize(catalog(spark, sf), "catalog")
+    first, last = dense.bounds(c, "date")
+    return dense.gap_blocks(c, c.select("var"), first, last)
+
+
 @register(
     "year_chunks",
     sql(

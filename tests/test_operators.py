@@ -114,6 +114,8 @@ def test_missing_blocks_and_year_chunks(spark, rows):
         ("w", date(2020, 12, 27), date(2020, 12, 28)),
         ("w", date(2020, 12, 30), date(2021, 1, 5)),
     ]
+    direct = dense.gap_blocks(cat, names, date(2020, 12, 27), date(2021, 1, 5))
+    assert rows(direct, "var", "min_date") == rows(blocks, "var", "min_date")
     chunks = rows(dense.year_chunks(blocks).filter("var = 'w'"), "start_date")
     assert chunks == [
         ("w", 2020, date(2020, 12, 27), date(2020, 12, 28)),

@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from zoneday.session import lookup
+
 Bound = date | Column
 
 
@@ -24,8 +26,22 @@ def bounds(df: DataFrame, day: str) -> tuple[Column, Column]:
 
 
 def skeleton(zones: DataFrame, start: Bound, end: Bound, day: str = "date") -> DataFrame:
-    """Every zone on every day.  Grown from the zone rows; nothing is shuffled."""
-    return zones.withColumn(day, F.explode(F.sequence(_day(start), _day(end))))
+    """Every zone on every day of [start, end]; the bounds may be columns of ``zones``.
+
+    Grown from the zone rows, so there is no cross join.  A zone list is so
+    small that it would sit in one partition and one task would write out the
+    whole skeleton; zone-months are therefore spread first and become days
+    after that.
+    """
+    first, last = _day(start), _day(end)
+    months = zones.withColumn(
+        "_month", F.explode(F.sequence(F.trunc(first, "MM"), last, F.expr("interval 1 month")))
+    )
+    tasks = int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = months.repartition(tasks, *zones.columns, "_month")
+    # no bound is NULL where a month exists, so greatest/least are safe
+    days = F.sequence(F.greatest(first, F.col("_month")), F.least(last, F.last_day("_month")))
+    return spread.withColumn(day, F.explode(days)).drop("_month")
 
 
 def densify(
@@ -52,18 +68,14 @@ def densify_eras(
     matched by zone and day, and by era too where they carry one.
     """
     keys = [zone, day] + (["era"] if "era" in facts.columns else [])
-    grid = (
-        zones.select("era", zone)
-        .distinct()
-        .join(eras.select("era", "start_date", "end_date"), "era")
-        .select("era", zone, F.explode(F.sequence("start_date", "end_date")).alias(day))
-    )
+    spans = zones.select("era", zone).distinct().join(eras.select("era", "start_date", "end_date"), "era")
+    grid = skeleton(spans, F.col("start_date"), F.col("end_date"), day).select("era", zone, day)
     return grid.join(facts, keys, "left")
 
 
 def wanted_dates(variables: DataFrame, start: Bound, end: Bound) -> DataFrame:
     """All (var, date) that should exist.  ``variables(var)``."""
-    return variables.select("var", F.explode(F.sequence(_day(start), _day(end))).alias("date"))
+    return skeleton(variables.select("var"), start, end)
 
 
 def variable_table(spark: SparkSession, variables: Sequence[str]) -> DataFrame:
@@ -105,6 +117,26 @@ def missing_blocks(missing: DataFrame) -> DataFrame:
     )
 
 
+def gap_blocks(catalog: DataFrame, variables: DataFrame, start: Bound, end: Bound) -> DataFrame:
+    """The blocks of ``missing_blocks`` straight from the days present.
+
+    A block lies between two neighbouring present days, or between one and the
+    ends of the window, so no calendar is written out and nothing is
+    anti-joined: the work follows the catalog, not the window.
+    """
+    first, last = _day(start), _day(end)
+    present = catalog.filter(F.col("date").between(first, last)).select("var", "date").distinct()
+    ends = F.array(F.date_sub(first, 1), F.date_add(last, 1))
+    names = variables.select("var").distinct()
+    marks = lookup(present, names, "var", "left_semi").unionByName(names.select("var", F.explode(ends).alias("date")))
+    before = F.lag("date").over(Window.partitionBy("var").orderBy("date"))
+    return (
+        marks.withColumn("_before", before)
+        .filter(F.datediff("date", "_before") > 1)
+        .select("var", F.date_add("_before", 1).alias("min_date"), F.date_sub("date", 1).alias("max_date"))
+    )
+
+
 def year_chunks(blocks: DataFrame) -> DataFrame:
     """Cut each block at calendar-year ends."""
     years = blocks.withColumn("_y", F.explode(F.sequence(F.year("min_date"), F.year("max_date"))))

@@ -91,7 +91,8 @@ def top_codes(df: DataFrame, k: int = 10, column: str = "icd1", drop_blank_first
     """
     counts = df.groupBy(F.col(column).alias("code")).agg(F.count(F.lit(1)).alias("n"))
     given = F.col("code").isNotNull() & (F.col("code") != "")
-    total = counts.filter(given).agg(F.sum("n").alias("total")).scalar()
+    # a conditional sum, not a filter: both uses then share one count per code
+    total = counts.agg(F.sum(F.when(given, F.col("n"))).alias("total")).scalar()
     if drop_blank_first:
         counts = counts.filter(given)
     top = counts.orderBy(F.col("n").desc(), F.col("code").asc_nulls_last()).limit(k)

@@ -15,9 +15,17 @@ from zoneday.functions.dates import add_calendar, stability
 from zoneday.functions.weather import add_humidity, clamp, heat_index, k_to_c, null_outliers
 from zoneday.operators import checks
 from zoneday.operators.dense import densify, densify_eras
-from zoneday.operators.geometry import dissolve, polygon_metrics
+from zoneday.operators.geometry import (
+    assign_largest_overlap,
+    dissolve,
+    interior_point,
+    points_in_polygons,
+    polygon_metrics,
+    project_edges,
+)
 from zoneday.operators.keys import attach, join_pairs, stack
 from zoneday.operators.rollup import merge_variables, weighted_rollup
+from zoneday.session import lookup
 
 CALENDAR = ("year", "month", "day", "doy", "week", "quarter")
 META = ("cz_id", "cz_name", "area_km2", "centroid_lon", "centroid_lat", "geo_vintage")
@@ -114,6 +122,31 @@ def zone_metadata(county_edges: DataFrame, county_meta: DataFrame, vintage: str)
     return attach(metrics, names, "cz_id").withColumn("geo_vintage", F.lit(vintage))
 
 
+def postal_metadata(
+    edges: DataFrame,
+    county_edges: DataFrame,
+    county_meta: DataFrame,
+    era: str,
+    point_bucket: float = 0.25,
+    overlap_bucket: float = 25_000.0,
+) -> DataFrame:
+    """One era's postal areas of the state: metrics plus the county and zone they mostly lie in.
+
+    An area belongs to the state when its interior point lies in one of the
+    counties; its county is the one sharing most area, measured in the
+    equal-area plane.  Buckets are in degrees and metres.
+    """
+    points = interior_point(edges).withColumnRenamed("zone_id", "point_id")
+    county_of = county_edges.withColumnRenamed("zone_id", "county")
+    inside = points_in_polygons(points, county_of, point_bucket, zone="county").select(F.col("point_id").alias("zone_id"))
+    kept = lookup(edges, inside.distinct(), "zone_id", "left_semi", derived=True)
+    best = assign_largest_overlap(project_edges(kept), project_edges(county_edges), overlap_bucket)
+    out = polygon_metrics(kept).withColumn("era", F.lit(era))
+    out = lookup(out, best.select("zone_id", F.col("parent_id").alias("county_fips")), "zone_id", derived=True)
+    names = county_meta.select(F.col("fips").alias("county_fips"), "county_name", "cz_id", "cz_name")
+    return attach(out, names, "county_fips")
+
+
 # ---- gates ---------------------------------------------------------------
 
 

@@ -119,7 +119,12 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_extracts(
-    spark: SparkSession, directory: str, variables: Sequence[str], key: str, period: str = r"\d{4}"
+    spark: SparkSession,
+    directory: str,
+    variables: Sequence[str],
+    key: str,
+    period: str = r"\d{4}",
+    with_period: bool = False,
 ) -> DataFrame:
     """Periodic extracts ``{var}_{period}.csv`` as one long table (key, date, var, value).
 
@@ -141,6 +146,7 @@ def read_extracts(
         F.col("date").try_cast("date").alias("date"),
         F.regexp_extract(file, pattern, 1).alias("var"),
         nan_to_null(F.col("value").try_cast("double")).alias("value"),
+        *([F.regexp_extract(file, pattern, 2).alias("period")] if with_period else []),
     )
 
 
