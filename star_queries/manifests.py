@@ -106,6 +106,16 @@ def inventory(spark, sf):
     return manifest.inventory(catalog(spark, sf), date(1995, 1, 1), date(2001, 12, 31))
 
 
+@register(
+    "period_inventory",
+    """select 'v' || l_suppkey as var, count(distinct strftime(l_shipdate, '%Y%m')) as n_periods, 84 as expected,
+       round(count(distinct strftime(l_shipdate, '%Y%m'))*100.0/84, 1) as pct from lineitem group by 1""",
+)
+def period_inventory(spark, sf):
+    done = catalog(spark, sf).select("var", F.date_format("date", "yyyyMM").alias("period"))
+    return manifest.period_inventory(done, 84)
+
+
 @register("valid_files", sql("select var, date, length from catalog where length >= 2", "catalog"))
 def valid_files(spark, sf):
     return manifest.valid_files(catalog(spark, sf), min_bytes=2)

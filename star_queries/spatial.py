@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,15 +49,8 @@ def scanlines(spark: SparkSession, sf: str) -> DataFrame:
 # ---- rasters -------------------------------------------------------------
 
 
-@register("coverage_weights", sql("select zone_id, row, col, round(cov,9) as cov from cover", "cover"))
-def coverage_weights(spark, sf):
-    """Nation rectangles on the 10 x 10 grid against their closed-form coverage."""
-    cov = raster.coverage_weights(box_edges(spark, sf, "rect_polygons"), 10, 10)
-    return cov.withColumn("cov", r("cov", 9))
-
-
 @register(
-    "coverage_weights_many",
+    "coverage_weights",
     sql(
         """select zone_id, cast(r as int) as row, cast(c as int) as col,
              round((least(x1,c+1)-greatest(x0,c)) * (least(y1,r+1)-greatest(y0,r)),9) as cov
@@ -66,12 +60,26 @@ def coverage_weights(spark, sf):
         "boxes_a",
     ),
 )
-def coverage_weights_many(spark, sf):
-    """One rectangle per supplier on a grid that holds them all."""
+def coverage_weights(spark, sf):
+    """One rectangle per supplier, off the grid lines, against the closed form."""
     cov = raster.coverage_weights(box_edges(spark, sf, "boxes_a"), 40, 60)
     return cov.withColumn("cov", r("cov", 9))
 
 
+_QUAD_AREA = "((bx-ax)*(cy-ay)-(cx-ax)*(by_-ay))/2 + ((cx-ax)*(dy-ay)-(dx-ax)*(cy-ay))/2"
+
+
+@register(
+    "coverage_area",
+    sql(f"select zone_id, round({_QUAD_AREA}, 8) as area from quads", "quads"),
+)
+def coverage_area(spark, sf):
+    """Irregular quadrilaterals on a map grid: covered cells add up to the polygon's own area."""
+    grid = raster.GridSpec(x0=-107.0, y0=37.0, dx=0.05, dy=0.04, nrows=300, ncols=300)
+    cov = raster.coverage_weights(raster.to_grid(quad_edges(spark, sf), grid), grid.nrows, grid.ncols)
+    return cov.groupBy("zone_id").agg(r(F.sum("cov") * grid.dx * grid.dy, 8).alias("area"))
+
+
 _ZONAL = """select zone_id, var, date, round(sum(cov*value)/sum(cov),6) as value from grid join cover using (row, col) group by 1,2,3"""
 
 
@@ -106,27 +114,26 @@ def clip_grid(spark, sf):
     return _cells(raster.clip_grid(scanlines(spark, sf), *window))
 
 
-def _pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Cell lists to raw little-endian grids, the layout of the source files."""
-    import numpy as np
-
-    for pdf in frames:
-        out = []
-        for cells in pdf["cells"]:
-            block = np.full((10, 10), -9999, dtype="<f4")
-            for c in cells:
-                block[c["row"], c["col"]] = c["value"]
-            out.append(block.tobytes())
-        yield pd.DataFrame({"var": pdf["var"], "date": pdf["date"], "content": out})
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Value lists to raw little-endian float grids, the layout of the source files."""
+    for batch in batches:
+        lists = batch.column("values")
+        flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<f4")
+        ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+        content = pa.array([part.tobytes() for part in np.split(flat, ends[:-1])], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("var"), batch.column("date"), content], names=["var", "date", "content"])
 
 
 @register("bil_decode", sql(_CLIPPED, "grid"))
 def bil_decode(spark, sf):
     """Raw float grids made from the line items, one per flag and day, cropped and decoded."""
     cells = view(spark, sf, "grid")
-    # 100 cells per grid at most
-    days = cells.groupBy("var", "date").agg(F.collect_list(F.struct("row", "col", "value")).alias("cells"))
-    files = days.mapInPandas(_pack, "var string, date date, content binary")
+    # a grid file holds 100 values; absent cells carry the no-data value
+    slot = lambda i: F.max(F.when(F.col("row") * 10 + F.col("col") == i, F.col("value")))
+    days = cells.groupBy("var", "date").agg(
+        F.array(*[F.coalesce(slot(i), F.lit(GRID.nodata)) for i in range(100)]).alias("values")
+    )
+    files = days.mapInArrow(_pack, "var string, date date, content binary")
     window = raster.bbox_window(GRID, (3.0, 2.0, 9.0, 8.0))
     return _cells(rasters.decode_bil(files, GRID, window))
 
@@ -174,38 +181,32 @@ def polygon_metrics(spark, sf):
     )
 
 
+_TILES = """select s_nationkey as cz_id, s_suppkey % 10 as x, s_suppkey // 10 as y from supplier"""
+_TILE_EDGES = f"""select cz_id, x, y, 'h' as d from ({_TILES}) union all select cz_id, x, y+1, 'h' from ({_TILES})
+    union all select cz_id, x, y, 'v' from ({_TILES}) union all select cz_id, x+1, y, 'v' from ({_TILES})"""
+
+
 @register(
     "dissolve",
-    sql(
-        """select n_regionkey as cz_id, round(sum(area),6) as area, round(sum(area*cx)/sum(area),6) as cx, round(sum(area*cy)/sum(area),6) as cy, any_value(k) as n_edges from (
-             select n_regionkey, (x1-x0)*(y1-y0) as area, (x0+x1)/2 as cx, (y0+y1)/2 as cy
-             from boxes_b join nation on zone_id = 'n' || n_nationkey)
-           join (select n_regionkey as rk, count(*) as k from (
-               select n_regionkey, ex, ey, dir from nation join (
-                 select zone_id, n_nationkey%5 as ex, n_nationkey//5 as ey, 'h' as dir from boxes_b join nation on zone_id='n'||n_nationkey
-                 union all select zone_id, n_nationkey%5, n_nationkey//5+1, 'h' from boxes_b join nation on zone_id='n'||n_nationkey
-                 union all select zone_id, n_nationkey%5, n_nationkey//5, 'v' from boxes_b join nation on zone_id='n'||n_nationkey
-                 union all select zone_id, n_nationkey%5+1, n_nationkey//5, 'v' from boxes_b join nation on zone_id='n'||n_nationkey)
-               on zone_id='n'||n_nationkey group by 1,2,3,4 having count(*)=1) group by 1) on rk=n_regionkey
-           group by 1""",
-        "boxes_b",
-    ),
+    f"""select cz_id, area, cx, cy, n_edges from
+        (select cz_id, cast(count(*) as double) as area, round(avg(x+0.5),6) as cx, round(avg(y+0.5),6) as cy from ({_TILES}) group by 1)
+        join (select cz_id, count(*) as n_edges from
+          (select cz_id, x, y, d from ({_TILE_EDGES}) group by all having count(*) = 1) group by 1) using (cz_id)""",
 )
 def dissolve(spark, sf):
-    """Nation rectangles joined to regions: area, centroid and the outline's edge count."""
-    nation = table(spark, sf, "nation").select(
-        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("zone_id"), F.col("n_regionkey").alias("cz_id")
+    """Unit tiles, one per supplier, joined by nation: area, centroid and the outline's edge count."""
+    s = table(spark, sf, "supplier")
+    tiles = s.select(
+        F.concat(F.lit("t"), F.col("s_suppkey").cast("string")).alias("zone_id"),
+        (F.col("s_suppkey") % 10).alias("x0"),
+        (F.col("s_suppkey") % 10 + 1).alias("x1"),
+        F.floor(F.col("s_suppkey") / 10).alias("y0"),
+        (F.floor(F.col("s_suppkey") / 10) + 1).alias("y1"),
     )
-    # corners from grid lines, so that neighbours share them exactly
-    n = table(spark, sf, "nation")
-    lines = n.select(
-        F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("zone_id"),
-        (F.col("n_nationkey") % 5 * 7.3).alias("x0"),
-        ((F.col("n_nationkey") % 5 + 1) * 7.3).alias("x1"),
-        (F.floor(F.col("n_nationkey") / 5) * 5.3).alias("y0"),
-        ((F.floor(F.col("n_nationkey") / 5) + 1) * 5.3).alias("y1"),
+    parents = s.select(
+        F.concat(F.lit("t"), F.col("s_suppkey").cast("string")).alias("zone_id"), F.col("s_nationkey").alias("cz_id")
     )
-    outline = geometry.dissolve(geometry.ring_edges(rings(lines, *BOX)), nation)
+    outline = geometry.dissolve(geometry.ring_edges(rings(tiles, *BOX)), parents)
     metrics = geometry.polygon_metrics(outline, "cz_id", projected=True)
     edges = outline.groupBy("cz_id").agg(F.count(F.lit(1)).alias("n_edges"))
     return metrics.select("cz_id", r("area"), r("cx"), r("cy")).join(edges, "cz_id")

@@ -272,3 +272,15 @@ def test_manifests(spark, rows):
     assert manifest.valid_files(cat, 50, (5, 5)).count() == 2
     assert rows(manifest.inventory(cat, d(0), d(3))) == [("v", 3, 4, 75.0)]
     assert manifest.retry_manifest(cat).count() == 3
+
+
+def test_published_totals_format_as_printed(spark):
+    """Counts of the published heat table give its printed shares and ratio."""
+    days = [(date(2019, 7, 1), 38_285_609, 52_428, 9_575_702)]
+    daily = spark.createDataFrame(days, "bill_date date, n long, n_flagged long, n_target long")
+    text = {r.ord: r.value for r in summaries.heat_table(daily).collect()}
+    assert text[0] == "38,285,609" and text[1] == "52,428 (0.14%)" and text[2] == "9,575,702 (25.01%)"
+    means = spark.createDataFrame([(date(2019, 7, 1), 70293), (date(2019, 1, 1), 68900)], "bill_date date, n long")
+    assert round(summaries.seasonal_ratio(means).first().ratio, 2) == 1.02
+    done = spark.createDataFrame([("v", "2020"), ("v", "2020"), ("v", "2021")], "var string, period string")
+    assert tuple(manifest.period_inventory(done, 17).first()) == ("v", 2, 17, 11.8)

@@ -33,6 +33,13 @@ def inventory(catalog: DataFrame, start: Bound, end: Bound, digits: int = 1) ->
     )
 
 
+def period_inventory(done: DataFrame, expected: int, digits: int = 1) -> DataFrame:
+    """Finished periods per variable, expected number, percent.  ``done(var, period)``."""
+    counts = done.select("var", "period").distinct().groupBy("var").agg(F.count(F.lit(1)).alias("n_periods"))
+    pct = F.round(F.col("n_periods") * 100 / expected, digits)
+    return counts.select("var", "n_periods", F.lit(expected).alias("expected"), pct.alias("pct"))
+
+
 def retry_manifest(failures: DataFrame) -> DataFrame:
     return failures.select("var", "date").distinct()
 
