@@ -147,6 +147,13 @@ def claims_from_csv(spark, sf):
     )
 
 
+@register(
+    "state_rows", sql("select zip, fips, res_ratio from zip2cnty where starts_with(fips, '4800')", "zip2cnty")
+)
+def state_rows(spark, sf):
+    return view(spark, sf, "zip2cnty").filter(clean.in_state("fips", "4800"))
+
+
 @register("map_claims", sql(f"select bill_id, bill_date, {_GEO} from mapped", "mapped"))
 def map_claims(spark, sf):
     return mapped(spark, sf).select("bill_id", "bill_date", *_GEO.split(", "))

@@ -128,10 +128,10 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def bil_decode(spark, sf):
     """Raw float grids made from the line items, one per flag and day, cropped and decoded."""
     cells = view(spark, sf, "grid")
-    # a grid file holds 100 values; absent cells carry the no-data value
-    slot = lambda i: F.max(F.when(F.col("row") * 10 + F.col("col") == i, F.col("value")))
-    days = cells.groupBy("var", "date").agg(
-        F.array(*[F.coalesce(slot(i), F.lit(GRID.nodata)) for i in range(100)]).alias("values")
+    # a whole grid file as one line of 100 values; absent cells carry the no-data value
+    line = cells.select("var", "date", F.lit(0).alias("row"), (F.col("row") * 10 + F.col("col")).alias("col"), "value")
+    days = raster.cells_to_scanlines(line, 100).select(
+        "var", "date", F.transform("values", lambda v: F.coalesce(v, F.lit(GRID.nodata).cast("float"))).alias("values")
     )
     files = days.mapInArrow(_pack, "var string, date date, content binary")
     window = raster.bbox_window(GRID, (3.0, 2.0, 9.0, 8.0))

@@ -135,6 +135,15 @@ def analysis_window(spark, sf):
     return o.filter(dates.in_analysis_window("date", 1996, date(2000, 2, 1), (1997, 1998)))
 
 
+@register(
+    "saturation_pressure",
+    "select event_id, round(0.6108*exp(17.27*(value/3-5)/((value/3-5)+237.3)),6) as es from events",
+)
+def saturation_pressure(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", r(weather.saturation_pressure(F.col("value") / 3 - 5)).alias("es"))
+
+
 @register("humidity", sql(f"select fips, date, {rsql('rh_mean', 'vpd_mean')} from humid", "humid"))
 def humidity(spark, sf):
     base = dense.densify(wide(spark, sf), view(spark, sf, "zone_meta"), "fips", START, END)

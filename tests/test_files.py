@@ -184,6 +184,8 @@ def test_panel_files_are_ordered_and_partitioned(spark, tmp_path, rows):
     for f in path.glob("year=2020/*.parquet"):
         keys = [(r.fips, r.date) for r in spark.read.parquet(str(f)).collect()]
         assert keys == sorted(keys)
+    sinks.write_panel(df.filter("date >= '2021-01-01'"), str(path), "fips")
+    assert tables.read_panel(spark, str(path)).count() == 6
     sinks.write_csv(df, str(tmp_path / "csv"), ["fips", "date"])
     report = sinks.sink_report(df, str(tmp_path / "csv"), str(path)).first()
     assert (report.n_rows, report.n_columns) == (12, 3) and report.csv_bytes > 0 and report.parquet_bytes > 0

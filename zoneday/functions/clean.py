@@ -85,7 +85,7 @@ def in_state(c: Column | str, prefix: str = fv.STATE_PREFIX) -> Column:
 
 
 def norm_code(c: Column | str) -> Column:
-    return F.regexp_replace(F.trim(_col(c)), r"\.", "")
+    return F.replace(F.trim(_col(c)), F.lit("."), F.lit(""))
 
 
 # ---- text to values ------------------------------------------------------
@@ -105,7 +105,7 @@ def parse_month_year(c: Column | str) -> Column:
 
 def parse_amount(c: Column | str) -> Column:
     """Money or thousands text to double; anything unreadable, or NaN, is NULL."""
-    number = F.regexp_replace(_col(c), "[$,]", "").try_cast("double")
+    number = F.translate(_col(c), "$,", "").try_cast("double")
     return F.nullif(number, F.lit(float("nan")))
 
 

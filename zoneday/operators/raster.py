@@ -6,8 +6,11 @@ array<float>)``; a zone layer's coverage is computed once per grid and kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -168,13 +171,36 @@ def bbox_window(grid: GridSpec, bbox: tuple[float, float, float, float]) -> tupl
     return first_row, last_row, first_col, end_col - first_col
 
 
+def _scatter(ncols: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(cols, vals) lists to full-width scanlines, a whole Arrow batch at a time."""
+        for batch in batches:
+            cols = batch.column("cols")
+            line = np.repeat(np.arange(len(cols)), cols.value_lengths().to_numpy(zero_copy_only=False))
+            at = line * ncols + cols.flatten().to_numpy(zero_copy_only=False)
+            flat = np.zeros(len(cols) * ncols, dtype="float32")
+            empty = np.ones(len(flat), dtype=bool)
+            flat[at], empty[at] = batch.column("vals").flatten().to_numpy(zero_copy_only=False), False
+            ends = pa.array(np.arange(len(cols) + 1, dtype="int32") * ncols)
+            values = pa.ListArray.from_arrays(ends, pa.array(flat, type=pa.float32(), mask=empty))
+            keys = [batch.column(c) for c in ("var", "date", "row")]
+            yield pa.RecordBatch.from_arrays([*keys, values], names=["var", "date", "row", "values"])
+
+    return place
+
+
 def cells_to_scanlines(cells: DataFrame, ncols: int) -> DataFrame:
     """One row per cell to one array per scanline; absent cells are NULL.
 
-    A scanline holds ``ncols`` values by definition, which bounds the group.
+    A scanline holds at most ``ncols`` given cells, one per column, which
+    bounds the group.
     """
-    values = F.array(*[F.max(F.when(F.col("col") == c, F.col("value"))) for c in range(ncols)])
-    if ncols > 64:
-        entries = F.map_from_entries(F.collect_list(F.struct("col", "value")))
-        values = F.transform(F.sequence(F.lit(0), F.lit(ncols - 1)), lambda c: F.try_element_at(entries, c))
-    return cells.groupBy("var", "date", "row").agg(values.cast("array<float>").alias("values"))
+    given = cells.filter(F.col("value").isNotNull() & F.col("col").between(0, ncols - 1))
+    entry = F.struct(F.col("col").cast("int").alias("c"), F.col("value").cast("float").alias("v"))
+    lists = (
+        given.groupBy("var", "date", "row")
+        .agg(F.collect_list(entry).alias("_e"))
+        .select("var", "date", "row", F.col("_e.c").alias("cols"), F.col("_e.v").alias("vals"))
+    )
+    kinds = ", ".join(f"`{c}` {dict(lists.dtypes)[c]}" for c in ("var", "date", "row"))
+    return lists.mapInArrow(_scatter(ncols), f"{kinds}, values array<float>")

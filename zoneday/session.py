@@ -23,7 +23,6 @@ def build_session(app: str = "zoneday", master: str | None = None, **extra: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master:
         builder = builder.master(master)

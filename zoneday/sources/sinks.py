@@ -24,9 +24,9 @@ def write_panel(df: DataFrame, path: str, zone: str, day: str = "date", mode: st
     """
     if "year" not in df.columns:
         df = df.withColumn("year", F.year(day))
-    sorted_for_write(df, ["year", zone, day]).write.mode(mode).option("compression", "snappy").partitionBy(
-        "year"
-    ).parquet(path)
+    writer = sorted_for_write(df, ["year", zone, day]).write.mode(mode).option("compression", "snappy")
+    # the whole panel is replaced: a year that dropped out must not stay behind
+    writer.option("partitionOverwriteMode", "static").partitionBy("year").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "overwrite") -> None:
@@ -39,7 +39,8 @@ def write_scanlines(grid: DataFrame, path: str, mode: str = "overwrite") -> None
     """Scanline table by variable and year, ordered by row: row statistics then skip what a window leaves out."""
     keys = ["var", "year", "row", "date"]
     dated = grid.withColumn("year", F.year("date"))
-    sorted_for_write(dated, keys).write.mode(mode).partitionBy("var", "year").parquet(path)
+    writer = sorted_for_write(dated, keys).write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy("var", "year").parquet(path)
 
 
 def _paths(spark: SparkSession, path: str, glob: str) -> DataFrame:
