@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -114,14 +114,18 @@ def clip_grid(spark, sf):
     return _cells(raster.clip_grid(scanlines(spark, sf), *window))
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Value lists to raw little-endian float grids, the layout of the source files."""
-    for batch in batches:
-        lists = batch.column("values")
-        flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<f4")
-        ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-        content = pa.array([part.tobytes() for part in np.split(flat, ends[:-1])], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("var"), batch.column("date"), content], names=["var", "date", "content"])
+def _packer() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Value lists to raw little-endian float grids, the layout of the source files."""
+        for batch in batches:
+            lists = batch.column("values")
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("<f4")
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+            content = pa.array([part.tobytes() for part in np.split(flat, ends[:-1])], pa.binary())
+            keys = [batch.column(c) for c in ("var", "date")]
+            yield pa.RecordBatch.from_arrays([*keys, content], names=["var", "date", "content"])
+
+    return pack
 
 
 @register("bil_decode", sql(_CLIPPED, "grid"))
@@ -133,7 +137,7 @@ def bil_decode(spark, sf):
     days = raster.cells_to_scanlines(line, 100).select(
         "var", "date", F.transform("values", lambda v: F.coalesce(v, F.lit(GRID.nodata).cast("float"))).alias("values")
     )
-    files = days.mapInArrow(_pack, "var string, date date, content binary")
+    files = days.mapInArrow(_packer(), "var string, date date, content binary")
     window = raster.bbox_window(GRID, (3.0, 2.0, 9.0, 8.0))
     return _cells(rasters.decode_bil(files, GRID, window))
 

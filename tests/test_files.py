@@ -223,7 +223,7 @@ def test_extraction_from_files_to_periods(spark, tmp_path, rows):
     )
     weights = layer_weights(edges, grid, bbox)
     # half of cell (1, 1) and all of cell (1, 2), whose value is missing
-    assert rows(weights, "col") == [("z", 1, 0, 0.5), ("z", 1, 1, 1.0)]
+    assert rows(weights, "col") == [("z", 1, 0, 1, 0.5), ("z", 1, 1, 1, 1.0)]
     run = lambda last: extract_zones(spark, str(src), ["tmax"], date(2019, 1, 1), last, grid, weights, out, bbox)
     assert run(date(2019, 12, 31)).count() == 1
     assert rows(run(date(2020, 12, 31)).select("date"), "date") == [(date(2020, 1, 1),), (date(2020, 1, 2),)]

@@ -189,6 +189,23 @@ def test_zonal_mean_renormalises_and_null_when_empty(spark):
     assert got == {("z", "2020-01-01"): 1.0, ("z", "2020-01-02"): None, ("y", "2020-01-01"): 2.5, ("y", "2020-01-02"): 3.0}
 
 
+def test_runs_give_the_same_mean_as_cells(spark, edges):
+    cover = raster.coverage_weights(edges, 8, 8)
+    runs = raster.weight_runs(cover)
+    assert runs.agg(F.sum(F.col("n") * F.col("cov"))).first()[0] == pytest.approx(sum(AREAS.values()))
+    assert runs.count() < cover.count() and runs.filter("n > 1").count() > 0
+    rng = random.Random(5)
+    cells = [("v", d, r, c, rng.uniform(-5, 5)) for d in ("a", "b") for r in range(8) for c in range(8) if rng.random() > 0.3]
+    df = spark.createDataFrame(cells, "var string, date string, row int, col int, value double")
+    a = {(r.zone_id, r.date): r.value for r in raster.zonal_mean(raster.cells_to_scanlines(df, 8), runs).collect()}
+    b = {(r.zone_id, r.date): r.value for r in raster.zonal_mean_cells(df, cover).collect()}
+    assert a == pytest.approx(b, rel=1e-5)
+    holes = df.filter("col not between 2 and 4")
+    got = {(r.zone_id, r.date): r.value for r in raster.zonal_mean(raster.cells_to_scanlines(holes, 8), runs).collect()}
+    want = {(r.zone_id, r.date): r.value for r in raster.zonal_mean_cells(holes, cover).collect()}
+    assert got == pytest.approx(want, rel=1e-5)
+
+
 def test_wide_scanlines_match_narrow_ones(spark):
     cells = [("v", "d", 0, c, float(c)) for c in range(0, 70, 3)]
     df = spark.createDataFrame(cells, "var string, date string, row int, col int, value double")

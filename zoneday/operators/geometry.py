@@ -21,17 +21,23 @@ POINT = "struct<x:double,y:double>"
 # ---- rings to edges ------------------------------------------------------
 
 
+def _sides(pts: Column) -> Column:
+    """Consecutive vertex pairs of a closed ring."""
+    n = F.size(pts) - 1
+    return F.arrays_zip(F.slice(pts, F.lit(1), n).alias("a"), F.slice(pts, F.lit(2), n).alias("b"))
+
+
 def _signed_area(pts: Column) -> Column:
     """Shoelace area of a closed ring, taken relative to its first vertex."""
-    x0, y0 = F.get(pts, 0)["x"], F.get(pts, 0)["y"]
-    pairs = F.arrays_zip(
-        F.slice(pts, F.lit(1), F.size(pts) - 1).alias("a"), F.slice(pts, F.lit(2), F.size(pts) - 1).alias("b")
-    )
-    return F.aggregate(
-        pairs,
-        F.lit(0.0),
-        lambda s, p: s + ((p["a"]["x"] - x0) * (p["b"]["y"] - y0) - (p["b"]["x"] - x0) * (p["a"]["y"] - y0)) / 2,
-    )
+
+    def around(p0: Column) -> Column:
+        cross = lambda p: (p["a"]["x"] - p0["x"]) * (p["b"]["y"] - p0["y"]) - (p["b"]["x"] - p0["x"]) * (
+            p["a"]["y"] - p0["y"]
+        )
+        return F.aggregate(_sides(pts), F.lit(0.0), lambda s, p: s + cross(p) / 2)
+
+    # a one-element transform binds the first vertex once, not once per side
+    return F.get(F.transform(F.slice(pts, 1, 1), around), 0)
 
 
 def valid_rings(rings: DataFrame) -> DataFrame:
@@ -43,18 +49,14 @@ def valid_rings(rings: DataFrame) -> DataFrame:
 
 def ring_edges(rings: DataFrame) -> DataFrame:
     """Directed edges of ``rings(zone_id, part, ring, pts)``; ring 0 of a part is its outline."""
-    pts, area = F.col("pts"), _signed_area(F.col("pts"))
-    wrong_way = F.when(F.col("ring") == 0, area < 0).otherwise(area > 0)
-    oriented = rings.withColumn("pts", F.when(wrong_way, F.reverse(pts)).otherwise(pts))
-    pairs = F.arrays_zip(
-        F.slice(pts, F.lit(1), F.size(pts) - 1).alias("a"), F.slice(pts, F.lit(2), F.size(pts) - 1).alias("b")
-    )
-    return oriented.select("zone_id", F.explode(pairs).alias("e")).select(
-        "zone_id",
-        F.col("e.a.x").alias("x1"),
-        F.col("e.a.y").alias("y1"),
-        F.col("e.b.x").alias("x2"),
-        F.col("e.b.y").alias("y2"),
+    measured = rings.select("zone_id", "ring", "pts", _signed_area(F.col("pts")).alias("_area"))
+    wrong_way = F.when(F.col("ring") == 0, F.col("_area") < 0).otherwise(F.col("_area") > 0)
+    sides = measured.select("zone_id", wrong_way.alias("_turn"), F.explode(_sides(F.col("pts"))).alias("e"))
+    # turning a ring round is swapping the ends of its sides
+    start = F.when(F.col("_turn"), F.col("e.b")).otherwise(F.col("e.a"))
+    end = F.when(F.col("_turn"), F.col("e.a")).otherwise(F.col("e.b"))
+    return sides.select(
+        "zone_id", start["x"].alias("x1"), start["y"].alias("y1"), end["x"].alias("x2"), end["y"].alias("y2")
     )
 
 

@@ -125,19 +125,44 @@ def coverage_weights(
     )
 
 
+def weight_runs(weights: DataFrame, zone: str = "zone_id") -> DataFrame:
+    """Coverage as runs (zone, row, col, n, cov): neighbouring full cells become one run.
+
+    Only cells on a zone's edge stay single, so a run table is several times
+    shorter than the cell table.  Keep it with the layer.
+    """
+    full = F.abs(F.col("cov") - 1) < 1e-9
+    order = F.row_number().over(Window.partitionBy(zone, "row", "_full").orderBy("col"))
+    marked = weights.withColumn("_full", full).withColumn("_run", F.col("col") - F.when(F.col("_full"), order).otherwise(0))
+    return (
+        marked.groupBy(zone, "row", "_full", "_run")
+        .agg(F.min("col").alias("col"), F.count(F.lit(1)).cast("int").alias("n"), F.avg("cov").alias("cov"))
+        .select(zone, "row", "col", "n", F.when(F.col("_full"), F.lit(1.0)).otherwise(F.col("cov")).alias("cov"))
+    )
+
+
 def zonal_mean(grid: DataFrame, weights: DataFrame, zone: str = "zone_id") -> DataFrame:
     """Coverage-weighted mean of each scanline table day over each zone.
 
-    The weights go to the scanlines, each picks its own cells, and the partial
-    sums of a map task leave one row per zone and day before any shuffle.
-    Beyond the checked bound the scanlines are shuffled by row instead.
+    The runs go to the scanlines, each sums its own slice, and the partial sums
+    of a map task leave one row per zone and day before any shuffle.  Cell
+    weights are accepted too and turned into runs first.  Beyond the checked
+    bound the scanlines are shuffled by row instead.
     """
-    cells = lookup(grid.select("var", "date", "row", "values"), weights, "row", "inner", WEIGHTS_MAX_ROWS)
-    v = F.get("values", F.col("col")).cast("double")
+    runs = weights if "n" in weights.columns else weight_runs(weights, zone)
+    cells = lookup(
+        grid.select("var", "date", "row", "values"), runs, "row", "inner", WEIGHTS_MAX_ROWS, derived=runs is not weights
+    )
+    one, part = F.get("values", F.col("col")), F.slice("values", F.col("col") + 1, F.col("n"))
+    single = F.col("n") == 1
+    total = F.when(single, one.cast("double")).otherwise(
+        F.aggregate(part, F.lit(0.0), lambda s, v: s + F.coalesce(v.cast("double"), F.lit(0.0)))
+    )
+    given = F.when(single, one.isNotNull().cast("int")).otherwise(F.size(F.filter(part, lambda v: v.isNotNull())))
     return (
-        cells.select(zone, "var", "date", "cov", v.alias("_v"))
+        cells.select(zone, "var", "date", "cov", total.alias("_sum"), given.alias("_n"))
         .groupBy(zone, "var", "date")
-        .agg(weighted_mean("_v", "cov").alias("value"))
+        .agg(F.try_divide(F.sum(F.col("_sum") * F.col("cov")), F.sum(F.col("_n") * F.col("cov"))).alias("value"))
     )
 
 
@@ -172,6 +197,7 @@ def bbox_window(grid: GridSpec, bbox: tuple[float, float, float, float]) -> tupl
 
 
 def _scatter(ncols: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    # an inner function travels to the workers by value, so they need not have this package
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(cols, vals) lists to full-width scanlines, a whole Arrow batch at a time."""
         for batch in batches:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneday.operators.manifest import valid_files
-from zoneday.operators.raster import GridSpec, bbox_window, coverage_weights, to_grid, zonal_mean
+from zoneday.operators.raster import GridSpec, bbox_window, coverage_weights, to_grid, weight_runs, zonal_mean
 from zoneday.session import materialize
 from zoneday.sources import rasters, sinks
 
@@ -17,7 +17,7 @@ from zoneday.sources import rasters, sinks
 def layer_weights(
     edges: DataFrame, grid: GridSpec, bbox: tuple[float, float, float, float] | None = None
 ) -> DataFrame:
-    """Coverage of a zone layer on a grid, or on the part of it inside ``bbox``; keep the result.
+    """Coverage runs of a zone layer on a grid, or on the part of it inside ``bbox``; keep the result.
 
     Rows and columns count from the window's upper left cell, as they do in a
     grid decoded with the same window.
@@ -26,7 +26,7 @@ def layer_weights(
     part = GridSpec(
         grid.x0 + first_col * grid.dx, grid.y0 - first_row * grid.dy, grid.dx, grid.dy, last_row - first_row + 1, n_cols
     )
-    return coverage_weights(to_grid(edges, part), part.nrows, part.ncols)
+    return weight_runs(coverage_weights(to_grid(edges, part), part.nrows, part.ncols))
 
 
 def window_of(grid: GridSpec, bbox: tuple[float, float, float, float] | None) -> tuple[int, int, int, int]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import date
 
 import numpy as np
@@ -66,17 +66,19 @@ def read_grid_header(spark: SparkSession, path: str) -> GridSpec:
     )
 
 
-def _floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Little-endian float32 bytes to float lists, a whole Arrow batch at a time."""
-    for batch in batches:
-        raw = batch.column("bytes").to_pylist()
-        flat = np.frombuffer(b"".join(raw), dtype="<f4")
-        offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in raw])]).astype("int32")
-        values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.float32()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("var"), batch.column("date"), batch.column("row"), values],
-            names=["var", "date", "row", "values"],
-        )
+def _float_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    # an inner function travels to the workers by value, so they need not have this package
+    def floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Little-endian float32 bytes to float lists, a whole Arrow batch at a time."""
+        for batch in batches:
+            raw = batch.column("bytes").to_pylist()
+            flat = np.frombuffer(b"".join(raw), dtype="<f4")
+            offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in raw])]).astype("int32")
+            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.float32()))
+            keys = [batch.column(c) for c in ("var", "date", "row")]
+            yield pa.RecordBatch.from_arrays([*keys, values], names=["var", "date", "row", "values"])
+
+    return floats
 
 
 def decode_bil(
@@ -101,6 +103,6 @@ def decode_bil(
         (F.col("row") - first_row).alias("row"),
         F.substring(F.col("content"), start, F.lit(n_cols * 4)).alias("bytes"),
     )
-    floats = lines.mapInArrow(_floats, "var string, date date, row int, values array<float>")
+    floats = lines.mapInArrow(_float_reader(), "var string, date date, row int, values array<float>")
     keep = lambda v: F.when((v != F.lit(grid.nodata).cast("float")) & ~F.isnan(v), v)
     return floats.withColumn("values", F.transform("values", keep))
