@@ -141,26 +141,46 @@ def weight_runs(weights: DataFrame, zone: str = "zone_id") -> DataFrame:
     )
 
 
+def _prefix_sums() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    # an inner function travels to the workers by value, so they need not have this package
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Scanlines to running sums and counts of their given values, each starting with 0."""
+        for batch in batches:
+            lists = batch.column("values")
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("float64")
+            given = ~np.isnan(flat)
+            flat = np.where(given, flat, 0.0)
+            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(sizes)
+            sums, counts = np.zeros(len(flat) + len(sizes)), np.zeros(len(flat) + len(sizes), dtype="int32")
+            offsets = np.concatenate([[0], ends + np.arange(1, len(sizes) + 1)]).astype("int32")
+            for i, (end, size) in enumerate(zip(ends, sizes)):  # one numpy call per scanline
+                np.cumsum(flat[end - size : end], out=sums[offsets[i] + 1 : offsets[i + 1]])
+                np.cumsum(given[end - size : end], out=counts[offsets[i] + 1 : offsets[i + 1]])
+            columns = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (sums, counts)]
+            keys = [batch.column(c) for c in ("var", "date", "row")]
+            yield pa.RecordBatch.from_arrays([*keys, *columns], names=["var", "date", "row", "sums", "counts"])
+
+    return running
+
+
 def zonal_mean(grid: DataFrame, weights: DataFrame, zone: str = "zone_id") -> DataFrame:
     """Coverage-weighted mean of each scanline table day over each zone.
 
-    The runs go to the scanlines, each sums its own slice, and the partial sums
-    of a map task leave one row per zone and day before any shuffle.  Cell
-    weights are accepted too and turned into runs first.  Beyond the checked
-    bound the scanlines are shuffled by row instead.
+    With running sums along the scanline every run, however long, costs two
+    array reads.  The runs go to the scanlines and the partial sums of a map
+    task leave one row per zone and day before any shuffle.  Cell weights are
+    accepted too and turned into runs first.  Beyond the checked bound the
+    scanlines are shuffled by row instead.
     """
     runs = weights if "n" in weights.columns else weight_runs(weights, zone)
-    cells = lookup(
-        grid.select("var", "date", "row", "values"), runs, "row", "inner", WEIGHTS_MAX_ROWS, derived=runs is not weights
-    )
-    one, part = F.get("values", F.col("col")), F.slice("values", F.col("col") + 1, F.col("n"))
-    single = F.col("n") == 1
-    total = F.when(single, one.cast("double")).otherwise(
-        F.aggregate(part, F.lit(0.0), lambda s, v: s + F.coalesce(v.cast("double"), F.lit(0.0)))
-    )
-    given = F.when(single, one.isNotNull().cast("int")).otherwise(F.size(F.filter(part, lambda v: v.isNotNull())))
+    lines = grid.select("var", "date", "row", "values").filter(F.col("values").isNotNull())
+    kinds = ", ".join(f"`{c}` {dict(lines.dtypes)[c]}" for c in ("var", "date", "row"))
+    summed = lines.mapInArrow(_prefix_sums(), f"{kinds}, sums array<double>, counts array<int>")
+    met = lookup(summed, runs, "row", "inner", WEIGHTS_MAX_ROWS, derived=runs is not weights)
+    over = lambda a: F.get(a, F.col("col") + F.col("n")) - F.get(a, F.col("col"))
     return (
-        cells.select(zone, "var", "date", "cov", total.alias("_sum"), given.alias("_n"))
+        met.select(zone, "var", "date", "cov", over("sums").alias("_sum"), over("counts").alias("_n"))
         .groupBy(zone, "var", "date")
         .agg(F.try_divide(F.sum(F.col("_sum") * F.col("cov")), F.sum(F.col("_n") * F.col("cov"))).alias("value"))
     )
