@@ -189,6 +189,15 @@ def test_zonal_mean_renormalises_and_null_when_empty(spark):
     assert got == {("z", "2020-01-01"): 1.0, ("z", "2020-01-02"): None, ("y", "2020-01-01"): 2.5, ("y", "2020-01-02"): 3.0}
 
 
+def test_unequal_scanlines_stop_the_job(spark):
+    lines = spark.createDataFrame(
+        [("v", "d", 0, [1.0, 2.0]), ("v", "d", 0, [1.0])], "var string, date string, row int, values array<float>"
+    ).coalesce(1)
+    weights = spark.createDataFrame([("z", 0, 0, 1.0)], "zone_id string, row int, col int, cov double")
+    with pytest.raises(Exception, match="differ in length"):
+        raster.zonal_mean(lines, weights).collect()
+
+
 def test_runs_give_the_same_mean_as_cells(spark, edges):
     cover = raster.coverage_weights(edges, 8, 8)
     runs = raster.weight_runs(cover)

@@ -151,12 +151,15 @@ def _prefix_sums() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
             given = ~np.isnan(flat)
             flat = np.where(given, flat, 0.0)
             sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(sizes)
-            sums, counts = np.zeros(len(flat) + len(sizes)), np.zeros(len(flat) + len(sizes), dtype="int32")
-            offsets = np.concatenate([[0], ends + np.arange(1, len(sizes) + 1)]).astype("int32")
-            for i, (end, size) in enumerate(zip(ends, sizes)):  # one numpy call per scanline
-                np.cumsum(flat[end - size : end], out=sums[offsets[i] + 1 : offsets[i + 1]])
-                np.cumsum(given[end - size : end], out=counts[offsets[i] + 1 : offsets[i + 1]])
+            width = int(sizes[0]) if len(sizes) else 0
+            if (sizes != width).any():
+                raise ValueError("scanlines of one grid differ in length")
+            shape = (len(sizes), width)
+            sums, counts = np.zeros((len(sizes), width + 1)), np.zeros((len(sizes), width + 1), dtype="int32")
+            np.cumsum(flat.reshape(shape), axis=1, out=sums[:, 1:])
+            np.cumsum(given.reshape(shape), axis=1, out=counts[:, 1:])
+            sums, counts = sums.ravel(), counts.ravel()
+            offsets = np.arange(len(sizes) + 1, dtype="int32") * (width + 1)
             columns = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(v)) for v in (sums, counts)]
             keys = [batch.column(c) for c in ("var", "date", "row")]
             yield pa.RecordBatch.from_arrays([*keys, *columns], names=["var", "date", "row", "sums", "counts"])
