@@ -85,8 +85,9 @@ _ZONAL = """select zone_id, var, date, round(sum(cov*value)/sum(cov),6) as value
 
 @register("zonal_mean", sql(_ZONAL.replace("cov*value", "cov*cast(cast(value as float) as double)"), "grid", "cover"))
 def zonal_mean(spark, sf):
-    """Whole scanlines with weights computed once and kept."""
-    weights = materialize(raster.coverage_weights(box_edges(spark, sf, "rect_polygons"), 10, 10), "weights")
+    """Whole scanlines with coverage runs computed once and kept."""
+    cover = raster.coverage_weights(box_edges(spark, sf, "rect_polygons"), 10, 10)
+    weights = materialize(raster.weight_runs(cover), "runs")
     out = raster.zonal_mean(scanlines(spark, sf), weights)
     # a day all of whose cells are missing in a zone is NULL here and absent from the cell join
     return out.filter(F.col("value").isNotNull()).withColumn("value", r("value"))
