@@ -12,7 +12,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import __spark_entry__ as entry  # noqa: E402
 from compare import compare, duck  # noqa: E402
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from star_queries.registry import QUERIES as REGISTERED  # noqa: E402
+
+# the corpus operators have their own tests
+QUERIES = {k: f for k, f in entry.queries().items() if k in REGISTERED}
+ORACLES = {k: f for k, f in entry.oracle_sql().items() if k in REGISTERED}
 
 
 @pytest.fixture(scope="module")
