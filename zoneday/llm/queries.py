@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneday.llm import extendible_index, merge_rounds
+from zoneday.llm import byte_cnn, crf_language, extendible_index, ftrl_toxicity, merge_rounds, ownership
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query("op1_crf_language")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf_language.language(documents(spark, sf_dir))
+
+
+@query("op2_ftrl_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ftrl_toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op4_byte_cnn")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.quality(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 @query("op5_merge_rounds")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_rounds.encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -44,3 +63,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_index.exact_duplicates(documents(spark, sf_dir))
+
+
+@query("op7_ownership")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ownership.secrets(documents(spark, sf_dir))
