@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneday.llm import byte_cnn, crf_language, extendible_index, ftrl_toxicity, merge_rounds, ownership
+from zoneday.llm import byte_cnn, certified_packing, crf_language, extendible_index, ftrl_toxicity, merge_rounds, ownership
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,3 +68,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ownership")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ownership.secrets(documents(spark, sf_dir))
+
+
+@query("op8_certified_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return certified_packing.best_fit_sequences(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
