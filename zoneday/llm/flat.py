@@ -105,3 +105,37 @@ def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def owner(positions: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The text in which each flat position lies."""
     return np.searchsorted(bounds, positions, side="right") - 1
+
+
+def byte_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Each batch in slices of about one chunk: the slice, the UTF-8 bytes of its texts (null: none) and their bounds."""
+    for batch in batches:
+        texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()).fill_null("")
+        bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + limit, side="right")) - 1)
+            yield batch.slice(a, b - a), data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
+            a = b
+
+
+class SpanHashes:
+    """64-bit hashes of any spans of one array of bytes."""
+
+    _table = mix(np.arange(1, 257, dtype=np.uint64))
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(self._table[data] * powers(_BASE, n), out=self.sums[1:])
+        self.back = powers(pow(_BASE, -1, 1 << 64), n + 1)
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
+
+    def windows(self, size: int) -> np.ndarray:
+        """Of every window of ``size`` bytes."""
+        if len(self.sums) <= size:
+            return np.zeros(0, dtype=np.uint64)
+        return mix((self.sums[size:] - self.sums[:-size]) * self.back[: len(self.sums) - size])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneday.llm import byte_cnn, certified_packing, crf_language, extendible_index, ftrl_toxicity, merge_rounds, ownership
+from zoneday.llm import byte_cnn, certified_packing, crf_language, extendible_index, ftrl_toxicity, merge_rounds, ownership, run_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ftrl_toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+@query("op3_run_index")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_index.remove_repeats(documents(spark, sf_dir))
+
+
 @query("op4_byte_cnn")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.quality(documents(spark, sf_dir), labels(spark, sf_dir))
