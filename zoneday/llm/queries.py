@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneday.llm import byte_cnn, certified_packing, crf_language, extendible_index, ftrl_toxicity, merge_rounds, ownership, run_index
+from zoneday.llm import byte_cnn, certified_packing, crf_language, extendible_index, ftrl_toxicity, merge_rounds, ownership, run_index, trie_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,3 +80,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return certified_packing.best_fit_sequences(
         documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )
+
+
+@query("op9_trie_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_join.near_duplicates(documents(spark, sf_dir))
