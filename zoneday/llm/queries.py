@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneday.llm import byte_cnn, certified_packing, crf_language, extendible_index, ftrl_toxicity, merge_rounds, ownership, run_index, trie_join
+from zoneday.llm import byte_cnn, certified_packing, crf_language, extendible_index, ftrl_toxicity, merge_rounds, nn_descent, ownership, run_index, trie_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,3 +85,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_trie_join")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_join.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op10_nn_descent")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
