@@ -40,11 +40,11 @@ def brute(docs, k=5):
         if d is not None:
             r = find(i)
             least[r] = min(least.get(r, d), d)
-    return sorted(((d or -1), len(sets[i]), least.get(find(i)) or -1) for i, (d, _) in enumerate(docs))
+    return sorted((d if d is not None else -1, len(sets[i]), least.get(find(i), -1)) for i, (d, _) in enumerate(docs))
 
 
 def result(df):
-    return sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1) for r in df.collect())
+    return sorted(tuple(-1 if x is None else x for x in (r.doc_id, r.n_shingles, r.component_id)) for r in df.collect())
 
 
 def near(rng, n):

@@ -446,6 +446,23 @@ def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id."""
+    return _labelled(docs, words, percent, block).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """The documents without those that link to one with a smaller id, with their own columns.
+
+    Rows that share the smallest id of their component stay together.
+    """
+    kept = _labelled(docs, words, percent, block).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "k1", "k2").distinct()
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = keyed(docs.select(whole.alias("row"), F.col("doc_id").cast("bigint").alias("of"), F.col("text")), F.col("text"))
+    same = (rows["k1"] == kept["k1"]) & (rows["k2"] == kept["k2"]) & rows["of"].eqNullSafe(kept["doc_id"])
+    return rows.join(kept, same, "left_semi").select("row.*")
+
+
+def _labelled(docs: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+    """Per document: doc_id, the two keys of its text, n_shingles, component_id."""
     rows = keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")), F.col("text"))
     found = nodes(rows, words, percent).withColumn("node", F.when(F.col("n") > 0, F.concat_ws("/", F.hex("s1"), F.hex("s2"), "n")))
     wanted = found.filter("maybe").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.*")
@@ -460,5 +477,5 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     by_node = named.join(lowest, "component").select("node", "component_id")
     # a set that a single document has needs no join, and a hot one is split by adaptive execution
     return found.join(by_node, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
