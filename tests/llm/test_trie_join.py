@@ -62,11 +62,11 @@ def near(rng, n):
     return rows + [(None, docs[-1]), (None, None), (5, docs[9]), (5, docs[9])]
 
 
-@pytest.mark.parametrize("block", [4, 256])
-def test_against_all_pairs(spark, block):
-    docs = near(random.Random(block), 150)
+@pytest.mark.parametrize(("block", "few"), [(4, 2), (4, 5), (256, 32)])
+def test_against_all_pairs(spark, block, few):
+    docs = near(random.Random(block + few), 150)
     df = spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id long, text string, node string")
-    assert result(trie_join.near_duplicates(df, block=block)) == brute(docs)
+    assert result(trie_join.near_duplicates(df, block=block, few=few)) == brute(docs)
 
 
 def test_large_group_in_blocks(spark):
@@ -79,7 +79,7 @@ def test_large_group_in_blocks(spark):
             words[rng.randrange(len(words))] = f"u{rng.randrange(40)}"
         docs.append((i + 1, " ".join(words)))
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    assert result(trie_join.near_duplicates(df, block=8)) == brute(docs)
+    assert result(trie_join.near_duplicates(df, block=8, few=4)) == brute(docs)
 
 
 def test_whole_table(spark, sf_dir):

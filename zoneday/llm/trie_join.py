@@ -10,16 +10,17 @@ where the Jaccard similarity reaches a threshold.  Results are exact.
     A short hash that meets another by chance lets too many pass, never too few.
 2.  Of the documents left, equal sets become one node.  Shingles get a global
     order, rarest first, by a table of counts of a fixed size (any order gives
-    right results).  Linked sets share a shingle among the first of both, so
-    nodes that share one of these belong to one cluster.
-3.  The sets of a cluster, as sequences in that order, are stored in a trie
-    whose branches join equal beginnings.  Sets to be compared walk down it
-    together: the overlap of a branch is counted once for all sets below it,
-    and a subtree is left as soon as the shingles left on both sides cannot
-    reach the overlap that its sizes ask for.
-4.  Clusters larger than a block are joined block by block.  One node of each
-    component found is joined across blocks, and what then isn't in its
-    cluster's main component is compared with all blocks.
+    right results).  Linked sets share a shingle among the first of both.
+3.  Sets to be compared, as sequences in that order, are stored in a trie
+    whose branches join equal beginnings.  Others walk down it together: the
+    overlap of a branch is counted once for all sets below it, and a subtree
+    is left as soon as the shingles left on both sides cannot reach the
+    overlap that its sizes ask for.
+4.  Where at most FEW nodes have a first shingle, each is asked against the
+    others of like size.  Nodes that share one with more than these form
+    clusters: these are joined block by block, then one node of each component
+    found across blocks, and what then isn't in its cluster's main component
+    is compared with all blocks.
 
 Null and empty texts have an empty set and link with nothing; rows with equal
 texts are linked with each other unless their set is empty.  A component is
@@ -32,7 +33,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneday.llm import flat
@@ -42,9 +43,10 @@ from zoneday.session import materialize
 
 WORDS = 5
 PERCENT = 75
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 PART = 1 << 17  # shingles of one hash range
-CELLS = 1 << 20
+CELLS = 1 << 22
+FEW = 32
 BLOCK = 256
 CELL_BUDGET = 1 << 24
 MANY = 0xFFFF
@@ -227,8 +229,7 @@ def frequencies(sets: DataFrame, cells: int = CELLS) -> np.ndarray:
     def run(batches):
         total = np.zeros(cells, dtype=np.int64)
         for batch in batches:
-            for s in batch.column(0).to_pylist():
-                total += np.bincount(_cell(np.frombuffer(s, dtype=np.uint64), cells), minlength=cells)
+            np.add.at(total, _cell(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint64), cells), 1)
         for i in np.flatnonzero(total.reshape(-1, block).any(axis=1)):
             part = total[i * block : (i + 1) * block]
             at = np.flatnonzero(part)
@@ -243,9 +244,9 @@ def frequencies(sets: DataFrame, cells: int = CELLS) -> np.ndarray:
             yield _table({"block": ([i], pa.int64()), "n": ([n], pa.list_(pa.int64()))})
 
     parts = sets.select("shingles").mapInArrow(run, "block bigint, at array<bigint>, n array<bigint>")
-    out = np.zeros(cells, dtype=np.int64)
+    out = np.zeros(cells, dtype=np.uint16)  # an order needs no more
     for row in parts.repartition("block").mapInArrow(merge, "block bigint, n array<bigint>").collect():  # cells / 4096 rows
-        out[row.block * block : (row.block + 1) * block] = row.n
+        out[row.block * block : (row.block + 1) * block] = np.minimum(row.n, MANY)
     return out
 
 
@@ -258,24 +259,34 @@ def order_of(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return h[np.lexsort((h, counts[_cell(h, len(counts))]))]
 
 
-def candidate_links(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """(a, b): nodes that share one of the first shingles with the first node that has it."""
+def first_shingles(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """(h, node, n, k): the first shingles of each node in the global order, and how many nodes have each; two or more."""
 
     def run(batches):
         for batch in batches:
-            node, first = [], []
+            node, size, first = [], [], []
             for name, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 h = order_of(np.frombuffer(s, dtype=np.uint64), counts)
                 head = h[: len(h) - -(-percent * len(h) // 100) + 1]
                 head = head[counts[_cell(head, len(counts))] > 1]
                 node += [name] * len(head)
+                size += [len(h)] * len(head)
                 first.append(head)
             if node:
-                yield _table({"node": (node, pa.string()), "h": (np.concatenate(first).view(np.int64), pa.int64())})
+                yield _table({"node": (node, pa.string()), "n": (size, pa.int64()), "h": (np.concatenate(first).view(np.int64), pa.int64())})
 
-    heads = materialize(sets.select("node", "shingles").mapInArrow(run, "node string, h bigint"), "first-shingles")
-    leader = heads.groupBy("h").agg(F.min("node").alias("b"), F.count("*").alias("k")).filter("k > 1").drop("k")
-    return heads.join(leader, "h").filter("node != b").select(F.col("node").alias("a"), "b").distinct()
+    heads = materialize(sets.select("node", "shingles").mapInArrow(run, "node string, n bigint, h bigint"), "first-shingles")
+    held = heads.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
+    return materialize(heads.join(held, "h"), "shared-first-shingles")
+
+
+def pairs_of_few(heads: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: nodes of like size that share a first shingle, from groups of at most FEW nodes."""
+    group = heads.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("node", "n"))).alias("g"))
+    left = group.select("g", F.posexplode("g").alias("at", "x"))
+    pair = left.select("x", F.explode(F.slice("g", F.col("at") + 2, F.size("g"))).alias("y"))
+    like = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+    return pair.filter(like).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 class Trie:
@@ -397,45 +408,51 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
     return members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
 
 
-def links(sets: DataFrame, counts: np.ndarray, percent: int, block: int = BLOCK) -> DataFrame:
+def links(sets: DataFrame, counts: np.ndarray, percent: int, block: int = BLOCK, few: int = FEW) -> DataFrame:
     """Links that connect all nodes (node, shingles) that are connected by similarity."""
-    clusters = components(candidate_links(sets, counts, percent))
-    members = clusters.select("node", F.col("component").alias("cluster"))
+    heads = first_shingles(sets, counts, percent)
     sides = sets.select("node", "shingles")
-    placed = materialize(_blocks(members, block), "blocks")
-    task = lambda *c: F.concat_ws("/", *(F.col(x).cast("string") for x in c))
-    first = placed.join(sides, "node").select(task("cluster", "block").alias("task"), F.lit(0).alias("side"), "node", "shingles")
+    # each node of a pair's smaller name is asked against the others, in blocks
+    pairs = materialize(pairs_of_few(heads.filter(F.col("k") <= few), percent), "pairs")
+    number = F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / block))
+    dealt = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("m")), "a").select("a", F.col("b").alias("node"), number.alias("part"))
+    asked = dealt.select("a", F.col("a").alias("node"), "part").distinct()
+    one = lambda d, side: d.select(_task("a", "part").alias("task"), F.lit(side).alias("side"), "node")
+    tasks = one(dealt, 0).union(one(asked, 1)).join(sides, "node")
+    return join_tasks(tasks, counts, percent).union(links_of_many(heads.filter(F.col("k") > few), sides, counts, percent, block))
+
+
+def _task(*columns: str) -> Column:
+    return F.concat_ws("/", *(F.col(c).cast("string") for c in columns))
+
+
+def links_of_many(heads: DataFrame, sides: DataFrame, counts: np.ndarray, percent: int, block: int) -> DataFrame:
+    """The same for nodes that share a first shingle with many others."""
+    leader = heads.groupBy("h").agg(F.min("node").alias("b"))
+    clusters = components(heads.join(leader, "h").select(F.col("node").alias("a"), "b"))
+    placed = materialize(_blocks(clusters.select("node", F.col("component").alias("cluster")), block), "blocks")
+    first = placed.join(sides, "node").select(_task("cluster", "block").alias("task"), F.lit(0).alias("side"), "node", "shingles")
     found = materialize(join_tasks(first, counts, percent), "near-links")
     big = placed.filter("blocks > 1")
-    if not big.limit(1).count():
-        return found
-    # one node of each component and block is joined across blocks, until one block holds them all
-    heads = big
-    while True:
-        joined = _with_component(heads.select("node", "cluster"), found)
-        heads = joined.groupBy("cluster", "component").agg(F.min("node").alias("node"))
-        heads = materialize(_blocks(heads.select("node", "cluster"), block), "heads")
-        tasks = heads.join(sides, "node").select(task("cluster", "block").alias("task"), F.lit(0).alias("side"), "node", "shingles")
-        more = materialize(join_tasks(tasks, counts, percent), "near-links")
-        if not more.limit(1).count():
-            break
-        found = found.union(more)
-        if not heads.filter("blocks > 1").limit(1).count():
-            break
-    joined = materialize(_with_component(big.select("node", "cluster", "block", "blocks"), found), "big-clusters")
+    # one node of each component of a block is joined with those of other blocks
+    one = _with_component(big.select("node", "cluster"), found).groupBy("cluster", "component").agg(F.min("node").alias("node"))
+    one = _blocks(one.select("node", "cluster"), block).join(sides, "node")
+    one = one.select(_task("cluster", "block").alias("task"), F.lit(0).alias("side"), "node", "shingles")
+    found = materialize(found.union(join_tasks(one, counts, percent)), "near-links")
+    # what isn't in its cluster's main component now is compared with every block
+    joined = materialize(_with_component(big.select("node", "cluster"), found), "big-clusters")
     counted = joined.groupBy("cluster", "component").agg(F.count("*").alias("k"))
     main = counted.groupBy("cluster").agg(F.max(F.struct("k", "component"))["component"].alias("main"))
     rest = joined.join(main, "cluster").filter("component != main")
     rest = _blocks(rest.select("node", "cluster"), block).withColumnsRenamed({"block": "a", "blocks": "a_blocks"})
     rest = materialize(rest, "rest")
     span = rest.groupBy("cluster").agg(F.max("a_blocks").alias("a_blocks"))
+    all_of = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1))
     asked = rest.join(big.groupBy("cluster").agg(F.max("blocks").alias("blocks")), "cluster").select(
-        "cluster", "node", "a", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("b"), F.lit(1).alias("side")
-    )
-    stored = big.join(span, "cluster").select(
-        "cluster", "node", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("a_blocks") - 1)).alias("a"), F.col("block").alias("b"), F.lit(0).alias("side")
+        "cluster", "node", "a", all_of("blocks").alias("b"), F.lit(1).alias("side")
     )
-    tasks = asked.unionByName(stored).join(sides, "node").select(task("cluster", "a", "b").alias("task"), "side", "node", "shingles")
+    stored = big.join(span, "cluster").select("cluster", "node", all_of("a_blocks").alias("a"), F.col("block").alias("b"), F.lit(0).alias("side"))
+    tasks = asked.unionByName(stored).join(sides, "node").select(_task("cluster", "a", "b").alias("task"), "side", "node", "shingles")
     return found.union(join_tasks(tasks, counts, percent))
 
 
@@ -444,24 +461,24 @@ def _with_component(members: DataFrame, found: DataFrame) -> DataFrame:
     return members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, **options) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id."""
-    return _labelled(docs, words, percent, block).select("doc_id", "n_shingles", "component_id")
+    return _labelled(docs, words, percent, **options).select("doc_id", "n_shingles", "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, **options) -> DataFrame:
     """The documents without those that link to one with a smaller id, with their own columns.
 
     Rows that share the smallest id of their component stay together.
     """
-    kept = _labelled(docs, words, percent, block).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "k1", "k2").distinct()
+    kept = _labelled(docs, words, percent, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "k1", "k2").distinct()
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     rows = keyed(docs.select(whole.alias("row"), F.col("doc_id").cast("bigint").alias("of"), F.col("text")), F.col("text"))
     same = (rows["k1"] == kept["k1"]) & (rows["k2"] == kept["k2"]) & rows["of"].eqNullSafe(kept["doc_id"])
     return rows.join(kept, same, "left_semi").select("row.*")
 
 
-def _labelled(docs: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+def _labelled(docs: DataFrame, words: int, percent: int, block: int = BLOCK, few: int = FEW) -> DataFrame:
     """Per document: doc_id, the two keys of its text, n_shingles, component_id."""
     rows = keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")), F.col("text"))
     found = nodes(rows, words, percent).withColumn("node", F.when(F.col("n") > 0, F.concat_ws("/", F.hex("s1"), F.hex("s2"), "n")))
@@ -469,7 +486,7 @@ def _labelled(docs: DataFrame, words: int, percent: int, block: int) -> DataFram
     texts = rows.join(wanted, ["k1", "k2"], "left_semi").select("text")
     sets = _read_sets(texts, words).select(F.concat_ws("/", F.hex("s1"), F.hex("s2"), "n").alias("node"), "shingles")
     sets = materialize(sets.groupBy("node").agg(F.min("shingles").alias("shingles")), "shingle-sets")
-    label = components(links(sets, frequencies(sets), percent, block))
+    label = components(links(sets, frequencies(sets), percent, block, few))
     classes = found.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = materialize(named, "near-classes")
