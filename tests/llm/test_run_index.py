@@ -36,6 +36,9 @@ def result(df):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(alphabet="ab", min_size=1, max_size=40), min_size=1, max_size=6))
 def test_matching_statistics(strings):
+    double = [s.encode() for s in strings[:1]]
+    index = run_index.RunIndex(double)
+    assert list(index.matching_statistics(np.array([True]))) == list(run_index.RunIndex(double * 2).matching_statistics()[: len(double[0])])
     strings = [s.encode() for s in strings]
     index = run_index.RunIndex(strings)
     got, at = index.matching_statistics(), 0

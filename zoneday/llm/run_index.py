@@ -11,7 +11,7 @@ anchor occurs once in the corpus cannot repeat and are left.
 
 Indexing.  The different contexts of anchors are dealt out by anchor.  Tasks
 join them to texts of a few megabytes, a context that occurs more than once
-twice, and build a run-length index over each: the Burrows-Wheeler transform
+standing for two, and build a run-length index over each: the Burrows-Wheeler transform
 in runs, with a sample of the text position at each run's head and of the one
 before it in suffix order, and the length of their common prefix.  Along the
 text the matching statistic (the longest match with any other place) falls by
@@ -103,57 +103,73 @@ def contexts(rows: DataFrame, least: int, size: int, stretch: int = STRETCH) ->
 class RunIndex:
     """A run-compressed Burrows-Wheeler transform of several strings, with sampled run heads.
 
-    ``runs``: for each run its byte (-1 before a string's first byte), its
-    length, and the text positions of its head and of the suffix before the
-    head in suffix order; ``common``: the common prefix of these two.
+    For each run its byte (-1 before a string's first byte) and its length;
+    for each run's head its text position, that of the suffix before it in
+    suffix order, and the length of their common prefix.  Samples whose common
+    prefix is sure to be below ``least`` are left out.
     """
 
-    def __init__(self, strings: list[bytes]):
+    def __init__(self, strings: list[bytes], least: int = 1):
         sizes = np.array([len(s) for s in strings], dtype=np.int64)
         self.text = np.frombuffer(b"".join(strings), dtype=np.uint8)
         n = len(self.text)
+        self.starts = (np.cumsum(sizes) - sizes)[sizes > 0]
         self.ends = np.repeat(np.cumsum(sizes), sizes)
-        self.first = np.zeros(n, dtype=bool)
-        self.first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-        levels = self._sort()
-        before = np.where(self.first[self.order], -1, self.text[self.order - 1].astype(np.int16))
-        head = np.r_[True, (before[1:] != before[:-1]) | (before[1:] < 0)]
-        at = np.flatnonzero(head)
+        order, levels = self._sort()
+        before = self.text[order - 1].astype(np.int16)
+        first = np.zeros(n, dtype=bool)
+        first[self.starts] = True
+        before[first[order]] = -1
+        at = np.flatnonzero(np.r_[True, (before[1:] != before[:-1]) | (before[1:] < 0)])
         self.run_byte, self.run_size = before[at], np.diff(np.r_[at, n])
         at = at[at > 0]
-        self.head, self.above = self.order[at], self.order[at - 1]
-        self.common = self._common(self.head, self.above, levels)
-
-    def _sort(self) -> list[tuple[int, np.ndarray]]:
-        """Suffix order by doubling; a string's end sorts first, equal suffixes by position."""
+        head, above = order[at], order[at - 1]
+        short = [rank for h, rank in levels if h <= least]
+        if short:
+            close = short[-1][head] == short[-1][above]
+            head, above = head[close], above[close]
+        self.head, self.above = head, above
+        self.common = self._common(head, above, levels)
+
+    def _sort(self) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+        """Suffix order by doubling; a string's end sorts first, equal suffixes by position.
+
+        A rank is the place of the first suffix that is equal so far.  Only
+        suffixes whose rank is not yet theirs alone are sorted again.
+        """
         n = len(self.text)
         left = self.ends - np.arange(n)
+        byte = np.zeros(n + 7, dtype=np.uint64)
+        byte[:n] = self.text
+        byte[:n] += np.uint64(1)
         word = np.zeros(n, dtype=np.uint64)
         for j in range(7):  # seven bytes, each one up so that an end is zero
-            ok = left > j
-            part = np.zeros(n, dtype=np.uint64)
-            part[ok] = self.text[np.flatnonzero(ok) + j].astype(np.uint64) + np.uint64(1)
-            word = word * np.uint64(257) + part
-        order = np.argsort(word, kind="stable")
-        rank = self._ranks(word[order], order)
+            word *= np.uint64(257)
+            word += np.where(left > j, byte[j : n + j], np.uint64(0))
+        order = np.argsort(word)
+        fresh = np.r_[True, np.diff(word[order]) != 0][:n]
+        rank = np.empty(n, dtype=np.int32)
+        rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
         levels, h, longest = [(7, rank)], 7, int(left.max(initial=0))
-        while h < longest and int(rank.max(initial=0)) + 1 < n:
-            there = left > h
-            second = np.zeros(n, dtype=np.int64)
-            second[there] = rank[np.flatnonzero(there) + h] + 1
-            pair = rank.astype(np.int64) * (n + 1) + second
-            order = np.argsort(pair, kind="stable")
-            rank = self._ranks(pair[order], order)
+        # members of groups of two and more, in order
+        open_ = order[~(fresh & np.r_[fresh[1:], True])]
+        while h < longest and len(open_):
+            old = rank[open_].astype(np.int64)
+            there = left[open_] > h
+            second = np.where(there, rank[np.minimum(open_ + h, n - 1)].astype(np.int64) + 1, 0)
+            key = old * (n + 1) + second
+            by = np.argsort(key)
+            open_, old, key = open_[by], old[by], key[by]
+            place = np.arange(len(open_))
+            group = np.maximum.accumulate(np.where(np.r_[True, np.diff(old) != 0], place, 0))
+            fresh = np.r_[True, np.diff(key) != 0]
+            same = np.maximum.accumulate(np.where(fresh, place, 0))
+            rank = rank.copy()
+            rank[open_] = old + same - group
             h *= 2
             levels.append((h, rank))
-        self.order = order
-        return levels
-
-    @staticmethod
-    def _ranks(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
-        rank = np.empty(len(order), dtype=np.int32)
-        rank[order] = np.cumsum(np.r_[False, keys[1:] != keys[:-1]][: len(keys)])
-        return rank
+            open_ = open_[~(fresh & np.r_[fresh[1:], True])]
+        return np.argsort(rank.astype(np.int64) * (n + 1) + np.arange(n)), levels
 
     def _common(self, i: np.ndarray, j: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> np.ndarray:
         """Lengths of common prefixes of suffixes, within their strings."""
@@ -169,31 +185,33 @@ class RunIndex:
             got[same] += 1
         return got
 
-    def matching_statistics(self) -> np.ndarray:
-        """For each position the longest string from there, within its string, that also starts elsewhere."""
+    def matching_statistics(self, twice: np.ndarray | None = None) -> np.ndarray:
+        """For each position the longest string from there, within its string, that also starts elsewhere.
+
+        Strings marked ``twice`` stand for two equal ones; a second copy would
+        add no run, and matches the first to its end.
+        """
         reach = np.arange(len(self.text))
         np.maximum.at(reach, self.head, self.head + self.common)
         np.maximum.at(reach, self.above, self.above + self.common)
+        if twice is not None:
+            both = self.starts[twice]
+            reach[both] = self.ends[both]
         return np.maximum.accumulate(reach) - np.arange(len(self.text))
 
 
 def marks(strings: list[bytes], twice: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches of the strings that lie in a repeated ``least``-byte string: string, start and end."""
-    texts = [s for s, t in zip(strings, twice, strict=True) for _ in range(1 + bool(t))]
-    index = RunIndex(texts)
-    statistic = index.matching_statistics()
+    """Stretches of non-empty strings that lie in a repeated ``least``-byte string: string, start and end."""
+    index = RunIndex(strings, least)
+    statistic = index.matching_statistics(twice.astype(bool))
     cover = np.zeros(len(index.text) + 1, dtype=np.int64)
     hit = np.flatnonzero(statistic >= least)
-    np.add.at(cover, hit, 1)
+    cover[hit] += 1
     np.add.at(cover, hit + statistic[hit], -1)
-    covered = np.cumsum(cover[:-1]) > 0
-    bounds = np.r_[0, np.cumsum([len(s) for s in texts])]
-    start, end = flat.runs(covered, bounds)
+    bounds = np.r_[0, np.cumsum([len(s) for s in strings])]
+    start, end = flat.runs(np.cumsum(cover[:-1]) > 0, bounds)
     which = flat.owner(start, bounds)
-    number = np.repeat(np.arange(len(strings)), 1 + twice.astype(bool))
-    once = np.r_[True, number[1:] != number[:-1]][which]  # not the second copy
-    start, end, which = start[once], end[once], which[once]
-    return number[which], start - bounds[which], end - bounds[which]
+    return which, start - bounds[which], end - bounds[which]
 
 
 MARKS = "anchor bigint, context bigint, start bigint, end bigint"
