@@ -139,13 +139,17 @@ class RunIndex:
         """
         n = len(self.text)
         left = self.ends - np.arange(n)
+        # seven bytes as one number, each one up so that an end is zero
         byte = np.zeros(n + 7, dtype=np.uint64)
         byte[:n] = self.text
         byte[:n] += np.uint64(1)
-        word = np.zeros(n, dtype=np.uint64)
-        for j in range(7):  # seven bytes, each one up so that an end is zero
-            word *= np.uint64(257)
-            word += np.where(left > j, byte[j : n + j], np.uint64(0))
+        two = byte[:-1] * np.uint64(257) + byte[1:]
+        four = two[:-2] * np.uint64(257**2) + two[2:]
+        word = (four[:n] * np.uint64(257**2) + two[4 : n + 4]) * np.uint64(257) + byte[6 : n + 6]
+        tail = np.flatnonzero(left < 7)
+        word[tail] = 0
+        for j in range(7):
+            word[tail] = word[tail] * np.uint64(257) + np.where(left[tail] > j, byte[tail + j], np.uint64(0))
         order = np.argsort(word)
         fresh = np.r_[True, np.diff(word[order]) != 0][:n]
         rank = np.empty(n, dtype=np.int32)
@@ -169,7 +173,15 @@ class RunIndex:
             h *= 2
             levels.append((h, rank))
             open_ = open_[~(fresh & np.r_[fresh[1:], True])]
-        return np.argsort(rank.astype(np.int64) * (n + 1) + np.arange(n)), levels
+        # what is left open are equal suffixes
+        place = rank.copy()
+        by = np.lexsort((open_, rank[open_]))
+        open_ = open_[by]
+        at = np.arange(len(open_))
+        place[open_] += (at - np.maximum.accumulate(np.where(np.r_[True, np.diff(rank[open_]) != 0][: len(at)], at, 0))).astype(np.int32)
+        order = np.empty(n, dtype=np.int64)
+        order[place] = np.arange(n)
+        return order, levels
 
     def _common(self, i: np.ndarray, j: np.ndarray, levels: list[tuple[int, np.ndarray]]) -> np.ndarray:
         """Lengths of common prefixes of suffixes, within their strings."""
@@ -221,9 +233,16 @@ def index_marks(found: DataFrame, least: int) -> DataFrame:
     """Marks of contexts (anchor, context, twice, bytes), indexed by anchor in texts of about INDEX_BYTES."""
 
     def emit(rows):
-        which, start, end = marks([r[3] for r in rows], np.array([r[2] for r in rows]), least)
         anchor = np.array([r[0] for r in rows], dtype=np.int64)
         context = np.array([r[1] for r in rows], dtype=np.int64)
+        twice = np.array([r[2] for r in rows])
+        other = np.r_[True, anchor[1:] != anchor[:-1]]
+        # the only context of its anchor stands for two: it has no other partner, and its copy matches it to the end
+        lone = np.flatnonzero(other & np.r_[other[1:], True] & twice)
+        rest = np.setdiff1d(np.arange(len(rows)), lone)
+        which, start, end = marks([rows[i][3] for i in rest], twice[rest], least) if len(rest) else (rest, rest, rest)
+        which = np.r_[lone, rest[which]]
+        start, end = np.r_[0 * lone, start], np.r_[[len(rows[i][3]) for i in lone], end].astype(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor[which], context[which], start, end)], ["anchor", "context", "start", "end"])
 
     def run(batches):
