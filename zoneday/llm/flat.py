@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_CHARS = 1 << 20  # texts handled at once; one longer text is a chunk of its own
+SLICE_ROWS = 1024
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 _BASE = 0x9E3779B97F4A7C15
 
@@ -109,15 +110,17 @@ def owner(positions: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def byte_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Each batch in slices of about one chunk: the slice, the UTF-8 bytes of its texts (null: none) and their bounds."""
-    for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()).fill_null("")
-        bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
-        data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
-        a = 0
-        while a < len(texts):
-            b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + limit, side="right")) - 1)
-            yield batch.slice(a, b - a), data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
-            a = b
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE_ROWS):  # a few rows at a time are copied
+            batch = whole.slice(at, SLICE_ROWS)
+            texts = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()).fill_null("")
+            bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
+            a = 0
+            while a < len(texts):
+                b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + limit, side="right")) - 1)
+                yield batch.slice(a, b - a), data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
+                a = b
 
 
 class SpanHashes:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from zoneday.session import materialize
 
-FLUSH = 500_000
+FLUSH = 100_000
 
 def _contract(edges: DataFrame) -> DataFrame:
     """In each task's share of the links, every node linked to the smallest node it is connected with there."""

@@ -247,7 +247,7 @@ def index_marks(found: DataFrame, least: int) -> DataFrame:
 
     def run(batches):
         held, size = [], 0
-        for batch in batches:
+        for batch in (b.slice(at, 2048) for b in batches for at in range(0, b.num_rows, 2048)):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and size > INDEX_BYTES and row[0] != held[-1][0]:
                     yield emit(held)

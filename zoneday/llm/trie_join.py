@@ -43,12 +43,12 @@ from zoneday.session import materialize
 
 WORDS = 5
 PERCENT = 75
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 PART = 1 << 17  # shingles of one hash range
-CELLS = 1 << 22
+CELLS = 1 << 21
 FEW = 32
 BLOCK = 256
-CELL_BUDGET = 1 << 24
+CELL_BUDGET = 1 << 22
 MANY = 0xFFFF
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -170,7 +170,7 @@ def nodes(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
     def count(batches):
         held = []
-        for batch in batches:
+        for batch in _slices(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[1] < 0:
                     yield _table({"chunk": ([row[0]], pa.int64()), "part": ([-1], pa.int64()), "docs": ([row[2]], pa.binary()), "counts": ([b""], pa.binary())})
@@ -185,7 +185,7 @@ def nodes(rows: DataFrame, words: int, percent: int) -> DataFrame:
     def finish(batches):
         """The rows of each chunk, its own list of documents first."""
         base = shared = None
-        for batch in batches:
+        for batch in _slices(batches):
             for _, part, docs, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if part < 0:
                     if base is not None:
@@ -222,13 +222,20 @@ def _read_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "s1 bigint, s2 bigint, n bigint, shingles binary")
 
 
+def _slices(batches, rows: int = 512):
+    """Smaller batches: a few sets are copied at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def frequencies(sets: DataFrame, cells: int = CELLS) -> np.ndarray:
     """How often the shingles of each of ``cells`` hash cells occur; always the same size."""
     block = 4096
 
     def run(batches):
         total = np.zeros(cells, dtype=np.int64)
-        for batch in batches:
+        for batch in _slices(batches):
             np.add.at(total, _cell(np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint64), cells), 1)
         for i in np.flatnonzero(total.reshape(-1, block).any(axis=1)):
             part = total[i * block : (i + 1) * block]
@@ -263,7 +270,7 @@ def first_shingles(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFra
     """(h, node, n, k): the first shingles of each node in the global order, and how many nodes have each; two or more."""
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             node, size, first = [], [], []
             for name, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 h = order_of(np.frombuffer(s, dtype=np.uint64), counts)
@@ -388,7 +395,7 @@ def join_tasks(tasks: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
             links = _join_task([r[2] for r in held], [np.frombuffer(r[3], dtype=np.uint64) for r in held], side, counts, percent)
             return _table({"a": ([x for x, _ in links], pa.string()), "b": ([y for _, y in links], pa.string())})
 
-        for batch in batches:
+        for batch in _slices(batches):
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and held[-1][0] != row[0]:
                     if len(held) > 1:
