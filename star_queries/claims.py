@@ -260,7 +260,7 @@ def employment_by_crosswalk(spark, sf):
     ),
 )
 def employment_from_csv(spark, sf):
-    """Sheets as text with line breaks in headers, thousands commas and two layouts, read back."""
+    """Sheets as text with thousands commas, two layouts and rows that do not count, read back."""
     s = sheets(spark, sf).select(
         F.substring("fips", 1, 2).alias("St"),
         F.substring("fips", 3, 3).alias("Cnty"),
@@ -270,9 +270,9 @@ def employment_from_csv(spark, sf):
         F.lit("10 Total, all industries").alias("Industry"),
         *[F.format_number(m, 0).alias(m.title().replace("_", " ")) for m in fv.MONTH_COLUMNS],
     )
-    noise = s.limit(0).unionByName(s.withColumn("Ownership", F.lit("Private")))
+    noise = s.withColumn("Ownership", F.lit("Private"))
     root = scratch_path(spark, "employment-csv")
-    sinks.write_csv(s.filter("Qtr <= 2").drop("Status").coalesce(1), f"{root}/a")
+    sinks.write_csv(s.filter("Qtr <= 2"), f"{root}/a")
     sinks.write_csv(s.filter("Qtr > 2").withColumn("Status Code", F.lit("N")), f"{root}/b")
     sinks.write_csv(noise, f"{root}/c")
     raw = tables.read_employment(spark, root, prefix="part-")
@@ -569,6 +569,32 @@ def exact_quantiles(spark, sf):
     return q.select("l_returnflag", "total", *parts)
 
 
+@register(
+    "quantiles_hot_values",
+    """select l_linestatus, count(*) as total, round(quantile_cont(v,0.25),4) as q1, round(quantile_cont(v,0.5),4) as median,
+       round(quantile_cont(v,0.9),4) as q9 from (select l_linestatus, case when l_orderkey % 2 = 0 then l_linenumber else l_extendedprice end as v from lineitem)
+       group by 1""",
+)
+def quantiles_hot_values(spark, sf):
+    """Half of all rows on seven values."""
+    value = F.when(F.col("l_orderkey") % 2 == 0, F.col("l_linenumber").cast("double")).otherwise(F.col("l_extendedprice"))
+    q = summaries.exact_quantiles(table(spark, sf, "lineitem").withColumn("v", value), "l_linestatus", "v", [0.25, 0.5, 0.9])
+    return q.select("l_linestatus", "total", *[r(F.get("q", i), 4).alias(n) for i, n in enumerate(("q1", "median", "q9"))])
+
+
+@register(
+    "quoted_csv",
+    """select p_partkey as code, 'say "' || p_name || '", ' || chr(92) || ' or "not"' as description from part""",
+)
+def quoted_csv(spark, sf):
+    """Doubled quotes, commas and backslashes in text written by hand, not by the CSV sink."""
+    p = table(spark, sf, "part")
+    line = F.concat(F.col("p_partkey").cast("string"), F.lit(',"say ""'), "p_name", F.lit('"", \\ or ""not""",x'))
+    path = scratch_path(spark, "quoted")
+    p.select(line.alias("value")).write.text(path)
+    return tables.read_text_csv(spark, path, ["code", "description", "more"]).select(F.col("code").cast("bigint"), "description")
+
+
 @register(
     "formatted_counts",
     sql(

@@ -615,18 +615,19 @@ def gate_era_shape(spark, sf):
                 "n",
                 "'0'",
                 "error",
-                "from (select era, count(*) filter (where date not between start_date and end_date) as n from "
-                "(select case when user_id % 2 = 0 then 'e1' else 'e2' end as era, cast(ts as date) as date from events) join eras using (era) group by 1)",
+                "from (select coalesce(r.era, e.era) as era, count(*) filter (where e.era is null or date not between start_date and end_date) as n from "
+                "(select case user_id % 3 when 0 then 'e1' when 1 then 'e2' else 'e9' end as era, cast(ts as date) as date from events) r "
+                "full join eras e on r.era = e.era group by 1)",
             )
         ],
         "eras",
     ),
 )
 def gate_vintage(spark, sf):
-    """Rows labelled by user, so that both eras hold rows outside their dates and fail."""
-    rows = table(spark, sf, "events").select(
-        F.when(F.col("user_id") % 2 == 0, "e1").otherwise("e2").alias("era"), F.to_date("ts").alias("date")
-    )
+    """Rows labelled by user, so that both eras hold rows outside their dates and fail, as does an era nobody knows."""
+    third = F.col("user_id") % 3
+    era = F.when(third == 0, "e1").when(third == 1, "e2").otherwise("e9")
+    rows = table(spark, sf, "events").select(era.alias("era"), F.to_date("ts").alias("date"))
     return checks.check_vintage(rows, eras(spark, sf))
 
 
@@ -879,18 +880,55 @@ def panel_parquet(spark, sf):
 
 @register(
     "extracts_csv",
-    sql("select fips, date, var, round(value,6) as value from weather_long where var in ('tmax','tmin')", "weather_long"),
+    sql("select fips, date, var, round(value,6) as value from weather_long", "weather_long"),
 )
 def extracts_csv(spark, sf):
-    """Per-variable CSV files, read back as one long table by file name."""
-    from star_queries.files import write_named_csv
+    """Per-variable CSV extracts, read back as one long table by name."""
+    root = write_extract_files(spark, sf)
+    return tables.read_extracts(spark, root, ALL_LONG, "fips").withColumn("value", r("value"))
+
+
+ALL_LONG = ("tmean", "tmin", "tmax", "tdmean", "ppt")
+
 
+def write_extract_files(spark, sf):
+    """One extract per variable, and one under a name that does not count."""
     long = view(spark, sf, "weather_long")
     root = scratch_path(spark, "extracts")
-    for var in ("tmax", "tmin"):
-        write_named_csv(long.filter(F.col("var") == var).select("fips", "date", "value"), root, f"{var}_2024.csv")
-    write_named_csv(long.filter("var = 'tmax'").select("fips", "date", "value"), root, "tmax_2024_test.csv")
-    return tables.read_extracts(spark, root, ("tmax", "tmin"), "fips").withColumn("value", r("value"))
+    for var in ALL_LONG:
+        sinks.write_csv(long.filter(F.col("var") == var).select("fips", "date", "value"), f"{root}/{var}_2024.csv")
+    sinks.write_csv(long.filter("var = 'tmax'").select("fips", "date", "value"), f"{root}/tmax_2024_test.csv")
+    return root
+
+
+@register(
+    "skipped_files",
+    sql(
+        """select var || '_2024.csv' as file, count(*) as n_rows, cast(0 as bigint) as n_bad_dates, 'read' as status from weather_long group by 1
+           union all select 'tmax_2024_test.csv', 0, 0, 'stray'
+           union all select 'tmin_2023.csv', 0, 0, 'skipped'
+           union all select 'ppt_2022.csv', count(*), count(*), 'damaged' from weather_long where var = 'ppt'""",
+        "weather_long",
+    ),
+)
+def skipped_files(spark, sf):
+    """Every extract file by name: those read, a stray one, an empty one and one whose dates cannot be read."""
+    root = write_extract_files(spark, sf)
+    long = view(spark, sf, "weather_long").select("fips", "date", "value", "var")
+    sinks.write_csv(long.filter("var is null").drop("var"), f"{root}/tmin_2023.csv")
+    bad = long.filter("var = 'ppt'").select("fips", F.concat(F.lit("day "), F.col("date").cast("string")).alias("date"), "value")
+    sinks.write_csv(bad, f"{root}/ppt_2022.csv")
+    return tables.extract_report(spark, root, ALL_LONG, "fips")
+
+
+@register(
+    "duplicate_keys",
+    """select user_id as fips, cast(ts as date) as date, event_type as var, count(*) as n_rows from events group by 1,2,3 having count(*) > 1""",
+)
+def duplicate_keys(spark, sf):
+    """Events as unmerged extract rows: users with several events of one type on one day."""
+    rows = table(spark, sf, "events").select(F.col("user_id").alias("fips"), F.to_date("ts").alias("date"), F.col("event_type").alias("var"))
+    return rollup.duplicate_keys(rows, ["fips", "date"])
 
 
 @register("sink_report")

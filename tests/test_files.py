@@ -133,9 +133,12 @@ def test_catalog_and_decode(spark, tmp_path, rows):
     grid = rasters.read_grid_header(spark, header)
     assert (grid.x0, grid.y0, grid.nrows, grid.ncols) == (-100.0, 40.0, 3, 4)
     files = rasters.read_raster_bytes(spark, str(tmp_path), ["tmax"])
+    with pytest.raises(Exception, match="grid cut short: tmax 2020-01-03"):
+        rasters.decode_bil(files, grid).collect()
+    files = files.filter("length(content) >= 48")
     lines = rasters.decode_bil(files.filter("year(date) = 2020"), grid)
     got = {(r.date.day, r.row): r["values"] for r in lines.collect()}
-    assert sorted(got) == [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2)]  # the truncated day is left out
+    assert sorted(got) == [(1, 0), (1, 1), (1, 2), (2, 0), (2, 1), (2, 2)]
     assert got[1, 0] == [0.0, None, 2.0, 3.0] and got[1, 2] == [8.0, 9.0, 10.0, None] and got[2, 1] == [104.0, 105.0, 106.0, 107.0]
     cut = rasters.decode_bil(files.filter("year(date) = 2020"), grid, window=(1, 2, 1, 2))
     assert {(r.date.day, r.row): r["values"] for r in cut.collect()}[1, 1] == [9.0, 10.0]
@@ -168,7 +171,10 @@ def test_geojson_lines_and_collections(spark, tmp_path, rows):
         assert rows(got.select("zone_id", "zone_name", "part", "ring"), "zone_id", "part", "ring") == want
         assert [tuple(p) for p in got.first().pts] == [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]
     (tmp_path / "z.json").write_text(json.dumps({"type": "Feature", "properties": {"ZCTA5CE20": "501"}, "geometry": features[0]["geometry"]}))
-    assert polygons.read_polygons(spark, str(tmp_path / "z.json"), properties=("ZCTA5CE20",)).first().zone_id == "00501"
+    assert polygons.read_polygons(spark, str(tmp_path / "z.json")).first().zone_id == "00501"
+    (tmp_path / "no.json").write_text(json.dumps({"type": "Feature", "properties": {"NAME": "x"}, "geometry": features[0]["geometry"]}))
+    with pytest.raises(Exception, match="polygon without any of"):
+        polygons.read_polygons(spark, str(tmp_path / "no.json")).collect()
 
 
 # ---- sinks ---------------------------------------------------------------
@@ -193,15 +199,17 @@ def test_panel_files_are_ordered_and_partitioned(spark, tmp_path, rows):
 
 def test_extract_sink_resumes(spark, tmp_path, rows):
     path = str(tmp_path / "out")
-    make = lambda value, periods: spark.createDataFrame(
-        [("tmax", p, "z", value) for p in periods], "var string, period string, zone_id string, value double"
+    make = lambda value, days: spark.createDataFrame(
+        [("tmax", str(d.year), d, "z", value) for d in days], "var string, period string, date date, zone_id string, value double"
     )
-    sinks.write_extracts(make(1.0, ["2019"]), path, ["zone_id"])
-    sinks.write_extracts(make(2.0, ["2019", "2020"]), path, ["zone_id"])
-    back = spark.read.parquet(path).select("period", "value")
-    assert [(str(p), v) for p, v in rows(back, "period")] == [("2019", 1.0), ("2020", 2.0)]
-    jobs = spark.createDataFrame([("tmax", "2020"), ("tmax", "2021")], "var string, period string")
-    assert rows(sinks.pending_extracts(jobs, path)) == [("tmax", "2021")]
+    first, second, third = date(2019, 1, 1), date(2019, 1, 2), date(2020, 1, 1)
+    sinks.write_extracts(make(1.0, [first]), path, ["zone_id"])
+    sinks.write_extracts(make(2.0, [first, second, third]), path, ["zone_id"])
+    sinks.write_extracts(make(3.0, [first, second, third]), path, ["zone_id"])
+    back = spark.read.parquet(path).select("date", "value")
+    assert rows(back, "date") == [(first, 1.0), (second, 2.0), (third, 2.0)]
+    jobs = spark.createDataFrame([("tmax", third), ("tmax", date(2020, 1, 2))], "var string, date date")
+    assert rows(sinks.pending_extracts(jobs, path)) == [("tmax", date(2020, 1, 2))]
 
 
 def test_extraction_from_files_to_periods(spark, tmp_path, rows):
@@ -226,10 +234,41 @@ def test_extraction_from_files_to_periods(spark, tmp_path, rows):
     assert rows(weights, "col") == [("z", 1, 0, 1, 0.5), ("z", 1, 1, 1, 1.0)]
     run = lambda last: extract_zones(spark, str(src), ["tmax"], date(2019, 1, 1), last, grid, weights, out, bbox)
     assert run(date(2019, 12, 31)).count() == 1
-    assert rows(run(date(2020, 12, 31)).select("date"), "date") == [(date(2020, 1, 1),), (date(2020, 1, 2),)]
+    got = rows(run(date(2020, 12, 31)).select("date", "status"), "date")
+    assert got == [(date(2020, 1, 1), "read"), (date(2020, 1, 2), "read"), (date(2020, 1, 3), "too short")]
+    assert rows(run(date(2020, 12, 31)).select("date", "status")) == [(date(2020, 1, 3), "too short")]
+    with pytest.raises(ValueError, match="20200103"):
+        extract_zones(spark, str(src), ["tmax"], date(2019, 1, 1), date(2020, 12, 31), grid, weights, out, bbox, strict=True)
+    back = spark.read.parquet(out).select("zone_id", "date", "value")
+    want = [("z", date(2019, 12, 31), 5.0), ("z", date(2020, 1, 1), 105.0), ("z", date(2020, 1, 2), 105.0)]
+    assert rows(back, "date") == want
+    # the grid is repaired: its day arrives, in a period that already has days
+    grid_file(src, "grid_tmax_us_25m_20200103.bil", base + 200 * (base != -9999))
+    assert rows(run(date(2020, 12, 31)).select("date", "status")) == [(date(2020, 1, 3), "read")]
     assert run(date(2020, 12, 31)).isEmpty()
     back = spark.read.parquet(out).select("zone_id", "date", "value")
-    assert rows(back, "date") == [("z", date(2019, 12, 31), 5.0), ("z", date(2020, 1, 1), 105.0), ("z", date(2020, 1, 2), 105.0)]
+    assert rows(back, "date") == [*want, ("z", date(2020, 1, 3), 205.0)]
+
+
+def test_quoted_text_and_extract_report(spark, tmp_path, rows):
+    (tmp_path / "icd9.csv").write_text('dgns_cd,longdesc,more\n1,"Injury, ""crush"", of hand",x\n2,"a \\ b",y\n')
+    assert rows(tables.read_icd9(spark, str(tmp_path / "icd9.csv")), "code") == [("1", 'Injury, "crush", of hand'), ("2", "a \\ b")]
+    sinks.write_csv(spark.createDataFrame([('say "no", twice', 1)], "t string, n int"), str(tmp_path / "csv"))
+    text = "".join(p.read_text() for p in (tmp_path / "csv").glob("part-*"))
+    assert '"say ""no"", twice",1' in text
+    ex = tmp_path / "ex"
+    ex.mkdir()
+    (ex / "tmax_2019.csv").write_text("fips,date,tmax\n1001,2019-01-01,5\n")
+    (ex / "tmax_2020.csv").write_text("fips,date,tmax\n1001,2020-01-01,5\n1001,soon,5\n")
+    (ex / "tmax_2021.csv").write_text("fips,date,tmax\n")
+    (ex / "tmax_2020_test.csv").write_text("fips,date,tmax\n1001,2020-01-01,5\n")
+    (ex / "tmin_2022.csv").write_bytes(b"fips,date,tmin\n1001,2022-01-01,3\n")
+    got = rows(tables.extract_report(spark, str(ex), ["tmax", "tmin"], "fips"), "file")
+    assert got == [
+        ("tmax_2019.csv", 1, 0, "read"), ("tmax_2020.csv", 2, 1, "damaged"), ("tmax_2020_test.csv", 0, 0, "stray"),
+        ("tmax_2021.csv", 0, 0, "skipped"), ("tmin_2022.csv", 1, 0, "read"),
+    ]
+    assert tables.read_extracts(spark, str(ex), ["tmax", "tmin"], "fips").count() == 4
 
 
 def test_scanline_table_layout(spark, tmp_path):

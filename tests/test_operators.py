@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zoneday.operators import dense, keys, manifest, reshape, rollup, summaries
 from zoneday.plans import claims as claim_plans
-from zoneday.session import fits_broadcast, lookup, materialize
+from zoneday.session import lookup, materialize
 
 
 def d(n):
@@ -32,24 +32,24 @@ def test_argmax_is_limited_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_lookup_same_result_beyond_the_bound(spark, rows):
+def test_lookup_starts_no_job(spark, rows):
     facts = spark.range(1000).selectExpr("id", "if(id < 400, 0, id % 50) as k")
     table = spark.range(40).selectExpr("id as k", "id * 2 as v")
-    near, far = (lookup(facts, table, "k", "left", max_rows=m) for m in (100, 10))
-    assert rows(near, "id") == rows(far, "id")
-    assert not fits_broadcast(table, 39) and fits_broadcast(table, 40)
+    spark.sparkContext.setJobGroup("lookup", "")
+    out = lookup(facts, table, "k", "left")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lookup")
+    assert [r.v for r in out.orderBy("id").collect()] == [2 * k if (k := 0 if i < 400 else i % 50) < 40 else None for i in range(1000)]
 
 
-def test_flag_any_never_null_and_same_beyond_bound(spark, rows):
+def test_flag_any_never_null(spark, rows):
     df = spark.createDataFrame(
         [(1, "T67.0", None), (2, None, " t67 "), (3, None, None), (4, "x", "T670"), (5, "", "")], "id int, c1 string, c2 string"
     )
     codes = spark.createDataFrame([("T67.0",), ("T670",), ("t67",), ("",)], "code string")
     want = [(1, True), (2, True), (3, False), (4, True), (5, False)]
-    for bound in (10, 1):
-        out = keys.flag_any(df, ["c1", "c2"], codes, max_rows=bound)
-        assert out.columns == ["id", "c1", "c2", "is_heat"]
-        assert rows(out.select("id", "is_heat"), "id") == want
+    out = keys.flag_any(df, ["c1", "c2"], codes)
+    assert out.columns == ["id", "c1", "c2", "is_heat"]
+    assert rows(out.select("id", "is_heat"), "id") == want
 
 
 def test_describe_codes_fallback_and_fan_out(spark, rows):
@@ -207,21 +207,47 @@ def test_exact_quantiles_match_numpy_on_skewed_groups(spark):
     data += [("ties", 5.0)] * 900 + [("ties", 6.0)] * 101 + [("one", 3.0)] + [("two", 1.0), ("two", 2.0), ("none", None)]
     df = spark.createDataFrame(data, "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
-    for margin in (0.002, 0.2):
-        got = {r.g: (r.total, r.q) for r in summaries.exact_quantiles(df, "g", "v", probs, margin).collect()}
-        for g in ("hot", "ties", "one", "two"):
-            values = [v for k, v in data if k == g]
-            assert got[g][0] == len(values)
-            assert got[g][1] == pytest.approx(list(np.quantile(values, probs)))
-        assert "none" not in got
+    got = {r.g: (r.total, r.q) for r in summaries.exact_quantiles(df, "g", "v", probs).collect()}
+    for g in ("hot", "ties", "one", "two"):
+        values = [v for k, v in data if k == g]
+        assert got[g][0] == len(values)
+        assert got[g][1] == pytest.approx(list(np.quantile(values, probs)))
+    assert "none" not in got
+
+
+def test_quantile_ranges_stay_small(spark, monkeypatch):
+    """Half of all rows on 500 low values: no range holds more than its share of the different values."""
+    seen = []
+    keep = summaries.materialize
+    monkeypatch.setattr(summaries, "materialize", lambda df, label: seen.append(keep(df, label)) or seen[-1])
+    df = spark.range(100_000).selectExpr("1 as g", "cast(if(id % 2 = 0, id % 500, 1000 + id) as double) as v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        q = summaries.exact_quantiles(df, "g", "v", [0.25, 0.5]).first().q
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    values = np.sort([i % 500 if i % 2 == 0 else 1000 + i for i in range(100_000)])
+    assert q == pytest.approx(list(np.quantile(values, [0.25, 0.5])))
+    sizes = [r["count"] for r in seen[0].groupBy("_bin").count().collect()]
+    assert sum(sizes) == 50_250 and max(sizes) < 2 * 50_250 / 4
+
+
+def test_merge_rejects_repeated_keys(spark, rows):
+    long = spark.createDataFrame(
+        [("a", d(0), "tmax", 31.0), ("a", d(0), "tmax", 33.0), ("a", d(0), "tmin", 1.0), ("b", d(0), "tmax", 2.0)],
+        "fips string, date date, var string, value double",
+    )
+    assert rows(rollup.duplicate_keys(long, ["fips", "date"])) == [("a", d(0), "tmax", 2)]
+    with pytest.raises(Exception, match="several rows of tmax for a 2024-01-01"):
+        rollup.merge_variables(long, ["fips", "date"], ["tmax", "tmin"]).collect()
+    once = long.filter("value <> 33")
+    assert rows(rollup.merge_variables(once, ["fips", "date"], ["tmax", "tmin"]), "fips") == [("a", d(0), 31.0, 1.0), ("b", d(0), 2.0, None)]
 
 
-def test_box_stats_both_ways(spark, rows):
+def test_box_stats(spark, rows):
     values = [1.0, 2.0, 3.0, 4.0, 100.0]
     df = spark.createDataFrame([("g", v) for v in values] + [("g", None)], "k string, v double")
-    for limit in (1000, 2):
-        got = rows(summaries.box_stats(df, "k", "v", exact_rows=limit))
-        assert got == [("g", 5, 2.0, 3.0, 4.0, 1.0, 4.0, 22.0, 1)]
+    assert rows(summaries.box_stats(df, "k", "v")) == [("g", 5, 2.0, 3.0, 4.0, 1.0, 4.0, 22.0, 1)]
     stats = summaries.box_stats(df, "k", "v")
     assert rows(summaries.box_outliers(df, stats, "k", "v")) == [("g", 100.0)]
 
@@ -271,6 +297,8 @@ def test_manifests(spark, rows):
     assert manifest.valid_files(cat, 50).count() == 3
     assert manifest.valid_files(cat, 50, (5, 5)).count() == 2
     assert rows(manifest.inventory(cat, d(0), d(3))) == [("v", 3, 4, 75.0)]
+    assert rows(manifest.inventory(cat, d(1), d(2))) == [("v", 2, 2, 100.0)]
+    assert rows(manifest.inventory(cat, d(1), d(2), clip=False)) == [("v", 3, 2, 150.0)]
     assert manifest.retry_manifest(cat).count() == 3
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from zoneday import fixed_values as fv
 from zoneday.functions.weather import outlier_flags
 from zoneday.operators.rollup import weighted_mean, weighted_rollup
-from zoneday.session import lookup
 
 
 class GateFailed(RuntimeError):
@@ -50,15 +49,24 @@ def _equals(name: str, observed: str, expected: Column | int) -> Column:
 def shape_stats(df: DataFrame, zone: str, day: str = "date", group: Sequence[str] = ()) -> DataFrame:
     """Rows, distinct zones, distinct days, first and last day, keys held by several rows."""
     keyed = df.groupBy(*group, zone, day).agg(F.count(F.lit(1)).alias("_n"))
+    none = F.lit(0).cast("bigint")
+    zones = keyed.groupBy(*group, zone).agg(F.sum("_n").alias("_rows"), F.count_if(F.col("_n") > 1).alias("_twice"))
+    days = keyed.select(*group, day).distinct()
+    # one row per zone and one per day; distinct counts in one aggregate would write out all keys three times
+    both = zones.select(
+        *group, F.col(zone).isNotNull().cast("bigint").alias("_z"), none.alias("_d"), "_rows", "_twice", F.lit(None).cast(df.schema[day].dataType).alias("_day")
+    ).unionByName(
+        days.select(*group, none.alias("_z"), F.col(day).isNotNull().cast("bigint").alias("_d"), none.alias("_rows"), none.alias("_twice"), F.col(day).alias("_day"))
+    )
     aggs = [
-        F.sum("_n").alias("n_rows"),
-        F.count_distinct(zone).alias("n_zones"),
-        F.count_distinct(day).alias("n_days"),
-        F.min(day).alias("first_day"),
-        F.max(day).alias("last_day"),
-        F.count_if(F.col("_n") > 1).alias("n_duplicate_keys"),
+        F.sum("_rows").alias("n_rows"),
+        F.coalesce(F.sum("_z"), none).alias("n_zones"),
+        F.coalesce(F.sum("_d"), none).alias("n_days"),
+        F.min("_day").alias("first_day"),
+        F.max("_day").alias("last_day"),
+        F.coalesce(F.sum("_twice"), none).alias("n_duplicate_keys"),
     ]
-    return keyed.groupBy(*group).agg(*aggs) if group else keyed.agg(*aggs)
+    return both.groupBy(*group).agg(*aggs) if group else both.agg(*aggs)
 
 
 def check_shape(df: DataFrame, zone: str, n_zones: int, n_days: int, label: str, day: str = "date") -> DataFrame:
@@ -114,12 +122,22 @@ def check_era_shape(
 
 
 def check_vintage(df: DataFrame, eras: DataFrame, day: str = "date") -> DataFrame:
-    """No row outside its era's dates, one result row per era."""
+    """No row outside its era's dates, none of an unknown era: one result row per era named anywhere.
+
+    An era without rows fails too.
+    """
     spans = eras.select("era", "start_date", "end_date")
+    held = df.groupBy("era", day).agg(F.count(F.lit(1)).alias("_n"))
+    known = spans.select(F.col("era").alias("_era"), F.col("start_date").alias("_from"), F.col("end_date").alias("_to"), F.lit(True).alias("_known"))
+    outside = ~F.coalesce(F.col(day).between(F.col("_from"), F.col("_to")), F.lit(False))
     bad = (
-        lookup(df.select("era", day), spans, "era", "inner")
-        .groupBy("era")
-        .agg(F.count_if(~F.col(day).between(F.col("start_date"), F.col("end_date"))).alias("n_outside"))
+        held.join(known, F.col("era") == F.col("_era"), "full")
+        .groupBy(F.coalesce("_era", "era", F.lit("no era")).alias("era"))
+        .agg(
+            F.when(F.sum("_n").isNull(), F.lit(-1))
+            .otherwise(F.sum(F.when(outside | F.col("_known").isNull(), F.col("_n")).otherwise(0)))
+            .alias("n_outside")
+        )
     )
     return _rows(
         bad,
@@ -127,7 +145,7 @@ def check_vintage(df: DataFrame, eras: DataFrame, day: str = "date") -> DataFram
             _result(
                 F.concat(F.col("era"), F.lit(": no row outside its dates")),
                 F.col("n_outside") == 0,
-                F.col("n_outside"),
+                F.when(F.col("n_outside") < 0, F.lit("no rows")).otherwise(F.col("n_outside").cast("string")),
                 "0",
             )
         ],

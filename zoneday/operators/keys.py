@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from zoneday import fixed_values as fv
 from zoneday.functions.clean import norm_code
-from zoneday.session import BROADCAST_MAX_ROWS, fits_broadcast, lookup
+from zoneday.session import lookup
 
 
 def argmax_row(
@@ -99,22 +99,19 @@ def flag_any(
     columns: Sequence[str],
     codes: DataFrame,
     out: str = "is_heat",
-    max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Mark rows where any of several code columns holds a code of the set.
 
     Both sides are compared without dots and outer blanks.  The flag is never
-    NULL.  One broadcast lookup per column while the distinct code set is
-    within the checked bound; beyond it the same joins become shuffle joins,
-    in which adaptive execution splits a hot code.
+    NULL.  Adaptive execution broadcasts the distinct code set where its
+    measured bytes allow that; otherwise it splits a hot code.
     """
     wanted = codes.select(norm_code("code").alias("_code")).filter("_code <> ''").distinct()
-    hint = F.broadcast if fits_broadcast(wanted, max_rows) else (lambda d: d)
     hits: list[Column] = []
     for i, c in enumerate(columns):
         mark = f"_hit{i}"
         df = df.join(
-            hint(wanted.select(F.col("_code").alias(f"_code{i}"), F.lit(True).alias(mark))),
+            wanted.select(F.col("_code").alias(f"_code{i}"), F.lit(True).alias(mark)),
             norm_code(c) == F.col(f"_code{i}"),
             "left",
         ).drop(f"_code{i}")

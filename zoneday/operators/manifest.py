@@ -21,8 +21,14 @@ def valid_files(
     return catalog.filter(ok)
 
 
-def inventory(catalog: DataFrame, start: Bound, end: Bound, digits: int = 1) -> DataFrame:
-    """Days present per variable, days expected, percent."""
+def inventory(catalog: DataFrame, start: Bound, end: Bound, digits: int = 1, clip: bool = True) -> DataFrame:
+    """Days present per variable, days expected, percent.
+
+    Only days in the window count; ``clip=False`` counts the whole archive, as
+    the published inventory does, and can so pass 100 percent.
+    """
+    if clip:
+        catalog = catalog.filter(F.col("date").between(_day(start), _day(end)))
     days = catalog.select("var", "date").distinct().groupBy("var").agg(F.count(F.lit(1)).alias("n_days"))
     expected = F.datediff(_day(end), _day(start)) + 1
     return days.select(

@@ -19,11 +19,6 @@ from zoneday.operators.rollup import weighted_mean
 from zoneday.session import lookup
 
 
-# Weights are four narrow fields, about 80 bytes in a hash table, so this bound
-# keeps a broadcast near 400 MB: enough for a state at 800 m.
-WEIGHTS_MAX_ROWS = 5_000_000
-
-
 @dataclass(frozen=True)
 class GridSpec:
     """Regular grid: left and top edge, cell size, shape; row 0 is the top row."""
@@ -173,14 +168,14 @@ def zonal_mean(grid: DataFrame, weights: DataFrame, zone: str = "zone_id") -> Da
     With running sums along the scanline every run, however long, costs two
     array reads.  The runs go to the scanlines and the partial sums of a map
     task leave one row per zone and day before any shuffle.  Cell weights are
-    accepted too and turned into runs first.  Beyond the checked bound the
-    scanlines are shuffled by row instead.
+    accepted too and turned into runs first.  Adaptive execution broadcasts the
+    runs where their bytes allow that, and shuffles the scanlines by row otherwise.
     """
     runs = weights if "n" in weights.columns else weight_runs(weights, zone)
     lines = grid.select("var", "date", "row", "values").filter(F.col("values").isNotNull())
     kinds = ", ".join(f"`{c}` {dict(lines.dtypes)[c]}" for c in ("var", "date", "row"))
     summed = lines.mapInArrow(_prefix_sums(), f"{kinds}, sums array<double>, counts array<int>")
-    met = lookup(summed, runs, "row", "inner", WEIGHTS_MAX_ROWS, derived=runs is not weights)
+    met = lookup(summed, runs, "row", "inner")
     over = lambda a: F.get(a, F.col("col") + F.col("n")) - F.get(a, F.col("col"))
     return (
         met.select(zone, "var", "date", "cov", over("sums").alias("_sum"), over("counts").alias("_n"))
@@ -192,7 +187,7 @@ def zonal_mean(grid: DataFrame, weights: DataFrame, zone: str = "zone_id") -> Da
 def zonal_mean_cells(cells: DataFrame, weights: DataFrame, zone: str = "zone_id") -> DataFrame:
     """The same over one row per cell, ``(var, date, row, col, value)``."""
     return (
-        lookup(cells, weights, ["row", "col"], "inner", WEIGHTS_MAX_ROWS)
+        lookup(cells, weights, ["row", "col"], "inner")
         .groupBy(zone, "var", "date")
         .agg(weighted_mean("value", "cov").alias("value"))
     )
@@ -242,9 +237,17 @@ def cells_to_scanlines(cells: DataFrame, ncols: int) -> DataFrame:
     """One row per cell to one array per scanline; absent cells are NULL.
 
     A scanline holds at most ``ncols`` given cells, one per column, which
-    bounds the group.
+    bounds the group.  A cell outside the grid is an error; of several values
+    of one cell the largest is taken.
     """
-    given = cells.filter(F.col("value").isNotNull() & F.col("col").between(0, ncols - 1))
+    column = F.when(F.col("col").between(0, ncols - 1), F.col("col")).otherwise(
+        F.raise_error(F.concat(F.lit("cell outside the grid: column "), F.coalesce(F.col("col").cast("string"), F.lit("NULL"))))
+    )
+    given = (
+        cells.filter(F.col("value").isNotNull())
+        .groupBy("var", "date", "row", column.alias("col"))
+        .agg(F.max("value").alias("value"))
+    )
     entry = F.struct(F.col("col").cast("int").alias("c"), F.col("value").cast("float").alias("v"))
     lists = (
         given.groupBy("var", "date", "row")

@@ -72,14 +72,21 @@ def merge_variables(
 ) -> DataFrame:
     """Long to wide in one shuffle: a full outer merge of all variables.
 
-    Keys must be unique per variable (see the duplicate check); conditional
-    maxima keep the aggregation in hash form with map-side combining.
+    Keys must be unique per variable: a second row of one key and variable is
+    an error, found in the same aggregation.  ``duplicate_keys`` lists them.
     """
-    return (
-        long.filter(F.col(var).isin(list(variables)))
-        .groupBy(*keys)
-        .agg(*[F.max(F.when(F.col(var) == v, F.col(value))).alias(v) for v in variables])
-    )
+
+    def only(v: str) -> Column:
+        mine = F.col(var) == v
+        names = F.concat_ws(" ", F.lit(f"several rows of {v} for"), *(F.col(k).cast("string") for k in keys))
+        return F.when(F.count_if(mine) > 1, F.raise_error(names)).otherwise(F.max(F.when(mine, F.col(value)))).alias(v)
+
+    return long.filter(F.col(var).isin(list(variables))).groupBy(*keys).agg(*map(only, variables))
+
+
+def duplicate_keys(long: DataFrame, keys: Sequence[str], var: str = "var") -> DataFrame:
+    """Keys and variables held by several rows, with their number."""
+    return long.groupBy(*keys, var).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
 def wide_stats(

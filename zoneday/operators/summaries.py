@@ -222,37 +222,30 @@ def seasonal_rates(
 # ---- exact quantiles and box plots ---------------------------------------
 
 
-def exact_quantiles(
-    df: DataFrame, group: str, value: str, probs: Sequence[float], margin: float = 0.002
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles of groups too large for one task.
 
-    Equal values are counted first.  Approximate quantiles just below and above
-    each wanted one cut every group into ranges; counts per range tell which
-    ones hold the wanted ranks, normally the narrow ones, and only those rows
-    are ranked, one range at a time.  The counts make the result exact however
-    good the cuts are.  Returns ``(group, total, q array<double>)`` in the
-    order of ``probs``.
+    Equal values are counted first, and the different values of all groups are
+    dealt out by range.  Counts per range tell which ranges hold the wanted
+    ranks, and only these are ranked, one at a time: a range is one task's
+    share of the different values, however many rows have one of them.
+    Returns ``(group, total, q array<double>)`` in the order of ``probs``.
     """
-    cut_at = sorted({min(max(p + side * margin, 0.0), 1.0) for p in probs for side in (-1, 1)})
-    counts = materialize(
+    counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n")),
-        "value-counts",
-    )
-    cuts = counts.groupBy("_g").agg(
-        F.percentile_approx("_v", cut_at, 10_000).alias("_cuts"),
-        F.sum("_n").alias("_total"),
-    )
-    cuts = materialize(cuts, "cuts")
-    binned = lookup(counts, cuts.select("_g", "_cuts"), "_g", "inner").select(
-        "_g", "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_bin")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
+    # the range is a column of the written table, so it is the same whoever reads it
+    binned = materialize(counts.repartitionByRange("_g", "_v").withColumn("_bin", F.spark_partition_id()), "value-ranges")
     # a handful of rows per group from here on
-    per_bin = binned.groupBy("_g", "_bin").agg(F.sum("_n").alias("_in"))
     before = Window.partitionBy("_g").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    per_bin = per_bin.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
+    per_bin = (
+        binned.groupBy("_g", "_bin")
+        .agg(F.sum("_n").alias("_in"))
+        .withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
+    )
+    cuts = per_bin.groupBy("_g").agg(F.sum("_in").alias("_total"))
     position = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
     ranks = cuts.select(
         "_g",
@@ -269,7 +262,7 @@ def exact_quantiles(
     )
     in_bin = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_in"))
     # two ranks per probability and group
-    targets = materialize(ranks.join(per_bin, "_g").filter(in_bin).distinct(), "targets")
+    targets = ranks.join(per_bin, "_g").filter(in_bin).distinct()
     needed = targets.select("_g", "_bin", "_before").distinct()
     upto = Window.partitionBy("_g", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = lookup(binned, needed, ["_g", "_bin"], "inner").withColumn(
@@ -287,20 +280,16 @@ def exact_quantiles(
     )
 
 
-def box_stats(df: DataFrame, group: str, value: str, exact_rows: int = 2_000_000) -> DataFrame:
+def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers, mean, outlier count.
 
     Whiskers end at the last value within 1.5 interquartile ranges of the box.
-    Up to a checked number of rows the quartiles come from one exact
-    aggregate; above it from the distributed exact ranks.
+    The quartiles are exact ranks, found in ranges of values.
     """
-    # read three times below, so written once; usually an aggregate of a panel
+    # read several times below, so written once; usually an aggregate of a panel
     df = materialize(df.filter(F.col(value).isNotNull()).select(group, value), "box")
-    if df.select(F.lit(1)).limit(exact_rows + 1).count() <= exact_rows:
-        quart = df.groupBy(group).agg(F.percentile(value, [0.25, 0.5, 0.75]).alias("q"))
-    else:
-        quart = exact_quantiles(df, group, value, [0.25, 0.5, 0.75]).select(group, "q")
-    with_q = lookup(df, quart, group, "inner", derived=True)
+    quart = exact_quantiles(df, group, value, [0.25, 0.5, 0.75]).select(group, "q")
+    with_q = lookup(df, quart, group, "inner")
     fenced = with_q.select(
         group,
         F.col(value).alias("_v"),

@@ -44,17 +44,25 @@ def extract_zones(
     out: str,
     bbox: tuple[float, float, float, float] | None = None,
     period: str = "yyyy",
+    strict: bool = False,
 ) -> DataFrame:
-    """Zonal means of all pending periods, written to ``out``; returns the catalog worked on.
+    """Zonal means of all pending days, written to ``out``; returns (var, date, path, length, period, status).
 
-    Periods already in ``out`` and files below the size floor are left out
-    before any grid is opened.
+    Days already in ``out`` are left out before any grid is opened.  Pending
+    files below the size of the grid are not read: they are returned as
+    ``too short``, or fail the job with ``strict``, and are taken up by a later
+    run once they are whole.
     """
     catalog = rasters.raster_catalog(spark, rasters_dir, variables, start, end, "bil")
-    usable = valid_files(catalog, grid.nrows * grid.ncols * 4).withColumn("period", F.date_format("date", period))
-    todo = materialize(sinks.pending_extracts(usable, out), "todo")
+    dated = catalog.withColumn("period", F.date_format("date", period))
+    size = grid.nrows * grid.ncols * 4
+    status = F.when(F.col("length") >= size, "read").otherwise("too short")
+    pending = materialize(sinks.pending_extracts(dated, out).withColumn("status", status), "todo")
+    if strict and (bad := pending.filter("status = 'too short'").first()):
+        raise ValueError(f"grid cut short: {bad.path}")
+    todo = valid_files(pending, size)
     if todo.isEmpty():
-        return todo
+        return pending
     # Only the pending files are opened.  Their paths pass through the driver,
     # whose file index holds the same list for any read.
     paths = [r.path for r in todo.select("path").collect()]
@@ -62,4 +70,4 @@ def extract_zones(
     lines = rasters.decode_bil(files, grid, window_of(grid, bbox))
     means = zonal_mean(lines, weights).withColumn("period", F.date_format("date", period))
     sinks.write_extracts(means, out, ["zone_id", "date"])
-    return todo
+    return pending

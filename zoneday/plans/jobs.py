@@ -120,10 +120,14 @@ def build_county_zone(
     meta, zone_meta = tables.read_panel(spark, f.county_meta), tables.read_panel(spark, f.zone_meta)
     checks.enforce(checks.check_meta(meta, "fips", n_counties, ["cz_id"]))
     long = tables.read_extracts(spark, f.extracts, s.variables, "fips")
-    sinks.write_panel(weather_plans.zone_panel(long, meta, s), f.county_out, "fips")
-    county = tables.read_panel(spark, f.county_out)
+    # both panels are made and checked before any written one is replaced
+    county = materialize(weather_plans.zone_panel(long, meta, s), "county-panel")
     checks.enforce(checks.check_shape(county, "fips", n_counties, s.n_days, "county"))
-    sinks.write_panel(weather_plans.parent_panel(county, meta, zone_meta, s), f.zone_out, "cz_id")
+    zones = materialize(weather_plans.parent_panel(county, meta, zone_meta, s), "zone-panel")
+    checks.enforce(checks.check_shape(zones, "cz_id", n_zones, s.n_days, "cz"))
+    sinks.write_panel(county, f.county_out, "fips")
+    sinks.write_panel(zones, f.zone_out, "cz_id")
+    county = tables.read_panel(spark, f.county_out)
     zones = tables.read_panel(spark, f.zone_out)
     return weather_plans.county_zone_gate(county, zones, meta, s, n_counties, n_zones)
 
@@ -134,12 +138,15 @@ def build_postal(
     """The postal-area panel over all eras from files ``{var}_{era}_{YYYYMM}.csv``; returns the written panel."""
     long = tables.read_extracts(spark, extracts, s.variables, "zcta5", r"[a-z0-9]+_\d{6}", with_period=True)
     long = long.withColumn("era", F.substring_index("period", "_", 1)).withColumnRenamed("zcta5", "zone_id")
-    panel = weather_plans.era_panel(long.drop("period"), meta, eras, s)
-    sinks.write_panel(panel, out, "zone_id")
-    written = tables.read_panel(spark, out)
+    panel = materialize(weather_plans.era_panel(long.drop("period"), meta, eras, s), "postal-panel")
     checks.enforce(
         keys.stack(
-            [checks.check_vintage(written, eras), checks.check_band(written, *fv.ROW_COUNT_BAND, "postal rows", "warning")]
+            [
+                checks.check_vintage(panel, eras),
+                checks.check_era_shape(panel, eras, meta),
+                checks.check_band(panel, *fv.ROW_COUNT_BAND, "postal rows", "warning"),
+            ]
         )
     )
-    return written
+    sinks.write_panel(panel, out, "zone_id")
+    return tables.read_panel(spark, out)

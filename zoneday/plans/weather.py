@@ -139,10 +139,10 @@ def postal_metadata(
     points = interior_point(edges).withColumnRenamed("zone_id", "point_id")
     county_of = county_edges.withColumnRenamed("zone_id", "county")
     inside = points_in_polygons(points, county_of, point_bucket, zone="county").select(F.col("point_id").alias("zone_id"))
-    kept = lookup(edges, inside.distinct(), "zone_id", "left_semi", derived=True)
+    kept = lookup(edges, inside.distinct(), "zone_id", "left_semi")
     best = assign_largest_overlap(project_edges(kept), project_edges(county_edges), overlap_bucket)
     out = polygon_metrics(kept).withColumn("era", F.lit(era))
-    out = lookup(out, best.select("zone_id", F.col("parent_id").alias("county_fips")), "zone_id", derived=True)
+    out = lookup(out, best.select("zone_id", F.col("parent_id").alias("county_fips")), "zone_id")
     names = county_meta.select(F.col("fips").alias("county_fips"), "county_name", "cz_id", "cz_name")
     return attach(out, names, "county_fips")
 

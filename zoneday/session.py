@@ -1,16 +1,13 @@
-"""Session settings, the shared scratch folder and size-checked broadcasts."""
+"""Session settings, the shared scratch folder and written intermediates."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A lookup table above this many rows is never broadcast: at the roughly 100
-# bytes per row of the crosswalks used here the hash table stays below 200 MB.
-BROADCAST_MAX_ROWS = 1_000_000
 
 _test_root: str | None = None
 
@@ -36,18 +33,28 @@ def build_session(app: str = "zoneday", master: str | None = None, **extra: str)
     return spark
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the cluster's shared checkpoint folder.
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir`` or by ``setCheckpointDir``.
 
-    Only where the session names no such folder (tests on one machine) is a
-    temporary one made and used.
+    Only a session whose master is this machine alone may go without: it gets
+    a temporary folder that is removed at exit.  On a cluster a folder of one
+    machine would lose data, so there its absence is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        global _test_root
-        _test_root = _test_root or tempfile.mkdtemp(prefix="zoneday-")
-        root = _test_root
-    return f"{root.rstrip('/')}/zoneday/{label}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    global _test_root
+    if _test_root is None:
+        _test_root = tempfile.mkdtemp(prefix="zoneday-")
+        atexit.register(shutil.rmtree, _test_root, ignore_errors=True)
+    return _test_root
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below the session's scratch folder."""
+    return f"{scratch_root(spark).rstrip('/')}/zoneday/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -63,32 +70,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no further than that."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-
-
-def lookup(
-    facts: DataFrame,
-    table: DataFrame,
-    on: str | list[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_MAX_ROWS,
-    derived: bool = False,
-) -> DataFrame:
+def lookup(facts: DataFrame, table: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
     """Join a lookup table to facts that may be arbitrarily large and skewed.
 
-    Within the checked bound the table is broadcast and the facts never move.
-    Beyond it the join is an ordinary shuffle join: adaptive execution splits
+    No size is counted here and no job starts: adaptive execution broadcasts
+    the table where the bytes it has measured allow that, and otherwise splits
     the fact side of an oversized key, so one hot key still spreads over many
     tasks and no row is lost.
-
-    ``derived`` says that the table is itself the result of real work: it is
-    then written once, instead of being computed for the check and again for
-    the join.
     """
-    if derived:
-        table = materialize(table, "lookup")
-    if fits_broadcast(table, max_rows):
-        table = F.broadcast(table)
     return facts.join(table, on, how)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneday.functions.clean import canonical, pad_key
+from zoneday.functions.clean import pad_key
 
 _FEATURE = "struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
 _MULTI = "array<array<array<array<double>>>>"
@@ -34,18 +34,23 @@ def read_polygons(
     spark: SparkSession,
     path: str,
     collection: bool = False,
-    properties: Sequence[str] = ("GEOID", "NAME"),
     alternates: Mapping[str, Sequence[str]] = ID_ALTERNATES,
 ) -> DataFrame:
-    """Ring table ``(zone_id, [zone_name], part, ring, pts)``; only polygon types are kept."""
+    """Ring table ``(zone_id, zone_name, part, ring, pts)``; only polygon types are kept.
+
+    Each column takes the first of its alternate names that a feature has.  A
+    polygon without any id is an error.
+    """
     kind, text = F.col("geometry.type"), F.col("geometry.coordinates")
     parts = F.when(kind == "MultiPolygon", F.from_json(text, _MULTI)).when(
         kind == "Polygon", F.array(F.from_json(text, _SINGLE))
     )
     features = read_features(spark, path, collection)
-    named = canonical(
-        features.select(*[F.col("properties")[p].alias(p) for p in properties], parts.alias("_parts")), alternates
-    ).filter(F.col("_parts").isNotNull())
+    given = {name: F.coalesce(*(F.col("properties")[p] for p in found)) for name, found in alternates.items()}
+    missing = F.raise_error(F.lit(f"polygon without any of {', '.join(alternates['zone_id'])}"))
+    given["zone_id"] = F.coalesce(given["zone_id"], missing)
+    polygons = features.filter(kind.isin("Polygon", "MultiPolygon"))
+    named = polygons.select(*[c.alias(name) for name, c in given.items()], parts.alias("_parts")).filter(F.col("_parts").isNotNull())
     ids = [c for c in named.columns if c != "_parts"]
     point = lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))
     return (

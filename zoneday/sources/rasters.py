@@ -52,7 +52,8 @@ def read_raster_bytes(
 
 def read_grid_header(spark: SparkSession, path: str) -> GridSpec:
     """A raw grid's text header (about a dozen ``KEY value`` lines) as a GridSpec."""
-    lines = [r.value.split() for r in spark.read.text(path).limit(100).collect()]
+    wanted = r"(?i)^\s*(xdim|ydim|ulxmap|ulymap|nrows|ncols|nodata)\s"
+    lines = [r.value.split() for r in spark.read.text(path).filter(F.col("value").rlike(wanted)).collect()]
     h = {p[0].lower(): p[1] for p in lines if len(p) >= 2}
     dx, dy = float(h["xdim"]), float(h["ydim"])
     return GridSpec(
@@ -90,12 +91,14 @@ def decode_bil(
 
     Each file is cut into scanlines of the wanted window by Spark itself, so
     Python sees rows of a few kilobytes and only turns bytes into floats.
-    Files shorter than the grid are left out; list them with ``valid_files``.
-    No-data and NaN become NULL.
+    A file shorter than the grid is an error: set such files aside with
+    ``valid_files`` first, which names them.  No-data and NaN become NULL.
     """
     first_row, last_row, first_col, n_cols = window or (0, grid.nrows - 1, 0, grid.ncols)
-    whole = files.filter(F.length("content") >= grid.nrows * grid.ncols * 4)
-    rows = whole.withColumn("row", F.explode(F.sequence(F.lit(first_row), F.lit(last_row))))
+    size = grid.nrows * grid.ncols * 4
+    short = F.concat_ws(" ", F.lit("grid cut short:"), "var", F.col("date").cast("string"))
+    whole = F.when(F.length("content") >= size, F.col("content")).otherwise(F.raise_error(short))
+    rows = files.withColumn("content", whole).withColumn("row", F.explode(F.sequence(F.lit(first_row), F.lit(last_row))))
     start = (F.col("row") * grid.ncols + first_col) * 4 + 1
     lines = rows.select(
         "var",

@@ -32,7 +32,7 @@ def write_panel(df: DataFrame, path: str, zone: str, day: str = "date", mode: st
 def write_csv(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "overwrite") -> None:
     """CSV parts with a header; parts follow each other in key order."""
     out = sorted_for_write(df, keys) if keys else df
-    out.write.mode(mode).option("header", "true").csv(path)
+    out.write.mode(mode).options(header="true", escape='"').csv(path)
 
 
 def write_scanlines(grid: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -52,46 +52,39 @@ def _paths(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
-def written_keys(spark: SparkSession, path: str) -> DataFrame:
-    """(var, period) folders that already hold data, from the file listing alone."""
-    return (
-        _paths(spark, path, "*.parquet")
-        .select(
-            F.regexp_extract("path", r"/var=([^/]+)/", 1).alias("var"),
-            F.regexp_extract("path", r"/period=([^/]+)/", 1).alias("period"),
-        )
-        .distinct()
-    )
+def written_days(spark: SparkSession, path: str) -> DataFrame:
+    """(var, date) that already have rows; two narrow columns are read."""
+    return spark.read.parquet(path).select("var", "date").distinct()
 
 
 def pending_extracts(df: DataFrame, path: str) -> DataFrame:
-    """Rows whose (var, period) is not written yet; all of them on a first run.
+    """Rows whose (var, date) is not written yet; all of them on a first run.
 
-    Apply it to the job table before extracting, and so read only the missing
-    periods' grids.
+    A period that is still open, or whose damaged grid was repaired, so gets
+    its missing days.  Apply it to the job table before extracting, and read
+    only the missing days' grids.
     """
     try:
-        done = written_keys(df.sparkSession, path)
+        done = written_days(df.sparkSession, path)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return df
-    # finished periods are file-folder names, a few thousand at most; the check guards that
-    return lookup(df, done, ["var", "period"], "left_anti")
+    return lookup(df, done, ["var", "date"], "left_anti")
 
 
 def write_extracts(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Add the pending (var, period) partitions; a repeated run changes nothing.
+    """Add the pending days below their (var, period); a repeated run changes nothing.
 
-    A rerun of a half-finished job replaces its partitions instead of adding to
-    them.  Ranges over period and keys spread one large period over many tasks.
+    A write is committed as a whole, so a job that broke off leaves no days
+    behind.  Ranges over period and keys spread one large period over many tasks.
     """
     todo = sorted_for_write(pending_extracts(df, path), ["var", "period", *keys])
-    todo.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("var", "period").parquet(path)
+    todo.write.mode("append").partitionBy("var", "period").parquet(path)
 
 
 def append_failures(failures: DataFrame, path: str) -> None:
-    failures.select("var", "date", "http_code", "message").write.mode("append").option("header", "true").csv(path)
+    failures.select("var", "date", "http_code", "message").write.mode("append").options(header="true", escape='"').csv(path)
 
 
 def sink_report(df: DataFrame, csv_path: str, parquet_path: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneday import fixed_values as fv
@@ -14,8 +14,13 @@ from zoneday.operators.keys import map_claims, stack
 
 
 def _text_csv(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
-    """CSV with header, every column text."""
-    return spark.read.options(header="true", inferSchema="false", **options).csv(path)
+    """CSV with header, every column text; quotes inside quoted text are doubled."""
+    return spark.read.options(**({"header": "true", "inferSchema": "false", "escape": '"'} | options)).csv(path)
+
+
+def read_text_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+    """CSV without a header, every column text, under the names given."""
+    return _text_csv(spark, path, header="false").toDF(*columns)
 
 
 def _blank_to_null(df: DataFrame, na: Sequence[str]) -> DataFrame:
@@ -58,6 +63,10 @@ def read_claims(spark: SparkSession, paths: Sequence[str], na: Sequence[str] = (
     return stack(parts, fill_missing=False)
 
 
+# up to the first line break that is not inside quotes
+_FIRST_LINE = r'^((?:[^"\r\n]|"[^"]*")*)'
+
+
 def read_employment(spark: SparkSession, directory: str, prefix: str = "allhlcn") -> DataFrame:
     """Employment sheets below a folder, all text, columns missing in some files filled with NULL.
 
@@ -69,13 +78,12 @@ def read_employment(spark: SparkSession, directory: str, prefix: str = "allhlcn"
         spark.read.format("binaryFile")
         .options(recursiveFileLookup="true", pathGlobFilter=f"{prefix}*.csv")
         .load(directory)
-        .select("path")
+        .select("path", F.regexp_extract(F.decode(F.substring("content", 1, 65536), "utf-8"), _FIRST_LINE, 1).alias("header"))
     )
-    # a file list, one short line per sheet; the sheets themselves stay distributed
-    by_header: dict[tuple[str, ...], list[str]] = {}
+    # a file list with first lines, read in one pass; the sheets themselves stay distributed
+    by_header: dict[str, list[str]] = {}
     for row in listing.collect():
-        header = tuple(_text_csv(spark, row.path, multiLine="true").columns)
-        by_header.setdefault(header, []).append(row.path)
+        by_header.setdefault(row.header, []).append(row.path)
     if not by_header:
         raise FileNotFoundError(f"no {prefix}*.csv below {directory}")
     frames = [clean.normalize_columns(_text_csv(spark, files, multiLine="true")) for files in by_header.values()]
@@ -125,23 +133,17 @@ def read_extracts(
     key: str,
     period: str = r"\d{4}",
     with_period: bool = False,
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """Periodic extracts ``{var}_{period}.csv`` as one long table (key, date, var, value).
 
     The variable comes from the file name under a strict pattern, so stray
-    files such as a smoke test's are not mixed in.  Unreadable files are
-    skipped.  ``period`` may be e.g. ``[a-z0-9]+_\\d{6}`` for era and month.
+    files such as a smoke test's are not mixed in.  An unreadable file is an
+    error; with ``skip_unreadable`` it is passed over and ``extract_report``
+    names it.  ``period`` may be e.g. ``[a-z0-9]+_\\d{6}`` for era and month.
     """
-    names = "|".join(variables)
-    raw = (
-        spark.read.schema(f"`{key}` string, `date` string, `value` string")
-        .options(header="true", mode="PERMISSIVE", ignoreCorruptFiles="true", enforceSchema="true")
-        .options(pathGlobFilter="{" + ",".join(f"{v}_*.csv" for v in variables) + "}")
-        .csv(directory)
-    )
-    file = F.col("_metadata.file_name")
-    pattern = rf"^({names})_({period})\.csv$"
-    return raw.filter(file.rlike(pattern)).select(
+    raw, file, pattern = _extract_lines(spark, directory, variables, key, period, skip_unreadable)
+    return raw.select(
         clean.pad_key(key).alias(key),
         F.col("date").try_cast("date").alias("date"),
         F.regexp_extract(file, pattern, 1).alias("var"),
@@ -150,11 +152,66 @@ def read_extracts(
     )
 
 
+def _extract_lines(
+    spark: SparkSession, directory: str, variables: Sequence[str], key: str, period: str, skip_unreadable: bool
+) -> tuple[DataFrame, Column, str]:
+    pattern = rf"^({'|'.join(variables)})_({period})\.csv$"
+    raw = (
+        spark.read.schema(f"`{key}` string, `date` string, `value` string")
+        .options(header="true", mode="PERMISSIVE", escape='"', enforceSchema="true")
+        .option("ignoreCorruptFiles", str(skip_unreadable).lower())
+        .csv(f"{directory}/{_extract_glob(variables)}")
+    )
+    file = _extract_name(F.col("_metadata.file_path"))
+    return raw.filter(file.rlike(pattern)), file, pattern
+
+
+def _extract_glob(variables: Sequence[str]) -> str:
+    return "{" + ",".join(f"{v}_*.csv" for v in variables) + "}"
+
+
+def _extract_name(path: Column) -> Column:
+    """The name of an extract, which is one file or a folder of parts."""
+    return F.regexp_extract(path, r"([^/]+\.csv)(?:/part-[^/]*)?$", 1)
+
+
+def extract_report(
+    spark: SparkSession, directory: str, variables: Sequence[str], key: str, period: str = r"\d{4}"
+) -> DataFrame:
+    """(file, n_rows, n_bad_dates, status) of every extract file listed, also those that give nothing.
+
+    ``skipped`` files could not be read or hold no row, ``damaged`` ones have
+    rows whose date cannot be read, ``stray`` ones have another name.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .load(f"{directory}/{_extract_glob(variables)}")
+        .select(_extract_name(F.col("path")).alias("file"))
+        .filter("file <> ''")
+        .distinct()
+    )
+    raw, file, pattern = _extract_lines(spark, directory, variables, key, period, True)
+    lines = raw.select(file.alias("file"), F.col("date").try_cast("date").isNull().alias("bad"))
+    read = lines.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("bad").alias("n_bad_dates"))
+    none = F.lit(0).cast("bigint")
+    status = (
+        F.when(~F.col("file").rlike(pattern), "stray")
+        .when(F.col("n_rows") == 0, "skipped")
+        .when(F.col("n_bad_dates") > 0, "damaged")
+        .otherwise("read")
+    )
+    return (
+        listed.join(read, "file", "left")
+        .select("file", F.coalesce("n_rows", none).alias("n_rows"), F.coalesce("n_bad_dates", none).alias("n_bad_dates"))
+        .withColumn("status", status)
+    )
+
+
 FAILURE_SCHEMA = "var string, date date, http_code string, message string"
 
 
 def read_failures(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FAILURE_SCHEMA).options(header="true").csv(path)
+    return spark.read.schema(FAILURE_SCHEMA).options(header="true", escape='"').csv(path)
 
 
 def clean_claims(raw: DataFrame, geo: DataFrame | None = None) -> DataFrame:
