@@ -641,6 +641,21 @@ _ORDER = (
 )
 
 
+@register(
+    "gate_failures",
+    sql(
+        """select era || ': no row outside its dates' as "check", cast(n as double) as observed from (
+             select coalesce(r.era, e.era) as era, count(*) filter (where e.era is null or date not between start_date and end_date) as n from
+             (select case user_id % 3 when 0 then 'e1' when 1 then 'e2' else 'e9' end as era, cast(ts as date) as date from events) r
+             full join eras e on r.era = e.era group by 1) where n > 0""",
+        "eras",
+    ),
+)
+def gate_failures(spark, sf):
+    """What ``enforce`` would stop at."""
+    return checks.failures(gate_vintage(spark, sf)).select("check", "observed")
+
+
 @register("gate_order", _gate([_ORDER], "panel"))
 def gate_order(spark, sf):
     return checks.check_rules(panel(spark, sf), checks.order_rule(), "county")
@@ -729,19 +744,29 @@ def gate_rollup(spark, sf):
 @register(
     "rollup_gap",
     _gate(
-        [("'tampered: same keys'", "true", "0", "'0'", "error", "")]
+        [("'tampered: same keys'", "count(*)=0", "count(*)", "'0'", "error", "from cz_panel where day(date) = 20")]
         + [
-            (f"'tampered: {v}'", f"count(*)={0}", "count(*)", "'0'", "error", f"from cz_panel where {v} is not null and day(date) <= 10")
+            (
+                f"'tampered: {v}'",
+                "count(*)=0",
+                "count(*)",
+                "'0'",
+                "error",
+                f"from cz_panel where day(date) <= 10 and {v} is not null or day(date) in (11, 20) and {v} is not null or day(date) = 12 and {v} is null",
+            )
             for v in ("tmax", "ppt")
         ],
         "cz_panel",
     ),
 )
 def rollup_gap(spark, sf):
-    """A stored panel shifted on ten days must be caught on each of its given values."""
+    """A stored panel with shifted values, values lost and made up, and a day without rows must be caught on each."""
     p = rollup.weighted_rollup(panel(spark, sf), ["cz_id", "date"], ("tmax", "ppt"), members=None)
-    off = F.when(F.dayofmonth("date") <= 10, 0.001).otherwise(0.0)
-    bad = p.withColumns({v: F.col(v) + off for v in ("tmax", "ppt")})
+    day = F.dayofmonth("date")
+    wrong = lambda v: (
+        F.when(day <= 10, F.col(v) + 0.001).when(day == 11, F.lit(None)).when(day == 12, F.coalesce(v, F.lit(0.0))).otherwise(F.col(v))
+    )
+    bad = p.withColumns({v: wrong(v) for v in ("tmax", "ppt")}).filter(day != 20)
     return checks.compare_panels(p, bad, ["cz_id", "date"], ("tmax", "ppt"), fv.ROLLUP_TOLERANCE, "tampered")
 
 
@@ -931,11 +956,18 @@ def duplicate_keys(spark, sf):
     return rollup.duplicate_keys(rows, ["fips", "date"])
 
 
-@register("sink_report")
+@register(
+    "sink_report",
+    sql(
+        f"select count(*) as n_rows, {2 + len(ALL) + 13} as n_columns, true as parquet_smaller from panel",
+        "panel",
+    ),
+)
 def sink_report(spark, sf):
-    """Rows, columns and bytes of a panel's two written forms (bytes depend on the writer)."""
+    """Rows and columns of a panel's two written forms, and which is smaller (bytes depend on the writer)."""
     p = materialize(panel(spark, sf), "sink-panel")
     a, b = scratch_path(spark, "panel-csv"), scratch_path(spark, "panel-parquet")
     sinks.write_csv(p, a, ["fips", "date"])
     sinks.write_panel(p, b, "fips")
-    return sinks.sink_report(p, a, b)
+    report = sinks.sink_report(p, a, b)
+    return report.select("n_rows", "n_columns", (F.col("parquet_bytes") < F.col("csv_bytes")).alias("parquet_smaller"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from zoneday import fixed_values as fv
 from zoneday.functions.weather import outlier_flags
 from zoneday.operators.rollup import weighted_mean, weighted_rollup
+from zoneday.session import materialize
 
 
 class GateFailed(RuntimeError):
@@ -134,9 +135,8 @@ def check_vintage(df: DataFrame, eras: DataFrame, day: str = "date") -> DataFram
         held.join(known, F.col("era") == F.col("_era"), "full")
         .groupBy(F.coalesce("_era", "era", F.lit("no era")).alias("era"))
         .agg(
-            F.when(F.sum("_n").isNull(), F.lit(-1))
-            .otherwise(F.sum(F.when(outside | F.col("_known").isNull(), F.col("_n")).otherwise(0)))
-            .alias("n_outside")
+            # an era without rows has no sum, and does not pass
+            F.sum(F.when(outside | F.col("_known").isNull(), F.col("_n")).otherwise(0)).alias("n_outside")
         )
     )
     return _rows(
@@ -145,7 +145,7 @@ def check_vintage(df: DataFrame, eras: DataFrame, day: str = "date") -> DataFram
             _result(
                 F.concat(F.col("era"), F.lit(": no row outside its dates")),
                 F.col("n_outside") == 0,
-                F.when(F.col("n_outside") < 0, F.lit("no rows")).otherwise(F.col("n_outside").cast("string")),
+                F.col("n_outside"),
                 "0",
             )
         ],
@@ -329,6 +329,11 @@ def check_band(df: DataFrame, lo: int, hi: int, label: str, severity: str = "err
     return _rows(one, [_result(label, F.col("n").between(lo, hi), F.col("n"), f"{lo}..{hi}", severity)])
 
 
+def check_count(one: DataFrame, column: str, label: str, severity: str = "error") -> DataFrame:
+    """A count of faults that should be 0."""
+    return _rows(one, [_result(label, F.col(column) == 0, F.col(column), "0", severity)])
+
+
 def check_extract(df: DataFrame, zone: str, value: str, n_days: int, n_zones: int) -> DataFrame:
     """One period's extract: rows, missing dates; missing values and range are reported."""
     one = df.agg(
@@ -351,13 +356,28 @@ def check_extract(df: DataFrame, zone: str, value: str, n_days: int, n_zones: in
     )
 
 
+def check_coverage(coverage: DataFrame, label: str, explained: DataFrame | None = None) -> DataFrame:
+    """One row per year and variable of ``coverage_by_year``: above the floor, or in a year whose gaps are explained."""
+    known = F.lit(False)
+    if explained is not None:
+        years = explained.select(F.col("year").alias("_year")).distinct().withColumn("_known", F.lit(True))
+        coverage = coverage.join(years, F.col("year") == F.col("_year"), "left")
+        known = F.coalesce("_known", F.lit(False))
+    name = F.concat_ws(" ", F.lit(f"{label}: coverage"), "variable", F.col("year").cast("string"))
+    return coverage.select(F.inline(F.array(_result(name, ~F.col("low") | known, F.col("pct_valid"), "floor or explained"))))
+
+
+def failures(results: DataFrame) -> DataFrame:
+    """The hard checks that did not hold."""
+    return results.filter((F.col("severity") == "error") & ~F.col("passed"))
+
+
 def enforce(results: DataFrame) -> list[str]:
     """Print every result and raise if a hard check failed.  The table is a few dozen rows."""
-    failed = []
+    results = materialize(results, "gate")
     for r in results.collect():
         print(f"[{'PASS' if r.passed else 'FAIL'}] {r.check}: {r.observed} (expected {r.expected})")
-        if not r.passed and r.severity == "error":
-            failed.append(r.check)
+    failed = [r.check for r in failures(results).collect()]
     if failed:
         raise GateFailed("; ".join(failed))
     return failed

@@ -457,7 +457,8 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """n rows picked by key hash: the same rows in every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *keys), *keys).limit(n)
+    """n rows picked by the MD5 of seed and keys: the same rows in every run and engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.col(k).cast("string") for k in keys))
+    return df.orderBy(F.md5(text), *keys).limit(n)
 
 

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneday import fixed_values as fv
 from zoneday.functions import clean
-from zoneday.operators import checks, geometry, keys, rollup, summaries
+from zoneday.operators import checks, dense, geometry, keys, manifest, rollup, summaries
 from zoneday.plans import claims as claim_plans
 from zoneday.plans import weather as weather_plans
 from zoneday.session import materialize
-from zoneday.sources import polygons, sinks, tables
+from zoneday.sources import polygons, rasters, sinks, tables
 
 
 @dataclass(frozen=True)
@@ -92,6 +93,8 @@ def build_layers(spark: SparkSession, f: LayerFiles, vintages: tuple[str, str] =
     counties = materialize(
         weather_plans.county_metadata(edges, names, tables.read_crosswalk(spark, f.crosswalk), vintages[0]), "county-meta"
     )
+    # a county without a commuting zone stops the job before anything is written
+    checks.enforce(checks.check_rules(counties, {"has a commuting zone": (F.col("cz_id").isNull(), 0.0)}, "county"))
     counties.write.mode("overwrite").parquet(f.county_meta_out)
     weather_plans.zone_metadata(edges, counties, vintages[1]).write.mode("overwrite").parquet(f.zone_meta_out)
     return edges
@@ -150,3 +153,121 @@ def build_postal(
     )
     sinks.write_panel(panel, out, "zone_id")
     return tables.read_panel(spark, out)
+
+
+@dataclass(frozen=True)
+class PostalLayerFiles:
+    """Postal-area layers by era as line-delimited GeoJSON, the state's counties, and where the metadata goes."""
+
+    areas: Mapping[str, str]
+    counties: str
+    county_meta: str
+    meta_out: str
+
+
+def build_postal_layers(
+    spark: SparkSession, f: PostalLayerFiles, band: tuple[int, int] = fv.ZONE_COUNT_BAND
+) -> dict[str, DataFrame]:
+    """Metadata of the state's postal areas in every era; stops before writing if an era's number of areas is off.
+
+    Returns the gate's results, the written metadata, the areas without a
+    county, and for two eras which areas are in one or both.
+    """
+    county_meta = tables.read_panel(spark, f.county_meta)
+    counties = polygons.read_polygons(spark, f.counties).filter(clean.in_state("zone_id"))
+    county_edges = geometry.ring_edges(geometry.valid_rings(counties))
+    made = []
+    for era, path in f.areas.items():
+        edges = geometry.ring_edges(geometry.valid_rings(polygons.read_polygons(spark, path)))
+        made.append(weather_plans.postal_metadata(edges, county_edges, county_meta, era))
+    meta = materialize(keys.stack(made), "postal-meta")
+    results = [checks.check_band(meta.filter(F.col("era") == era), *band, f"{era}: areas") for era in f.areas]
+    no_county = F.col("county_fips").isNull()
+    lost = meta.agg(F.count_if(no_county).alias("n"))
+    results.append(checks.check_count(lost, "n", "areas without a county", "warning"))
+    gate = keys.stack(results)
+    checks.enforce(gate)
+    meta.write.mode("overwrite").parquet(f.meta_out)
+    out = {"gate": gate, "meta": tables.read_panel(spark, f.meta_out), "no_county": meta.filter(no_county)}
+    if len(f.areas) == 2:
+        out["era_sets"] = keys.era_sets(meta, *f.areas)
+    return out
+
+
+def validate_county_zone(
+    spark: SparkSession,
+    f: PanelFiles,
+    s: weather_plans.PanelSettings,
+    n_counties: int = fv.N_COUNTIES,
+    n_zones: int = fv.N_COMMUTING_ZONES,
+    floor: float = fv.COVERAGE_FLOOR_COUNTY,
+) -> DataFrame:
+    """All gate results of the written county and zone panels, with coverage by year and variable."""
+    county, zones = tables.read_panel(spark, f.county_out), tables.read_panel(spark, f.zone_out)
+    gate = weather_plans.county_zone_gate(county, zones, tables.read_panel(spark, f.county_meta), s, n_counties, n_zones)
+    covered = [
+        checks.check_coverage(summaries.coverage_by_year(df, s.variables, floor), label)
+        for df, label in ((county, "county"), (zones, "zone"))
+    ]
+    return keys.stack([gate, *covered])
+
+
+def validate_postal(
+    spark: SparkSession,
+    panel_path: str,
+    county_path: str,
+    meta: DataFrame,
+    eras: DataFrame,
+    failures: DataFrame,
+    s: weather_plans.PanelSettings,
+    floor: float = fv.COVERAGE_FLOOR_POSTAL,
+) -> dict[str, DataFrame]:
+    """Gate results of the written postal panel, and the low years that the failure log explains."""
+    panel, county = tables.read_panel(spark, panel_path), tables.read_panel(spark, county_path)
+    coverage = summaries.coverage_by_year(panel, s.variables, floor)
+    explained = manifest.explain_gaps(summaries.low_years(coverage), failures)
+    gate = weather_plans.era_gate(panel, meta, eras, county, s)
+    return {"gate": keys.stack([gate, checks.check_coverage(coverage, "postal", explained)]), "explained": explained}
+
+
+def diagnostics(spark: SparkSession, county_path: str, zone_path: str, zone_meta: str, variables: Sequence[str]) -> dict[str, DataFrame]:
+    """The tables behind the diagnostic figures and the monthly-temperature report."""
+    county, zones = tables.read_panel(spark, county_path), tables.read_panel(spark, zone_path)
+    meta = tables.read_panel(spark, zone_meta)
+    return {
+        "county_report": summaries.panel_report(county, "fips", variables),
+        "zone_report": summaries.panel_report(zones, "cz_id", variables),
+        "missing": summaries.missing_share(county, variables),
+        "coverage": summaries.coverage_overall(zones, variables),
+        "stability": summaries.class_counts(county, "stability"),
+        "seasonality": summaries.region_seasonality(zones),
+        "map": summaries.map_frame(meta, summaries.annual_means(zones), "cz_id"),
+        "describe": summaries.describe_wide(zones, variables),
+        "monthly_temperature": summaries.monthly_temperature(zones),
+    }
+
+
+def build_heat_index(spark: SparkSession, tmax_csv: str, humidity_csv: str, states_csv: str, out: str) -> DataFrame:
+    """Daily heat index per zone from three CSV files; written as CSV and returned.
+
+    Files: (zone_id, date, tmax_k), (zone_id, date, rh) and (zone_id, state).
+    """
+    typed = lambda path, value: tables.read_header_csv(spark, path).select(
+        "zone_id", F.col("date").try_cast("date").alias("date"), F.col(value).try_cast("double").alias(value)
+    )
+    states = tables.read_header_csv(spark, states_csv).select("zone_id", "state")
+    panel = materialize(weather_plans.heat_index_panel(typed(tmax_csv, "tmax_k"), typed(humidity_csv, "rh"), states), "heat-index")
+    sinks.write_csv(panel, out, ["zone_id", "date"])
+    return panel
+
+
+def plan_downloads(
+    spark: SparkSession, rasters_dir: str, variables: Sequence[str], start: date, end: date, failures: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """What the archive holds and lacks: inventory, missing blocks, requests by calendar year, and days to retry."""
+    catalog = materialize(rasters.raster_catalog(spark, rasters_dir, variables, start, end), "catalog")
+    blocks = dense.gap_blocks(catalog, dense.variable_table(spark, variables), start, end)
+    out = {"inventory": manifest.inventory(catalog, start, end), "blocks": blocks, "requests": dense.year_chunks(blocks)}
+    if failures is not None:
+        out["retry"] = manifest.retry_manifest(failures)
+    return out

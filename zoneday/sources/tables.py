@@ -23,6 +23,11 @@ def read_text_csv(spark: SparkSession, path: str | list[str], columns: Sequence[
     return _text_csv(spark, path, header="false").toDF(*columns)
 
 
+def read_header_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV with a header, every column text."""
+    return _text_csv(spark, path)
+
+
 def _blank_to_null(df: DataFrame, na: Sequence[str]) -> DataFrame:
     return df.select(
         *[F.when(~F.col(f"`{c}`").isin(list(na)), F.col(f"`{c}`")).alias(c) for c in df.columns]
