@@ -7,6 +7,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 CHUNK_CHARS = 1 << 20  # texts handled at once; one longer text is a chunk of its own
 SLICE_ROWS = 1024
@@ -14,6 +15,16 @@ LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 _BASE = 0x9E3779B97F4A7C15
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def few_rows_per_batch(spark: SparkSession, rows: int = 1000) -> None:
+    """Lets the session send at most ``rows`` rows to Python at once: texts are long, and both sides hold whole batches."""
+    now = int(spark.conf.get(BATCH_ROWS))
+    if now <= 0 or now > rows:
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` characters, or of one longer text."""
     start = size = 0

@@ -340,6 +340,7 @@ def repeats(rows: DataFrame, least: int = LEAST, size: int = ANCHOR, crowd: int
 
 def remove_repeats(docs: DataFrame, keep_text: bool = False, **options) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and with ``keep_text`` the kept bytes."""
+    flat.few_rows_per_batch(docs.sparkSession)
     rows = keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")), F.col("text"))
     spans = repeats(rows, **options)
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else [])]

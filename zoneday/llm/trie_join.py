@@ -487,6 +487,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, **opti
 
 def _labelled(docs: DataFrame, words: int, percent: int, block: int = BLOCK, few: int = FEW) -> DataFrame:
     """Per document: doc_id, the two keys of its text, n_shingles, component_id."""
+    flat.few_rows_per_batch(docs.sparkSession)
     rows = keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")), F.col("text"))
     found = nodes(rows, words, percent).withColumn("node", F.when(F.col("n") > 0, F.concat_ws("/", F.hex("s1"), F.hex("s2"), "n")))
     wanted = found.filter("maybe").groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.*")
