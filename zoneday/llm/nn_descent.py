@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from zoneday.llm.flat import few_rows_per_batch
 from zoneday.llm.graph import components
 from zoneday.session import materialize
 
@@ -271,6 +272,7 @@ def near_duplicates(
     vectors: DataFrame, threshold: float = THRESHOLD, k: int = NEIGHBOURS, block: int = BLOCK, most_seeds: int = 6
 ) -> DataFrame:
     """Per vector: vec_id, n_links, component_id, kept."""
+    few_rows_per_batch(vectors.sparkSession)
     rows = materialize(units(vectors), "units")
     key = ["label", "dim", "unit"]
     nodes = rows.filter("unit is not null").groupBy(*key).agg(F.count("*").alias("weight"), F.min("vec_id").alias("least"))
