@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from zoneday.llm.joins import split_join
 from zoneday.session import materialize
 
 FLUSH = 100_000
@@ -61,10 +62,10 @@ def components(links: DataFrame) -> DataFrame:
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         # in stars a node with a larger neighbour is a root, and any other has one neighbour
         bent = F.when(F.col("b") > F.col("a"), F.col("m") != F.col("a")).otherwise(F.col("m") != F.col("b"))
-        met = both.join(lowest, "a").observe(seen, F.count_if(bent).alias("bent"))
+        met = split_join(both, lowest, "a").observe(seen, F.count_if(bent).alias("bent"))
         large = met.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = split_join(large, least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # a node's smaller neighbours go to the smallest, and so does the node
         after = materialize(_contract(small.union(least.select("a", F.col("m").alias("b")))), "links")
         if not seen.get["bent"]:

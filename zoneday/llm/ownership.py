@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zoneday.llm.joins import split_join
 from zoneday.session import materialize
 
 # The patterns of the base kinds, in the order in which they are listed.
@@ -135,7 +136,7 @@ def scan(docs: DataFrame, doc_id: Column, text: Column, source: Column, max_owne
     found = materialize(candidates(docs, doc_id, text, source), "secret-candidates")
     counts = ownership(found)
     tokens = found.filter(F.size("token") > 0).select("id", "key", F.explode("token").alias("t")).select("id", "key", "t.start", "t.end", "t.hash").distinct()
-    judged = tokens.join(counts, "hash").select("id", "key", F.struct("start", "end").alias("span"), (F.col("owners") <= max_owners).alias("own"))
+    judged = split_join(tokens, counts, "hash").select("id", "key", F.struct("start", "end").alias("span"), (F.col("owners") <= max_owners).alias("own"))
     per_doc = judged.groupBy(F.col("id").alias("of"), F.col("key").alias("of_key")).agg(
         F.collect_list(F.when(F.col("own"), F.col("span"))).alias("owned"), F.count_if(~F.col("own")).alias("n_copied")
     )

@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneday.llm import flat
+from zoneday.llm.joins import split_join
 from zoneday.session import materialize
 
 LEAST = 200
@@ -315,14 +316,14 @@ def repeats(rows: DataFrame, least: int = LEAST, size: int = ANCHOR, crowd: int
     found = materialize(contexts(rows.select("k1", "k2", "text").filter(F.octet_length("text") >= least), least, size, stretch), "contexts")
     shared = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     # equal documents: one row with their number
-    places = found.join(shared, "anchor", "left_semi").groupBy("k1", "k2", "start", "length", "anchor", "context").agg(F.count("*").alias("n"))
+    places = split_join(found, shared, "anchor", "left_semi").groupBy("k1", "k2", "start", "length", "anchor", "context").agg(F.count("*").alias("n"))
     places = materialize(places, "shared-contexts")
     kinds = places.groupBy("anchor", "context").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "start", "length")).alias("at"))
     kinds = materialize(kinds, "context-kinds")
     crowds = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
     # an anchor with one kind of context repeats as a whole or not at all, and still goes through the index
     wanted = (
-        kinds.join(crowds, "anchor")
+        split_join(kinds, crowds, "anchor")
         .select("at.*", F.struct("anchor", "context", (F.col("n") > 1).alias("twice"), (F.col("kinds") > crowd).alias("crowded"), "at.start", "at.length").alias("w"))
         .groupBy("k1", "k2")
         .agg(F.collect_list("w").alias("wanted"))

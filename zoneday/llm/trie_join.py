@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from zoneday.llm import flat
 from zoneday.llm.graph import components
+from zoneday.llm.joins import split_join
 from zoneday.llm.run_index import keyed
 from zoneday.session import materialize
 
@@ -284,7 +285,7 @@ def first_shingles(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFra
 
     heads = materialize(sets.select("node", "shingles").mapInArrow(run, "node string, n bigint, h bigint"), "first-shingles")
     held = heads.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
-    return materialize(heads.join(held, "h"), "shared-first-shingles")
+    return materialize(split_join(heads, held, "h"), "shared-first-shingles")
 
 
 def pairs_of_few(heads: DataFrame, percent: int) -> DataFrame:
@@ -436,7 +437,7 @@ def _task(*columns: str) -> Column:
 def links_of_many(heads: DataFrame, sides: DataFrame, counts: np.ndarray, percent: int, block: int) -> DataFrame:
     """The same for nodes that share a first shingle with many others."""
     leader = heads.groupBy("h").agg(F.min("node").alias("b"))
-    clusters = components(heads.join(leader, "h").select(F.col("node").alias("a"), "b"))
+    clusters = components(split_join(heads, leader, "h").select(F.col("node").alias("a"), "b"))
     placed = materialize(_blocks(clusters.select("node", F.col("component").alias("cluster")), block), "blocks")
     first = placed.join(sides, "node").select(_task("cluster", "block").alias("task"), F.lit(0).alias("side"), "node", "shingles")
     found = materialize(join_tasks(first, counts, percent), "near-links")
@@ -499,7 +500,7 @@ def _labelled(docs: DataFrame, words: int, percent: int, block: int = BLOCK, few
     named = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = materialize(named, "near-classes")
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_node = named.join(lowest, "component").select("node", "component_id")
+    by_node = split_join(named, lowest, "component").select("node", "component_id")
     # a set that a single document has needs no join, and a hot one is split by adaptive execution
     return found.join(by_node, "node", "left").select(
         "doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
