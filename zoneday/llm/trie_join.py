@@ -45,7 +45,7 @@ from zoneday.session import materialize
 WORDS = 5
 PERCENT = 75
 CHUNK = 1 << 20
-PART = 1 << 17  # shingles of one hash range
+PART = 1 << 19  # shingles of one hash range
 CELLS = 1 << 21
 FEW = 32
 BLOCK = 256
@@ -437,7 +437,7 @@ def _task(*columns: str) -> Column:
 def links_of_many(heads: DataFrame, sides: DataFrame, counts: np.ndarray, percent: int, block: int) -> DataFrame:
     """The same for nodes that share a first shingle with many others."""
     leader = heads.groupBy("h").agg(F.min("node").alias("b"))
-    clusters = components(split_join(heads, leader, "h").select(F.col("node").alias("a"), "b"))
+    clusters = components(split_join(heads, leader, "h").select(F.col("node").alias("a"), "b").distinct())
     placed = materialize(_blocks(clusters.select("node", F.col("component").alias("cluster")), block), "blocks")
     first = placed.join(sides, "node").select(_task("cluster", "block").alias("task"), F.lit(0).alias("side"), "node", "shingles")
     found = materialize(join_tasks(first, counts, percent), "near-links")
