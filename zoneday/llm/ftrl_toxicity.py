@@ -102,13 +102,16 @@ def train(examples: list[tuple[int, np.ndarray]], epochs: int = 6, seed: int = 7
     """``examples``: (label, sorted places).  Places met in one example only can't generalise and are left out."""
     if not examples:
         return Model(-40.0, np.zeros(0, np.int64), np.zeros(0))
-    used, counts = np.unique(np.concatenate([p for _, p in examples]), return_counts=True)
-    used = used[counts > 1]
+    counts = np.zeros(1 << BITS, dtype=np.int32)
+    for _, places in examples:
+        counts[places] += 1
+    used = np.flatnonzero(counts > 1)
+    number = np.full(1 << BITS, -1, dtype=np.int32)
+    number[used] = np.arange(len(used))
     local = []
     for label, places in examples:
-        at = np.searchsorted(used, places)
-        fits = (at < len(used)) & (used[np.minimum(at, max(len(used) - 1, 0))] == places) if len(used) else np.zeros(len(places), bool)
-        local.append((label, np.append(at[fits], len(used))))
+        at = number[places]
+        local.append((label, np.append(at[at >= 0], np.int32(len(used)))))
     ftrl, rng = Ftrl(len(used) + 1), np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(len(local)):
@@ -132,7 +135,7 @@ def fit(docs: DataFrame, labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 
     sample = labelled_sample(docs, labelled.select("doc_id", F.col("label").cast("int").alias("label")), rows)
     got = sample.mapInArrow(run, "doc_id bigint, label int, places binary").toPandas().sort_values("doc_id", kind="stable")
-    return train([(y, np.frombuffer(p, dtype=np.uint32).astype(np.int64)) for y, p in zip(got["label"], got["places"], strict=True)])
+    return train([(y, np.frombuffer(p, dtype=np.uint32)) for y, p in zip(got["label"], got["places"], strict=True)])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

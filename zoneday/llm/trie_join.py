@@ -249,12 +249,13 @@ def frequencies(sets: DataFrame, cells: int = CELLS) -> np.ndarray:
             for i, at, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 total.setdefault(i, np.zeros(block, dtype=np.int64))[at] += n
         for i, n in total.items():
-            yield _table({"block": ([i], pa.int64()), "n": ([n], pa.list_(pa.int64()))})
+            # an order needs no more than 16 bits
+            yield _table({"block": ([i], pa.int64()), "n": ([np.minimum(n, MANY).astype(np.uint16).tobytes()], pa.binary())})
 
     parts = sets.select("shingles").mapInArrow(run, "block bigint, at array<bigint>, n array<bigint>")
-    out = np.zeros(cells, dtype=np.uint16)  # an order needs no more
-    for row in parts.repartition("block").mapInArrow(merge, "block bigint, n array<bigint>").collect():  # cells / 4096 rows
-        out[row.block * block : (row.block + 1) * block] = np.minimum(row.n, MANY)
+    out = np.zeros(cells, dtype=np.uint16)
+    for row in parts.repartition("block").mapInArrow(merge, "block bigint, n binary").collect():  # cells / 4096 rows
+        out[row.block * block : (row.block + 1) * block] = np.frombuffer(row.n, dtype=np.uint16)
     return out
 
 
