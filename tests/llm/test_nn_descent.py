@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from zoneday.llm import nn_descent, queries
 
@@ -89,3 +90,33 @@ def test_whole_table(spark, sf_dir, name):
     want = sorted(brute(rows), key=key)
     assert len(got) == len(want)
     assert np.mean([a == b for a, b in zip(got, want, strict=True)]) > 0.98
+
+
+def skewed(spark, n=900, pairs=150, group=450, dim=24):
+    """One label: a dense group and single rows, with pairs of cosine 0.94 spread among them."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    dense = unit(unit(rng.standard_normal(dim)) + 0.02 * rng.standard_normal((group, dim)))
+    single = unit(rng.standard_normal((n, dim)))
+    base = single[:pairs]
+    side = rng.standard_normal((pairs, dim))
+    side = unit(side - (side * base).sum(1, keepdims=True) * base)
+    x = np.concatenate([single, 0.94 * base + np.sqrt(1 - 0.94**2) * side, dense])
+    rows = [(i, 0, [float(np.float32(y)) for y in v]) for i, v in enumerate(x)]
+    return rows, spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+
+
+def test_audit_sees_missed_pairs_beside_a_dense_group(spark):
+    rows, df = skewed(spark)
+    keyed = nn_descent.units(df).filter("unit is not null").withColumn("weight", F.lit(1)).withColumn("node", F.col("vec_id"))
+    nodes = nn_descent.materialize(keyed, "nodes")
+    true = {v: n for v, n, _ in brute(rows)}
+    # the dense group found whole, of the pairs every second
+    found = [(v, n if v >= 1050 else int(v % 150 % 2)) for v, n in true.items() if n and (v >= 1050 or v % 150 % 2)]
+    counts = spark.createDataFrame(found, "node long, links long").withColumn("other", F.lit(None).cast("bigint"))
+    wide = nodes.filter("node >= 1050").select("node")
+    got = nn_descent.audit(nodes, counts, wide, nn_descent.THRESHOLD, block=100).collect()
+    want = np.mean([dict(found).get(v, 0) / n for v, n in true.items() if n and v < 1050])
+    assert len(got) == 1 and abs(got[0].recall - want) < 0.05 and want < 0.6
+    whole = spark.createDataFrame([(v, n) for v, n in true.items() if n], "node long, links long").withColumn("other", F.lit(None).cast("bigint"))
+    assert nn_descent.audit(nodes, whole, wide, nn_descent.THRESHOLD, block=100).first().recall == 1

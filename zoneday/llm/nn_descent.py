@@ -10,9 +10,10 @@ other, and every node keeps the best it has seen, until lists hardly change.
 Lists whose every entry reaches the threshold are saturated: links may be
 missing.  They are enlarged to the whole component of threshold links they
 lie in, which is compared block by block in double precision; other lists'
-links are checked in double precision as they are.  An audit compares a
-bounded set of nodes with all nodes of their labels, and as long as its recall
-is below ``RECALL`` new seeds are added and the lists descend again.
+links are checked in double precision as they are.  An audit compares nodes
+drawn per label and size of group with all nodes of their labels, and as long
+as some label's mean recall per node is below ``RECALL`` new seeds are added
+and the lists descend again, up to ``most_seeds`` seeds.
 
 A null or zero vector, one with null or non-finite components, and a null
 label link with nothing; vectors of different lengths are never compared.
@@ -36,7 +37,8 @@ NEIGHBOURS = 8
 BLOCK = 256
 SEEDS = 2
 ROUNDS = 4
-AUDITED = 200
+AUDITED = 256  # of each label and size of group
+AUDIT_BLOCK = 2048
 RECALL = 0.98
 SLACK = 1e-4  # lists hold cosines of single precision
 UNIT = "vec_id bigint, label string, dim int, unit binary"
@@ -231,8 +233,8 @@ def _check(nodes: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "wa", "wb", "xa", "xb").mapInArrow(run, COUNTS)
 
 
-def link_counts(nodes: DataFrame, lists: DataFrame, k: int, threshold: float, block: int) -> DataFrame:
-    """(node, links, other): weights of links found, and links that connect, from neighbour lists."""
+def link_counts(nodes: DataFrame, lists: DataFrame, k: int, threshold: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """(node, links, other): weights of links found, and links that connect, from neighbour lists; and the nodes of components compared whole."""
     near = materialize(lists.filter(F.col("sim") >= threshold - SLACK), "near")
     member = materialize(components(near.select(F.col("v").alias("a"), F.col("u").alias("b"))), "components")
     full = near.groupBy("v").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
@@ -240,32 +242,81 @@ def link_counts(nodes: DataFrame, lists: DataFrame, k: int, threshold: float, bl
     wide = member.join(saturated, "component", "left_semi").select("node", "component")
     pairs = near.select(F.least("v", "u").alias("a"), F.greatest("v", "u").alias("b")).distinct()
     plain = pairs.join(wide.select(F.col("node").alias("a")), "a", "left_anti")
-    return materialize(_check(nodes, plain, threshold).unionByName(_compare(nodes, wide, threshold, block)), "link-counts")
+    return materialize(_check(nodes, plain, threshold).unionByName(_compare(nodes, wide, threshold, block)), "link-counts"), wide
 
 
-def audit(nodes: DataFrame, counts: DataFrame, threshold: float, audited: int = AUDITED) -> tuple[int, int]:
-    """Weights of links found and of all links, of at most ``audited`` nodes compared with every node of their labels."""
-    chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(audited).select("node", "label", "dim", "unit").collect()
-    if not chosen:
-        return 0, 0
-    by: dict[tuple, tuple] = {}
-    for key in {(r.label, r.dim) for r in chosen}:
-        own = [r for r in chosen if (r.label, r.dim) == key]
-        by[key] = (np.array([r.node for r in own]), _matrix([r.unit for r in own]))
+def against(nodes: DataFrame, asked: DataFrame, threshold: float, block: int) -> DataFrame:
+    """The nodes of ``asked`` compared with every node of their labels, block by block: weights of links per asked node, and links that connect."""
 
     def run(batches):
-        for batch in batches:
-            node, label, dim, weight, unit = (c.to_pylist() for c in batch.columns)
-            for key, (asked, x) in by.items():
-                at = [i for i in range(len(node)) if (label[i], dim[i]) == key]
-                if at:
-                    own = np.array([node[i] for i in at])
-                    near = (x @ _matrix([unit[i] for i in at]).T >= threshold) & (asked[:, None] != own[None, :])
-                    yield _table("node bigint, links bigint", asked, near @ np.array([weight[i] for i in at]))
-
-    true = nodes.select("node", "label", "dim", "weight", "unit").mapInArrow(run, "node bigint, links bigint").groupBy("node").agg(F.sum("links").alias("all"))
-    got = counts.groupBy("node").agg(F.sum("links").alias("got"))
-    return tuple(true.join(got, "node", "left").agg(F.coalesce(F.sum("got"), F.lit(0)), F.coalesce(F.sum("all"), F.lit(0))).first())
+        for rows in _groups(batches, 4):
+            side, node = np.array([r[4] for r in rows]), np.array([r[5] for r in rows])
+            weight, x = np.array([r[6] for r in rows]), _matrix([r[7] for r in rows])
+            left, right = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+            if not len(left) or not len(right):
+                continue
+            near = (x[left] @ x[right].T >= threshold) & (node[left][:, None] != node[right][None, :])
+            yield _table(COUNTS, node[left], near @ weight[right], [None] * len(left))
+            i, j = np.nonzero(near)
+            first = _firsts(left[i], right[j], len(rows))
+            tied = np.flatnonzero((first != np.arange(len(rows))) & (node[first] != node))
+            if len(tied):
+                yield _table(COUNTS, node[tied], [0] * len(tied), node[first[tied]])
+
+    key = ["label", "dim"]
+    rows = nodes.select(*key, "node", "weight", "unit")
+    own = rows.join(asked.select("node"), "node", "left_semi")
+    sized = rows.groupBy(*key).agg(F.ceil(F.count("*") / block).alias("blocks"))
+    parts = materialize(own.groupBy(*key).agg(F.ceil(F.count("*") / block).alias("parts")).join(sized, key), "audit-blocks")
+    all_of = lambda c: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(c) - 1))
+    dealt = lambda c: F.pmod(F.xxhash64("node", F.lit(c)), F.col(c))
+    held = rows.join(parts, key).select(*key, dealt("blocks").alias("block"), all_of("parts").alias("part"), F.lit(0).alias("side"), "node", "weight", "unit")
+    put = own.join(parts, key).select(*key, all_of("blocks").alias("block"), dealt("parts").alias("part"), F.lit(1).alias("side"), "node", "weight", "unit")
+    pairs = held.unionByName(put).repartition(*key, "block", "part")
+    return pairs.sortWithinPartitions(*key, "block", "part", "side", "node").mapInArrow(run, COUNTS)
+
+
+def _firsts(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The first of the ``n`` rows that each row is connected with by links a - b."""
+    first = np.arange(n)
+    while True:
+        before = first.copy()
+        np.minimum.at(first, a, before[b])
+        np.minimum.at(first, b, first[a])
+        first = first[first]
+        if (first == before).all():
+            return first
+
+
+def audit(nodes: DataFrame, counts: DataFrame, wide: DataFrame, threshold: float, audited: int = AUDITED, block: int = AUDIT_BLOCK) -> DataFrame:
+    """(label, dim, recall): the mean over nodes with links of the share of their links that was found.
+
+    Nodes are drawn per label and per size of what was found, about ``audited``
+    of each, and compared with every node of their labels; a drawn node stands
+    for as many as its draw left out.  Of the nodes without a link found so
+    many are drawn that as few missed ones as the bound allows would show (at
+    95 %), all of them where few links were found.  Nodes of components that
+    were compared whole and other nodes are judged apart, and the lower mean
+    counts.  A label without links has none to miss: null.
+    """
+    found = counts.groupBy("node").agg(F.sum("links").alias("got"))
+    placed = nodes.select("node", "label", "dim").join(found, "node", "left").join(wide.select("node", F.lit(True).alias("wide")), "node", "left")
+    size = F.when(F.col("got") > 0, F.floor(F.log2("got"))).otherwise(-1)
+    placed = placed.select("node", "label", "dim", F.coalesce("wide", F.lit(False)).alias("wide"), F.coalesce("got", F.lit(0)).alias("got"), size.alias("size"))
+    placed = materialize(placed, "audit-nodes")
+    drawn_by = ["label", "dim", "wide", "size"]
+    sizes = materialize(placed.groupBy(*drawn_by).agg(F.count("*").alias("n")), "audit-sizes")
+    linked = sizes.filter("not wide and size >= 0").groupBy("label", "dim").agg(F.sum("n").alias("linked"))
+    enough = F.coalesce(3 / ((1 - RECALL) * F.col("linked")), F.lit(1.0))
+    rate = F.greatest(audited / F.col("n"), F.when(F.expr("not wide and size < 0"), enough).otherwise(0.0))
+    rates = materialize(sizes.join(linked, ["label", "dim"], "left").select(*drawn_by, F.least(F.lit(1.0), rate).alias("rate")), "audit-rates")
+    draw = F.pmod(F.xxhash64("node", F.lit("audit")), F.lit(1 << 40)) / float(1 << 40)
+    asked = materialize(placed.join(rates, drawn_by).filter(draw < F.col("rate")).select("node", "label", "dim", "wide", "got", "rate"), "audited")
+    true = against(nodes, asked, threshold, block).groupBy("node").agg(F.sum("links").alias("all"))
+    judged = asked.join(true, "node").filter("all > 0").groupBy("label", "dim", "wide")
+    means = judged.agg((F.sum(F.least(F.lit(1.0), F.col("got") / F.col("all")) / F.col("rate")) / F.sum(1 / F.col("rate"))).alias("recall"))
+    recall = means.groupBy("label", "dim").agg(F.min("recall").alias("recall"))
+    return materialize(nodes.select("label", "dim").distinct().join(recall, ["label", "dim"], "left"), "audit")
 
 
 def near_duplicates(
@@ -284,9 +335,8 @@ def near_duplicates(
         for f in fresh:
             lists = f if lists is None else lists.union(f)
         lists = refine(nodes, materialize(top(lists, k), "neighbours"), k)
-        counts = link_counts(nodes, lists, k, threshold, block)
-        got, whole = audit(nodes, counts, threshold)
-        if got >= RECALL * whole or turn >= most_seeds:
+        counts, wide = link_counts(nodes, lists, k, threshold, block)
+        if audit(nodes, counts, wide, threshold).filter(F.col("recall") < RECALL).isEmpty() or turn >= most_seeds:
             break
     total = counts.groupBy("node").agg(F.sum("links").alias("links"))
     label = components(counts.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
