@@ -120,3 +120,11 @@ def test_audit_sees_missed_pairs_beside_a_dense_group(spark):
     assert len(got) == 1 and abs(got[0].recall - want) < 0.05 and want < 0.6
     whole = spark.createDataFrame([(v, n) for v, n in true.items() if n], "node long, links long").withColumn("other", F.lit(None).cast("bigint"))
     assert nn_descent.audit(nodes, whole, wide, nn_descent.THRESHOLD, block=100).first().recall == 1
+
+
+def test_labels_below_the_bound_are_compared_exactly(spark):
+    rows, df = skewed(spark)
+    other = [(5000 + v, 1, x) for v, _, x in rows if v >= 1400]  # a label that needs no more
+    df = df.union(spark.createDataFrame([(*r, 0) for r in other], SCHEMA))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nn_descent.near_duplicates(df, block=8, most_seeds=2).collect()}
+    assert got == {v: (n, c) for v, n, c in brute(rows + other)}

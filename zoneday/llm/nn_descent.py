@@ -12,8 +12,9 @@ missing.  They are enlarged to the whole component of threshold links they
 lie in, which is compared block by block in double precision; other lists'
 links are checked in double precision as they are.  An audit compares nodes
 drawn per label and size of group with all nodes of their labels, and as long
-as some label's mean recall per node is below ``RECALL`` new seeds are added
-and the lists descend again, up to ``most_seeds`` seeds.
+as a label's mean recall per node is below ``RECALL`` it gets new seeds and its
+lists descend again.  A label that is still below after ``most_seeds`` seeds
+has all its nodes compared with each other, exactly, block by block.
 
 A null or zero vector, one with null or non-finite components, and a null
 label link with nothing; vectors of different lengths are never compared.
@@ -23,6 +24,8 @@ vec_id; null ids get their component's name, or null alone, and are not kept.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -328,16 +331,25 @@ def near_duplicates(
     key = ["label", "dim", "unit"]
     nodes = rows.filter("unit is not null").groupBy(*key).agg(F.count("*").alias("weight"), F.min("vec_id").alias("least"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    lists, turn = None, 0
+    todo, lists, turn, done = nodes, None, 0, []
     while True:
-        fresh = [seeds(nodes, t, k, block) for t in range(turn, turn + SEEDS)]
+        fresh = [seeds(todo, t, k, block) for t in range(turn, turn + SEEDS)]
         turn += SEEDS
         for f in fresh:
             lists = f if lists is None else lists.union(f)
-        lists = refine(nodes, materialize(top(lists, k), "neighbours"), k)
-        counts, wide = link_counts(nodes, lists, k, threshold, block)
-        if audit(nodes, counts, wide, threshold).filter(F.col("recall") < RECALL).isEmpty() or turn >= most_seeds:
+        lists = refine(todo, materialize(top(lists, k), "neighbours"), k)
+        counts, wide = link_counts(todo, lists, k, threshold, block)
+        poor = audit(todo, counts, wide, threshold).filter(F.col("recall") < RECALL)
+        if poor.isEmpty():
+            done.append(counts)
+            break
+        short = materialize(todo.join(poor, ["label", "dim"], "left_semi"), "short-labels")
+        done.append(counts.join(short.select("node"), "node", "left_anti"))
+        if turn >= most_seeds:
+            done.append(materialize(against(short, short, threshold, AUDIT_BLOCK), "exact-links"))
             break
+        todo, lists = short, lists.join(short.select(F.col("node").alias("v")), "v", "left_semi")
+    counts = reduce(DataFrame.unionByName, done)
     total = counts.groupBy("node").agg(F.sum("links").alias("links"))
     label = components(counts.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     named = materialize(nodes.join(total, "node", "left").join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), "named")
