@@ -321,7 +321,7 @@ def repeats(rows: DataFrame, least: int = LEAST, size: int = ANCHOR, crowd: int
     kinds = places.groupBy("anchor", "context").agg(F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "start", "length")).alias("at"))
     kinds = materialize(kinds, "context-kinds")
     crowds = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    # an anchor with one kind of context repeats as a whole or not at all, and still goes through the index
+    # an anchor with one kind of context repeats as a whole or not at all: index_marks marks it without the index
     wanted = (
         split_join(kinds, crowds, "anchor")
         .select("at.*", F.struct("anchor", "context", (F.col("n") > 1).alias("twice"), (F.col("kinds") > crowd).alias("crowded"), "at.start", "at.length").alias("w"))
