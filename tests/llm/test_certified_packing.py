@@ -108,3 +108,20 @@ def test_one_text_in_many_rows(spark):
     docs = spark.range(500).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
     got = cp.pack(cp.cut(docs, RANKS, PATTERN), per_group=50).collect()
     assert len(got) == 500 and fits(got, 2048) <= 12
+
+
+def test_rounds_go_on_while_they_gain(spark):
+    rng = random.Random(4)
+    rows = [(i, 0, 0, rng.choice([1, 3, 35, 36, 64, 65, 99, 34, 33, 20, 51]), 1, i) for i in range(1500)]
+    got = cp.pack(spark.createDataFrame(rows, cp.PIECES), 100, 20).collect()
+    assert sorted(r.deal for r in got) == list(range(1500))
+    assert fits(got, 100) <= 660  # 662 where a round without a lower total is thrown away for all groups
+
+
+def test_given_sequences_stay_unless_fewer_are_needed():
+    pieces = dict(doc_id=1, piece=0, start=0, ids_crc32=1)
+    given = [(6, 0, 0), (4, 0, 6), (5, 1, 0), (3, 1, 5), (2, 1, 8)]  # length, was, at
+    kept = cp._pack(cp.pd.DataFrame([{**pieces, "length": n, "deal": i, "was": w, "at": a} for i, (n, w, a) in enumerate(given)]), 10)
+    assert set(kept["made"]) == {2} and sorted(kept.loc[kept["offset"] > 0, "offset"]) == [5, 6, 8]
+    wasted = [{**pieces, "length": 5, "deal": i, "was": i, "at": 0} for i in range(4)]
+    assert set(cp._pack(cp.pd.DataFrame(wasted), 10)["made"]) == {2}

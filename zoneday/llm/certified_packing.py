@@ -9,9 +9,10 @@ Dual-feasible functions give lower bounds: such a function maps the lengths
 of any set that fits one sequence to a sum of at most 1, so the sum over all
 pieces, rounded up, is a number of sequences that no packing goes below.  A
 partition whose count meets its best bound is certified.  From a partition
-with a gap the sequences with most room give their pieces back; these pieces
-are exchanged between partitions (dealt anew) and packed again, and the new
-packing is taken where it needs fewer sequences than these pieces had.
+with a gap the sequences with most room are given back; these sequences are
+exchanged between partitions (dealt anew) and their pieces packed again.  Each
+partition takes its new packing where that needs fewer sequences than it was
+given and keeps the given ones otherwise.  Rounds go on while the number falls.
 
 Null text counts as empty: it is one piece with the end id alone.  Repeated
 rows are packed once each, and a null doc_id stays null.  Texts of any length
@@ -23,6 +24,7 @@ from __future__ import annotations
 import base64
 import zlib
 from functools import cache, reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -35,7 +37,6 @@ from zoneday.session import materialize
 
 SEQUENCE = 2048
 PER_GROUP = 2048  # pieces packed at once
-ROUNDS = 2
 OPEN_SHARE = 16  # a gap of one sequence gives back this many sequences
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, deal bigint"
 
@@ -125,10 +126,17 @@ def best_fit(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.
 
 
 def _pack(group: pd.DataFrame, size: int) -> pd.DataFrame:
-    """One group packed: sequence number within the group, offset, room of the sequence, sequences and bound of the group."""
+    """One group packed: sequence number within the group, offset, room of the sequence, sequences and bound of the group.
+
+    Pieces that come in sequences (was, at) stay in them unless fewer are needed.
+    """
     group = group.sort_values(["length", "deal", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True, True], kind="stable")
     lengths = group["length"].to_numpy()
     which, offset = best_fit(lengths, size)
+    if "was" in group:
+        given = pd.factorize(group["was"])[0]
+        if which.max() >= given.max():
+            which, offset = given, group["at"].to_numpy()
     room = size - np.bincount(which, weights=lengths).astype(np.int64)
     return group.assign(local=which, offset=offset, room=room[which], made=which.max() + 1, bound=lower_bound(lengths, size))
 
@@ -136,12 +144,13 @@ def _pack(group: pd.DataFrame, size: int) -> pd.DataFrame:
 PACKED = PIECES + ", grp bigint, local bigint, offset bigint, room bigint, made bigint, bound bigint"
 
 
-def _group(deal: Column, groups: int, salt: int) -> Column:
-    return F.pmod(F.xxhash64("deal", F.lit(salt)), F.lit(groups))
+def _group(deal: str, groups: int, salt: int) -> Column:
+    return F.pmod(F.xxhash64(deal, F.lit(salt)), F.lit(groups))
 
 
 def _packed(pieces: DataFrame, groups: int, salt: int, size: int) -> DataFrame:
-    dealt = pieces.withColumn("grp", _group(F.col("deal"), groups, salt))
+    # a sequence goes to one group as a whole
+    dealt = pieces.withColumn("grp", _group("was" if "was" in pieces.columns else "deal", groups, salt))
     return dealt.groupBy("grp").applyInPandas(lambda g: _pack(g, size)[[c.split()[0] for c in PACKED.split(", ")]], PACKED)
 
 
@@ -158,7 +167,7 @@ def _roomiest(packed: DataFrame, share: int = OPEN_SHARE) -> DataFrame:
     return ranked.filter(F.col("rank") <= (F.col("made") - F.col("bound")) * share).select("grp", "local")
 
 
-def pack(pieces: DataFrame, size: int = SEQUENCE, per_group: int = PER_GROUP, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, size: int = SEQUENCE, per_group: int = PER_GROUP) -> DataFrame:
     """Adds sequence_id and offset to pieces."""
     names = pieces.columns
     pieces = materialize(pieces, "packing-pieces")
@@ -168,17 +177,18 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, per_group: int = PER_GROUP, ro
 
     def packed(rest: DataFrame, turn: int) -> DataFrame:
         groups = max(1, -(-rest.count() // per_group))
-        number = F.lit(turn << 56) + F.col("grp") * (1 << 20) + F.col("local")
+        number = F.lit(turn << 48).cast("bigint") + F.col("grp") * (1 << 20) + F.col("local")
         return materialize(_packed(rest, groups, turn, size).withColumn("sequence_id", number), f"packing-{turn}")
 
     current = packed(pieces.filter(F.col("length") < size), 0)
     done = [alone]
-    for turn in range(1, rounds + 1):
+    for turn in count(1):
         back = materialize(_roomiest(current), f"packing-back-{turn}")
         given = back.count()
         if not given:
             break
-        again = packed(current.join(back, ["grp", "local"], "left_semi").select(names), turn)
+        pool = current.join(back, ["grp", "local"], "left_semi").select(*names, F.col("sequence_id").alias("was"), F.col("offset").alias("at"))
+        again = packed(pool, turn)
         needed = certificate(again).agg(F.coalesce(F.sum("made"), F.lit(0))).first()[0]
         if needed >= given:
             break
