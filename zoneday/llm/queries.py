@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from zoneday.llm import byte_cnn, certified_packing, crf_language, extendible_index, ftrl_toxicity, merge_rounds, nn_descent, ownership, run_index, trie_join
+from zoneday.llm import (
+    byte_cnn,
+    certified_packing,
+    crf_language,
+    extendible_index,
+    ftrl_toxicity,
+    laesa_codes,
+    merge_rounds,
+    nn_descent,
+    ownership,
+    polar_whitening,
+    prefix_containment,
+    run_index,
+    trie_join,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +43,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
@@ -89,4 +107,65 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_nn_descent")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nn_descent.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return nn_descent.near_duplicates(embeddings(spark, sf_dir))
+
+
+@query("op11_polar_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polar_whitening.whiten(embeddings(spark, sf_dir))
+
+
+def _books(n: int, before: str) -> str:
+    """SQL: the nearest entry of every part, and the codebooks after one round."""
+    return f"""
+    a{n} as (select vec_id, p, min({{'d': d, 'e': e}}) as m from (
+        select vec_id, x.p, e, list_sum(list_transform(list_zip(x.z, b.z), lambda v: (v[1] - v[2]) * (v[1] - v[2]))) as d
+        from parts x join {before} b using (p)) group by 1, 2),
+    m{n} as (select p, e, list(v order by pos) as z from (
+        select p, m.e as e, pos, cast(floor(cast(sum(z[pos]) as double) / count(*)) as bigint) as v
+        from a{n} join parts using (vec_id, p), unnest(range(1, width + 1)) as u(pos) group by 1, 2, 3) group by 1, 2),
+    b{n + 1} as (select p, e, coalesce(m{n}.z, {before}.z) as z from {before} left join m{n} using (p, e))"""
+
+
+@query(
+    "op12_laesa_codes",
+    f"""
+    with kept as (select vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as z from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+    parts as (select vec_id, label, p, len(z) // 16 as width, z[p * (len(z) // 16) + 1 : (p + 1) * (len(z) // 16)] as z
+        from kept, unnest(range(0, 16)) as u(p)),
+    b0 as (select p, e, z from parts join (select vec_id, row_number() over (order by vec_id) - 1 as e from kept) using (vec_id) where e < 64),
+    {_books(0, "b0")}, {_books(1, "b1")}, {_books(2, "b2")},
+    coded as (select vec_id, string_agg(printf('%02x', m.e), '' order by p) as code, cast(sum(m.d) as bigint) as error from a2 group by 1),
+    digest as (select sha256(string_agg(cast(z[pos] as varchar), ',' order by p, e, pos)) as codebooks_sha256
+        from b2, unnest(range(1, len(z) + 1)) as u(pos))
+    select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+    from coded join kept using (vec_id), digest
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laesa_codes.codes(embeddings(spark, sf_dir))
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op13_prefix_containment",
+    f"""
+    with d as (select doc_id, {_WORDS} as w from documents),
+    b as (select cast(item_id as varchar) as item, {_WORDS} as w from benchmark),
+    wins as (select distinct item, least(len(w), 10) as m, array_to_string(w[i : i + 9], ' ') as t
+        from b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as u(i) where len(w) > 0),
+    places as (select doc_id, m, i, array_to_string(w[i : i + m - 1], ' ') as t
+        from d, (select distinct m from wins), unnest(range(1, len(w) - m + 2)) as u(i)),
+    hits as (select distinct doc_id, m, i, item from places join wins using (m, t)),
+    inside as (select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(i, i + m)) as pos from hits) group by 1),
+    listed as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from hits group by 1)
+    select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+      sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+    from d left join inside using (doc_id) left join listed using (doc_id)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_containment.decontamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
