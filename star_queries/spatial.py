@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from datetime import date
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +12,9 @@ from pyspark.sql import functions as F
 
 from star_queries.registry import r, register, sql, table, view
 from zoneday.functions.geodesy import PARAMETERS as P
-from zoneday.operators import geometry, keys, raster
+from zoneday.operators import geometry, keys, manifest, raster, stacks
 from zoneday.session import materialize, scratch_path
-from zoneday.sources import polygons, rasters
+from zoneday.sources import grids, polygons, rasters
 
 GRID = raster.GridSpec(x0=0.0, y0=10.0, dx=1.0, dy=1.0, nrows=10, ncols=10)
 
@@ -93,6 +94,15 @@ def zonal_mean(spark, sf):
     return out.filter(F.col("value").isNotNull()).withColumn("value", r("value"))
 
 
+@register("zonal_mean_stacked", sql(_ZONAL.replace("cov*value", "cov*cast(cast(value as float) as double)"), "grid", "cover"))
+def zonal_mean_stacked(spark, sf):
+    """All days of a month at once, over strips of four columns; coverage kept as sparse matrices."""
+    cover = raster.coverage_weights(box_edges(spark, sf, "rect_polygons"), 10, 10)
+    tiles = stacks.layer_tiles(raster.weight_runs(cover), width=4)
+    out = stacks.zonal_mean_stacked(stacks.stack_lines(scanlines(spark, sf), width=4), tiles)
+    return out.filter(F.col("value").isNotNull()).withColumn("value", r("value"))
+
+
 @register("zonal_mean_cells", sql(_ZONAL, "grid", "cover"))
 def zonal_mean_cells(spark, sf):
     weights = materialize(raster.coverage_weights(box_edges(spark, sf, "rect_polygons"), 10, 10), "weights")
@@ -129,18 +139,64 @@ def _packer() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     return pack
 
 
-@register("bil_decode", sql(_CLIPPED, "grid"))
-def bil_decode(spark, sf):
-    """Raw float grids made from the line items, one per flag and day, cropped and decoded."""
+def whole_grids(spark: SparkSession, sf: str) -> DataFrame:
+    """(var, date, content): raw float grids made from the line items, one per flag and day."""
     cells = view(spark, sf, "grid")
     # a whole grid file as one line of 100 values; absent cells carry the no-data value
     line = cells.select("var", "date", F.lit(0).alias("row"), (F.col("row") * 10 + F.col("col")).alias("col"), "value")
     days = raster.cells_to_scanlines(line, 100).select(
         "var", "date", F.transform("values", lambda v: F.coalesce(v, F.lit(GRID.nodata).cast("float"))).alias("values")
     )
-    files = days.mapInArrow(_packer(), "var string, date date, content binary")
+    return days.mapInArrow(_packer(), "var string, date date, content binary")
+
+
+@register("bil_decode", sql(_CLIPPED, "grid"))
+def bil_decode(spark, sf):
+    """Raw float grids, cropped and decoded."""
     window = raster.bbox_window(GRID, (3.0, 2.0, 9.0, 8.0))
-    return _cells(rasters.decode_bil(files, GRID, window))
+    return _cells(rasters.decode_bil(whole_grids(spark, sf), GRID, window))
+
+
+def grid_files(spark: SparkSession, sf: str) -> str:
+    """The same grids as files with headers, below a folder per variable and year."""
+    root = scratch_path(spark, "grids")
+
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root) if ":" in root else (fs.LocalFileSystem(), root)
+        head = "BYTEORDER I\nNROWS 10\nNCOLS 10\nNBANDS 1\nNBITS 32\nULXMAP 0.5\nULYMAP 9.5\nXDIM 1\nYDIM 1\nNODATA -9999\n"
+        for batch in batches:
+            for var, day, content in zip(*(batch.column(c).to_pylist() for c in ("var", "date", "content")), strict=True):
+                folder = f"{base}/{var}/{day.year}"
+                store.create_dir(folder, recursive=True)
+                for ext, data in (("hdr", head.encode()), ("bil", content)):
+                    with store.open_output_stream(f"{folder}/grid_{var}_us_25m_{day:%Y%m%d}.{ext}") as f:
+                        f.write(data)
+            yield batch.select(["var"])
+
+    whole_grids(spark, sf).mapInArrow(save, "var string").write.format("noop").mode("overwrite").save()
+    return root
+
+
+FLAGS = ("a", "n", "r")
+
+
+@register("bil_window_read", sql(_CLIPPED.replace("select var,", "select lower(var) as var,", 1), "grid"))
+def bil_window_read(spark, sf):
+    """Grid files read through the data source: of each only the window's bytes."""
+    window = raster.bbox_window(GRID, (3.0, 2.0, 9.0, 8.0))
+    return _cells(grids.read_lines(spark, grid_files(spark, sf), FLAGS, window, gap_bytes="0"))
+
+
+@register(
+    "raster_catalog",
+    sql("select distinct lower(var) as var, date, cast(400 as bigint) as length, 10 as nrows, 10 as ncols from grid", "grid"),
+)
+def raster_catalog(spark, sf):
+    """The catalog over written grid files with the shapes their headers name."""
+    found = rasters.shaped_catalog(spark, grid_files(spark, sf), FLAGS, date(1900, 1, 1), date(2100, 1, 1))
+    return manifest.valid_files(found, 400, (10, 10)).select("var", "date", "length", "nrows", "ncols")
 
 
 # ---- polygons ------------------------------------------------------------

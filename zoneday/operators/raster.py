@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from zoneday import fixed_values as fv
 from zoneday.operators.rollup import weighted_mean
-from zoneday.session import lookup
+from zoneday.session import lookup, materialize
 
 
 @dataclass(frozen=True)
@@ -168,10 +168,11 @@ def zonal_mean(grid: DataFrame, weights: DataFrame, zone: str = "zone_id") -> Da
     With running sums along the scanline every run, however long, costs two
     array reads.  The runs go to the scanlines and the partial sums of a map
     task leave one row per zone and day before any shuffle.  Cell weights are
-    accepted too and turned into runs first.  Adaptive execution broadcasts the
-    runs where their bytes allow that, and shuffles the scanlines by row otherwise.
+    accepted too: they are turned into runs and written first, so that their
+    bytes are known when the join is planned.  Runs are broadcast where these
+    allow that; otherwise the scanlines are shuffled by row.
     """
-    runs = weights if "n" in weights.columns else weight_runs(weights, zone)
+    runs = weights if "n" in weights.columns else materialize(weight_runs(weights, zone), "weight-runs")
     lines = grid.select("var", "date", "row", "values").filter(F.col("values").isNotNull())
     kinds = ", ".join(f"`{c}` {dict(lines.dtypes)[c]}" for c in ("var", "date", "row"))
     summed = lines.mapInArrow(_prefix_sums(), f"{kinds}, sums array<double>, counts array<int>")
@@ -193,15 +194,33 @@ def zonal_mean_cells(cells: DataFrame, weights: DataFrame, zone: str = "zone_id"
     )
 
 
+def _cut(first_col: int, n_cols: int, nodata: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    # an inner function travels to the workers by value, so they need not have this package
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The wanted columns of each scanline, missing cells masked, a whole Arrow batch at a time."""
+        for batch in batches:
+            lists = batch.column("values")
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            starts = np.cumsum(sizes) - sizes
+            width = np.clip(sizes - first_col, 0, n_cols)
+            ends = np.cumsum(width)
+            at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts + first_col - ends + width, width)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype("float32")[at]
+            cells = pa.array(flat, mask=np.isnan(flat) | (flat == np.float32(nodata)))
+            offsets = pa.array(np.r_[0, ends].astype("int32"), mask=np.r_[np.asarray(lists.is_null()), False])
+            keys = [batch.column(c) for c in ("var", "date", "row")]
+            yield pa.RecordBatch.from_arrays([*keys, pa.ListArray.from_arrays(offsets, cells)], names=["var", "date", "row", "values"])
+
+    return cut
+
+
 def clip_grid(
     grid: DataFrame, first_row: int, last_row: int, first_col: int, n_cols: int, nodata: float = fv.GRID_NODATA
 ) -> DataFrame:
     """Window of a scanline table; no-data and NaN become NULL.  Rows are renumbered from 0."""
-    window = F.slice("values", first_col + 1, n_cols)
-    clean = F.transform(window, lambda v: F.when((v != nodata) & ~F.isnan(v), v))
-    return grid.filter(F.col("row").between(first_row, last_row)).select(
-        "var", "date", (F.col("row") - first_row).alias("row"), clean.alias("values")
-    )
+    rows = grid.filter(F.col("row").between(first_row, last_row)).select("var", "date", (F.col("row") - first_row).alias("row"), "values")
+    kinds = ", ".join(f"`{c}` {dict(rows.dtypes)[c]}" for c in ("var", "date", "row"))
+    return rows.mapInArrow(_cut(first_col, n_cols, nodata), f"{kinds}, values array<float>")
 
 
 def bbox_window(grid: GridSpec, bbox: tuple[float, float, float, float]) -> tuple[int, int, int, int]:

@@ -8,10 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneday.operators.manifest import valid_files
-from zoneday.operators.raster import GridSpec, bbox_window, coverage_weights, to_grid, weight_runs, zonal_mean
-from zoneday.session import materialize
-from zoneday.sources import rasters, sinks
+from zoneday.operators.raster import GridSpec, bbox_window, coverage_weights, to_grid, weight_runs
+from zoneday.operators.stacks import layer_tiles, zonal_mean_stacked
+from zoneday.session import materialize, scratch_path
+from zoneday.sources import grids, rasters, sinks
 
 
 def layer_weights(
@@ -49,25 +49,27 @@ def extract_zones(
     """Zonal means of all pending days, written to ``out``; returns (var, date, path, length, period, status).
 
     Days already in ``out`` are left out before any grid is opened.  Pending
-    files below the size of the grid are not read: they are returned as
-    ``too short``, or fail the job with ``strict``, and are taken up by a later
-    run once they are whole.
+    files below the size of the grid, or whose header names another shape, are
+    not read: they are returned as ``too short`` or ``other shape``, or fail
+    the job with ``strict``, and are taken up by a later run once they are
+    whole.  The others are read by month, the window's bytes only.
     """
-    catalog = rasters.raster_catalog(spark, rasters_dir, variables, start, end, "bil")
+    catalog = rasters.shaped_catalog(spark, rasters_dir, variables, start, end)
     dated = catalog.withColumn("period", F.date_format("date", period))
+    dated = dated.withColumns({c: F.coalesce(c, F.lit(n)) for c, n in (("nrows", grid.nrows), ("ncols", grid.ncols))})
     size = grid.nrows * grid.ncols * 4
-    status = F.when(F.col("length") >= size, "read").otherwise("too short")
-    pending = materialize(sinks.pending_extracts(dated, out).withColumn("status", status), "todo")
-    if strict and (bad := pending.filter("status = 'too short'").first()):
-        raise ValueError(f"grid cut short: {bad.path}")
-    todo = valid_files(pending, size)
+    same = (F.col("nrows") == grid.nrows) & (F.col("ncols") == grid.ncols) & (F.col("length") <= size)
+    status = F.when(~same, "other shape").when(F.col("length") < size, "too short").otherwise("read")
+    pending = materialize(sinks.pending_extracts(dated, out).withColumn("status", status).drop("nrows", "ncols"), "todo")
+    if strict and (bad := pending.filter("status <> 'read'").first()):
+        raise ValueError(f"{bad.status}: {bad.path}" if bad.status == "other shape" else f"grid cut short: {bad.path}")
+    todo = pending.filter("status = 'read'")
     if todo.isEmpty():
         return pending
-    # Only the pending files are opened.  Their paths pass through the driver,
-    # whose file index holds the same list for any read.
-    paths = [r.path for r in todo.select("path").collect()]
-    files = rasters.read_raster_bytes(spark, paths, variables)
-    lines = rasters.decode_bil(files, grid, window_of(grid, bbox))
-    means = zonal_mean(lines, weights).withColumn("period", F.date_format("date", period))
+    listed = scratch_path(spark, "grid-files")
+    todo.select("path", "length").write.parquet(listed)
+    shape = f"{grid.nrows},{grid.ncols},{grid.nodata}"
+    stacks = grids.read_stacks(spark, None, variables, window_of(grid, bbox), files=listed, shape=shape)
+    means = zonal_mean_stacked(stacks, layer_tiles(weights)).withColumn("period", F.date_format("date", period))
     sinks.write_extracts(means, out, ["zone_id", "date"])
     return pending

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneday.operators.raster import GridSpec
+from zoneday.session import lookup
 
 # One file per variable and day, named
 #   <source>_<var>_us_25m_<YYYYMMDD>.bil
@@ -67,15 +68,34 @@ def read_grid_header(spark: SparkSession, path: str) -> GridSpec:
     )
 
 
-def _float_reader() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def grid_headers(spark: SparkSession, directory: str, variables: Sequence[str]) -> DataFrame:
+    """(var, date, nrows, ncols) from the text headers beside raw grids, one small file per row."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.hdr").text(directory, wholetext=True)
+    var, day = name_parts(F.regexp_replace(F.input_file_name(), r"(?i)\.hdr$", ".bil"), variables)
+    named = files.select(var.alias("var"), day.alias("date"), "value")
+    size = lambda key: F.try_to_number(F.nullif(F.regexp_extract("value", rf"(?im)^\s*{key}\s+(\d+)", 1), F.lit("")), F.lit("999999999")).cast("int")
+    return named.select("var", "date", size("nrows").alias("nrows"), size("ncols").alias("ncols")).filter("var <> '' and date is not null")
+
+
+def shaped_catalog(spark: SparkSession, directory: str, variables: Sequence[str], start: date, end: date) -> DataFrame:
+    """The catalog of raw grids with the shape that each one's header names (NULL without a header).
+
+    ``manifest.valid_files`` with ``min_shape`` sets implausible ones aside.
+    """
+    catalog = raster_catalog(spark, directory, variables, start, end, "bil")
+    return lookup(catalog, grid_headers(spark, directory, variables), ["var", "date"])
+
+
+def _float_reader(nodata: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     # an inner function travels to the workers by value, so they need not have this package
     def floats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Little-endian float32 bytes to float lists, a whole Arrow batch at a time."""
+        """Little-endian float32 bytes to float lists, a whole Arrow batch at a time; no-data is masked on the way."""
         for batch in batches:
             raw = batch.column("bytes").to_pylist()
             flat = np.frombuffer(b"".join(raw), dtype="<f4")
             offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in raw])]).astype("int32")
-            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.float32()))
+            missing = np.isnan(flat) | (flat == np.float32(nodata))
+            values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=pa.float32(), mask=missing))
             keys = [batch.column(c) for c in ("var", "date", "row")]
             yield pa.RecordBatch.from_arrays([*keys, values], names=["var", "date", "row", "values"])
 
@@ -106,6 +126,4 @@ def decode_bil(
         (F.col("row") - first_row).alias("row"),
         F.substring(F.col("content"), start, F.lit(n_cols * 4)).alias("bytes"),
     )
-    floats = lines.mapInArrow(_float_reader(), "var string, date date, row int, values array<float>")
-    keep = lambda v: F.when((v != F.lit(grid.nodata).cast("float")) & ~F.isnan(v), v)
-    return floats.withColumn("values", F.transform("values", keep))
+    return lines.mapInArrow(_float_reader(grid.nodata), "var string, date date, row int, values array<float>")
