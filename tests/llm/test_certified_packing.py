@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 from zoneday.llm import certified_packing as cp
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+LIBRARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def optimum(lengths, size):
@@ -85,10 +86,10 @@ def test_pack(spark, per_group):
 def test_ids(spark):
     rng = random.Random(4)
     signs = list("abc 's't\n\t.,1½é😀　́ÄΣ") + ["<|endoftext|>", "  ", "the ", "नम"]
-    texts = [None, "", "x" * 9000, "word " * 2048, "hello <|endoftext|> world"] + ["".join(rng.choices(signs, k=rng.randint(0, 80))) for _ in range(400)]
+    texts = [None, "", "x" * 9000, "word " * 2048, "hello <|endoftext|> world", "a" + " " * 1_000_000 + "b", "\n" * 60_000] + ["".join(rng.choices(signs, k=rng.randint(0, 80))) for _ in range(400)]
     docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, deal string")
     lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    rows = cp.best_fit_sequences(docs, RANKS, PATTERN).orderBy("doc_id", "piece").collect()
+    rows = cp.best_fit_sequences(docs, RANKS, PATTERN, LIBRARY).orderBy("doc_id", "piece").collect()
     fits(rows, 2048)
     for doc, group in itertools.groupby(rows, key=lambda r: r.doc_id):
         ids = [*lib.encode(texts[doc] or "", add_special_tokens=False).ids, 0]
@@ -106,7 +107,7 @@ def test_ids(spark):
 
 def test_one_text_in_many_rows(spark):
     docs = spark.range(500).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
-    got = cp.pack(cp.cut(docs, RANKS, PATTERN), per_group=50).collect()
+    got = cp.pack(cp.cut(docs, RANKS, PATTERN, LIBRARY), per_group=50).collect()
     assert len(got) == 500 and fits(got, 2048) <= 12
 
 

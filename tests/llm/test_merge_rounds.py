@@ -44,6 +44,19 @@ def test_whole_table(spark, sf_dir):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want(lib, texts[r.doc_id])
 
 
+def thue_morse(n, swap=False):
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(n))
+
+
+def test_words_that_meet_by_hash(spark):
+    # such words have equal polynomial hashes modulo a power of two, whatever the base
+    a, b = thue_morse(1024), thue_morse(1024, True)
+    docs = spark.createDataFrame([(0, a), (1, b), (2, f"{a} {b}, {a}"), (3, f"{b} x")], "doc_id long, text string").coalesce(1)
+    lib = Tokenizer.from_file(PATH)
+    for r in merge_rounds.encode_documents(docs, PATH).collect():
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == want(lib, docs.filter(f"doc_id = {r.doc_id}").first().text)
+
+
 def test_cache_is_forgotten_when_full(monkeypatch):
     monkeypatch.setattr(merge_rounds, "CACHED_WORDS", 3)
     bpe, lib = merge_rounds.WordBpe(PATH), Tokenizer.from_file(PATH)

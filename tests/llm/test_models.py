@@ -139,3 +139,78 @@ def test_sparse_weights():
         examples.append((int(bad), np.unique(np.r_[rng.integers(0, 5000, 40), 7777 if bad else 8888])))
     model = ftrl_toxicity.train(examples)
     assert len(model.places) < 100 and model.values[list(model.places).index(7777)] > 0
+
+
+def test_sample_is_bounded_for_repeated_ids(spark):
+    from zoneday.llm.samples import labelled_sample
+
+    docs = spark.range(20_000).selectExpr("7L as doc_id", "concat('text ', id) as text").unionByName(spark.range(30).selectExpr("id + 100 as doc_id", "'t' as text"))
+    labels = spark.createDataFrame([(7, 1), (7, 0), *((100 + i, 1) for i in range(30))], "doc_id long, label int")
+    for cap in (8, 40):
+        got = labelled_sample(docs, labels, cap).collect()
+        assert len(got) == min(cap, 31) and len({r.doc_id for r in got}) == len(got)
+    assert [r.label for r in got if r.doc_id == 7] == [0]
+    again = labelled_sample(docs.repartition(7), labels, 40).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+
+
+def test_words_pairs_and_skip_pairs_against_plain_lists():
+    texts = ["", "One two, THREE two", "é 1x", "a", "a a a"]
+    place, text = ftrl_toxicity.features(texts)
+    names: dict[tuple, int] = {}
+    for i, t in enumerate(texts):
+        w = "".join(c if c.isalnum() else " " for c in t.lower()).split()
+        want = [(x,) for x in w] + [(1, x, y) for x, y in zip(w, w[1:], strict=False)] + [(2, x, y) for x, y in zip(w, w[2:], strict=False)]
+        mine = sorted(place[text == i].tolist())
+        assert len(mine) == len(want)
+        # the same grams have the same places, other grams others
+        kinds = sorted(want.count(k) for k in set(want))
+        assert kinds == sorted(mine.count(p) for p in set(mine))
+        for k in want:
+            names.setdefault(k, len(names))
+    assert len(set(place.tolist())) == len(names)
+
+
+def test_ftrl_against_a_plain_one():
+    rng = np.random.default_rng(2)
+    fast = ftrl_toxicity.Ftrl(12, l1=2.0)
+    z, n = [0.0] * 12, [0.0] * 12
+
+    def weight(i, free):
+        if not free and abs(z[i]) <= 2.0:
+            return 0.0
+        sign = float(np.sign(z[i]))
+        return -(z[i] - (0.0 if free else sign * 2.0)) / ((1.0 + n[i] ** 0.5) / 1.0 + 0.1)
+
+    for _ in range(300):
+        at = [*sorted(rng.choice(11, rng.integers(1, 6), replace=False).tolist()), 11]
+        label = float(at[0] < 3)
+        fast.learn(np.array(at), label)
+        w = {i: weight(i, i == 11) for i in at}
+        g = 1 / (1 + np.exp(-sum(w.values()))) - label
+        for i in at:
+            step = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / 1.0
+            z[i] += g - step * w[i]
+            n[i] += g * g
+    assert fast.z == pytest.approx(z, rel=1e-9) and fast.n == pytest.approx(n, rel=1e-9)
+    got = fast.weights(np.arange(11))
+    assert got == pytest.approx([weight(i, False) for i in range(11)], rel=1e-9) and (got == 0).any()
+
+
+def test_score_against_a_plain_convolution():
+    net = byte_cnn.Net.fresh(9)
+    rng = np.random.default_rng(4)
+    texts = ["", "short", "é" * 300, "".join(chr(97 + c) for c in rng.integers(0, 26, 1500)), "x" * 255 + "y", "z" * 256]
+    got = net.score(texts)
+    for t, s in zip(texts, got, strict=True):
+        raw = t.encode()
+        windows = max(1, len(raw) - byte_cnn.WIDTH + 1)
+        tops = []
+        for first in range(0, windows, byte_cnn.STEP):  # each chunk holds STEP windows
+            best = [-np.inf] * byte_cnn.FILTERS
+            for at in range(first, first + byte_cnn.STEP):
+                part = [raw[i] if i < len(raw) else 0 for i in range(at, at + byte_cnn.WIDTH)]
+                v = np.concatenate([net.embed[b] for b in part])
+                best = np.maximum(best, v @ net.filters)
+            tops.append(np.maximum(best + net.shift, 0))
+        assert s == pytest.approx(1 / (1 + np.exp(-(np.mean(tops, axis=0) @ net.out + net.bias[0]))), rel=1e-5)

@@ -87,6 +87,21 @@ def test_whole_table(spark, sf_dir):
     assert result(queries.QUERIES["op9_trie_join"](spark, sf_dir)) == brute(docs)
 
 
+def test_words_that_meet_modulo_a_power_of_two(spark):
+    a, b = ("".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(1024)) for swap in (0, 1))
+    rows = [(1, f"one two {a} four five"), (2, f"one two {b} four five"), (3, f"one two {a.upper()}\tfour five")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(trie_join.near_duplicates(docs)) == [(1, 1, 1), (2, 1, 2), (3, 1, 1)]
+
+
+def test_keep_one_of_equal_rows(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (1, text), (1, text + " more"), (2, text), (1, "other words that link with none of these"), (None, ""), (None, ""), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text[:5]) for r in trie_join.keep_one(docs).collect()), key=str)
+    assert got == [(1, "other"), (1, "w0 w1"), (4, ""), (None, "")]
+
+
 def test_no_rows(spark):
     assert trie_join.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

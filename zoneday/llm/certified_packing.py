@@ -37,6 +37,7 @@ from zoneday.session import materialize
 
 SEQUENCE = 2048
 PER_GROUP = 2048  # pieces packed at once
+LONG_RUN = 50_000
 OPEN_SHARE = 16  # a gap of one sequence gives back this many sequences
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, deal bigint"
 
@@ -51,16 +52,38 @@ def encoding(ranks_path: str, pattern: str, end: str):
     return tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={end: len(ranks)})
 
 
-def cut(docs: DataFrame, ranks_path: str, pattern: str, end: str = "<|endoftext|>", end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
-    """The pieces of each document: doc_id, piece, start, length, ids_crc32, and a hash that deals them out."""
+@cache
+def library(path: str):
+    """The vocabulary as the tokenizers library reads it, without truncation and padding."""
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(path)
+    lib.no_truncation()
+    lib.no_padding()
+    return lib
+
+
+def cut(
+    docs: DataFrame, ranks_path: str, pattern: str, whole_path: str, end: str = "<|endoftext|>", end_id: int = 0, size: int = SEQUENCE
+) -> DataFrame:
+    """The pieces of each document: doc_id, piece, start, length, ids_crc32, and a hash that deals them out.
+
+    ``whole_path`` is the tokenizers library's file of the same vocabulary.
+    Texts with a run of LONG_RUN white-space characters are encoded by that
+    library, as the faster encoder's search gives up in long runs.
+    """
 
     def run(batches):
-        enc = encoding(ranks_path, pattern, end)
+        import re
+
+        enc, long_run = encoding(ranks_path, pattern, end), re.compile(rf"\s{{{LONG_RUN}}}")
         for batch, texts, _ in flat.text_rows(batches, "text"):
             ids = batch.column(0).to_pylist()
             rows = []
             for doc, text in zip(ids, texts, strict=True):
-                tokens = np.append(np.asarray(enc.encode(text, allowed_special="all"), dtype="<u4"), np.uint32(end_id))
+                slow = len(text) >= LONG_RUN and long_run.search(text)
+                found = library(whole_path).encode(text, add_special_tokens=False).ids if slow else enc.encode(text, allowed_special="all")
+                tokens = np.append(np.asarray(found, dtype="<u4"), np.uint32(end_id))
                 n = len(tokens)
                 first = n if n <= size else n % size or size
                 bounds = [0, *range(first, n + 1, size)]
@@ -199,6 +222,6 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, per_group: int = PER_GROUP) ->
     return reduce(DataFrame.unionByName, [d.select(columns) for d in done])
 
 
-def best_fit_sequences(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def best_fit_sequences(docs: DataFrame, ranks_path: str, pattern: str, whole_path: str) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(cut(docs, ranks_path, pattern)).drop("deal")
+    return pack(cut(docs, ranks_path, pattern, whole_path)).drop("deal")

@@ -14,7 +14,7 @@ one key are never taken for equal.
 
 Null text counts as empty.  Of equal texts the row with the largest doc_id
 stays; a null doc_id is smaller than any other, and rows that share the
-largest doc_id stay together.  Column names of the input do not matter, as
+largest doc_id are all marked as kept (``drop_duplicates`` keeps one of them).  Column names of the input do not matter, as
 rows travel in one struct.  An empty table gives an empty result.
 """
 
@@ -109,6 +109,14 @@ def exact_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with their own columns."""
+    """The documents that stay, with their own columns: one row of each text, rows that share its largest id included."""
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    return mark_duplicates(docs, F.col("text"), F.col("doc_id"), carry=whole).filter("kept").select("carry.*")
+    kept = mark_duplicates(docs, F.col("text"), F.col("doc_id"), carry=whole).filter("kept")
+    # texts are equal within a bucket where key and digest are; the rank is cut in the reading tasks already
+    return first_rows(kept.select("carry", F.struct("bucket", "sha").alias("same"))).select("carry.*")
+
+
+def first_rows(rows: DataFrame) -> DataFrame:
+    """One row for each ``same``, whichever comes first."""
+    order = Window.partitionBy("same").orderBy(F.lit(1))
+    return rows.withColumn("_turn", F.row_number().over(order)).filter("_turn = 1").drop("_turn")

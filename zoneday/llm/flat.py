@@ -89,7 +89,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every span of a flat array; equal spans have equal hashes wherever they lie."""
+    """A 64-bit hash of every span of a flat array; equal spans have equal hashes wherever they lie.
+
+    For features and for finding what may be equal: texts can be written whose
+    hashes meet, so where equality decides, letters are compared as well.
+    """
     n = len(values)
     v = mix(values.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n)
     sums = np.zeros(n + 1, dtype=np.uint64)
@@ -98,6 +102,18 @@ def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
+def equal_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each span of a flat array equals span number ``other`` of it, value by value."""
+    sizes = ends - starts
+    same = sizes == sizes[other]
+    a, b, n = starts[same], starts[other][same], sizes[same]
+    before = np.cumsum(n) - n
+    at = np.arange(int(n.sum())) + np.repeat(a - before, n)
+    differ = values[at] != values[at + np.repeat(b - a, n)]
+    bad = np.bincount(np.repeat(np.flatnonzero(same), n)[differ], minlength=len(starts)) > 0
+    return same & ~bad
+
+
 def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of true cells that do not cross a bound: starts and ends."""
     n = len(inside)
@@ -134,22 +150,57 @@ def byte_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", limit:
                 a = b
 
 
+PRIME = (1 << 31) - 1
+_POINTS = (0x4F1BBCDD, 0x2C9277B5)  # where the two polynomials are taken
+
+
+def _mod(x: np.ndarray) -> np.ndarray:
+    """Modulo PRIME, by folding; below 2**62."""
+    p, shift = np.uint64(PRIME), np.uint64(31)
+    x = (x & p) + (x >> shift)
+    x = (x & p) + (x >> shift)
+    return np.where(x >= p, x - p, x)
+
+
+_field: dict[int, np.ndarray] = {}
+
+
+def field_powers(base: int, n: int) -> np.ndarray:
+    """base**i modulo PRIME for i < n."""
+    if base not in _field or len(_field[base]) < n:
+        p = np.ones(1, dtype=np.uint64)
+        while len(p) < max(n, CHUNK_CHARS + 1):
+            p = np.concatenate([p, _mod(p * np.uint64(pow(base, len(p), PRIME)))])
+        _field[base] = p
+    return _field[base][:n]
+
+
 class SpanHashes:
-    """64-bit hashes of any spans of one array of bytes."""
+    """62-bit hashes of any spans of one array of bytes: two polynomials over the field of PRIME elements.
+
+    Unlike sums modulo a power of two, they have no words that meet for every base.
+    """
 
-    _table = mix(np.arange(1, 257, dtype=np.uint64))
+    _table = mix(np.arange(1, 257, dtype=np.uint64)) % np.uint64(PRIME)
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
-        self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self._table[data] * powers(_BASE, n), out=self.sums[1:])
-        self.back = powers(pow(_BASE, -1, 1 << 64), n + 1)
+        n = self.n = len(data)
+        self.sums, self.back = [], []
+        values = self._table[data]
+        for point in _POINTS:
+            sums = np.zeros(n + 1, dtype=np.uint64)
+            np.cumsum(_mod(values * field_powers(point, n)), out=sums[1:])
+            self.sums.append(sums)
+            self.back.append(field_powers(pow(point, -1, PRIME), n + 1))
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
+        one, two = (_mod(_mod(s[ends] - s[starts]) * b[starts]) for s, b in zip(self.sums, self.back, strict=True))
+        return mix((one << np.uint64(31) | two) + mix((ends - starts).astype(np.uint64)))
 
     def windows(self, size: int) -> np.ndarray:
         """Of every window of ``size`` bytes."""
-        if len(self.sums) <= size:
+        n = self.n - size + 1
+        if n <= 0:
             return np.zeros(0, dtype=np.uint64)
-        return mix((self.sums[size:] - self.sums[:-size]) * self.back[: len(self.sums) - size])
+        one, two = (_mod(_mod(s[size:] - s[:-size]) * b[:n]) for s, b in zip(self.sums, self.back, strict=True))
+        return mix((one << np.uint64(31) | two) + mix(np.uint64(size)))

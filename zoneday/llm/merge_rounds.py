@@ -4,7 +4,7 @@ The different words of many texts lie side by side in one flat array of
 symbols.  A round finds the rank of each adjacent pair by binary search over
 the sorted pair keys, takes the lowest rank of each word and merges it there;
 words without a pair that can merge leave the array.  Rounds go on until the
-array is empty.
+array is empty.  Which words are equal is decided by their letters.
 
 Null text counts as empty; an empty text has no ids and decodes to nothing.
 Repeated rows give repeated results, other columns are not read.  A text of
@@ -68,7 +68,7 @@ class WordBpe:
         np.minimum.at(lowest, right, np.arange(len(left)))
         self.alone = lowest[made] < np.arange(len(made))
         self.splitter = re.compile("|".join(f"({re.escape(s)})" for s in self.special)) if self.special else None
-        self.cache: dict[int, int] = {}
+        self.cache: dict[bytes, int] = {}
         self._forget()
 
     def _forget(self) -> None:
@@ -187,8 +187,8 @@ class WordBpe:
         points, bounds = flat.code_points(plain)
         if len(points):
             starts, ends = self.words(points, bounds)
-            keys, first, inverse = np.unique(flat.spans_hash(points, starts, ends), return_index=True, return_inverse=True)
-            where = self._known(keys.tolist(), points, starts[first], ends[first])
+            first, inverse = self._different(points, starts, ends)
+            where = self._known(points, starts[first], ends[first])
             counts = np.array([self.counts[i] for i in where], dtype=np.int64)
             ids = np.array([self.ids[i] for i in where], dtype=object)
             tokens = np.array([self.tokens[i] for i in where], dtype=object)
@@ -207,15 +207,25 @@ class WordBpe:
                     token_parts.extend(tokens[at].tolist())
             yield n, " ".join(id_parts), " ".join(token_parts)
 
-    def _known(self, keys: list[int], points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[int]:
+    def _different(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first of each kind of word, and the kind of each; words that meet by hash are compared letter by letter."""
+        _, first, inverse = np.unique(flat.spans_hash(points, starts, ends), return_index=True, return_inverse=True)
+        if not flat.equal_spans(points, starts, ends, first[inverse]).all():
+            kinds: dict[bytes, int] = {}
+            inverse = np.array([kinds.setdefault(points[a:b].tobytes(), len(kinds)) for a, b in zip(starts, ends, strict=True)])
+            first = np.unique(inverse, return_index=True)[1]
+        return first, inverse
+
+    def _known(self, points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[int]:
         if len(self.cache) > CACHED_WORDS:
             self._forget()
-        new = [i for i, k in enumerate(keys) if k not in self.cache]
+        whole = points.tobytes()
+        keys = [whole[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        new = [k for k in keys if k not in self.cache]
         if new:
-            whole = points.tobytes()
-            words = [whole[4 * starts[i] : 4 * ends[i]].decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass") for i in new]
-            for i, got in zip(new, self.merge(words), strict=True):
-                self.cache[keys[i]] = len(self.counts)
+            words = [k.decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass") for k in new]
+            for k, got in zip(new, self.merge(words), strict=True):
+                self.cache[k] = len(self.counts)
                 self.counts.append(len(got))
                 self.ids.append(" ".join(map(str, got.tolist())))
                 self.tokens.append(" ".join(self.names[got].tolist()))

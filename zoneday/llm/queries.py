@@ -96,7 +96,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_certified_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return certified_packing.best_fit_sequences(
-        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("byte_bpe_50k.json")
     )
 
 

@@ -48,7 +48,7 @@ STRETCH = 4 << 20
 
 def choose_anchors(hashes: flat.SpanHashes, bounds: np.ndarray, least: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Contexts of the texts between ``bounds``: text, first window, last window, and anchor position."""
-    n = len(hashes.sums) - 1
+    n = hashes.n
     none = np.zeros(0, np.int64)
     if n < least:
         return none, none, none, none

@@ -15,7 +15,9 @@ def labelled_sample(docs: DataFrame, labelled: DataFrame, rows: int) -> DataFram
     """Texts and labels of at most ``rows`` labelled documents, chosen by a hash of their ids.
 
     ``labelled`` has (doc_id, label) without null labels.  The choice reads no
-    texts; its at most ``rows`` rows are small enough to broadcast.
+    texts; its at most ``rows`` rows are small enough to broadcast.  Of rows
+    that share an id the one with the smallest hash of its text is taken, and
+    of labels the smallest, so repeated ids don't exceed the bound either.
     """
     chosen = (
         labelled.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
@@ -25,4 +27,6 @@ def labelled_sample(docs: DataFrame, labelled: DataFrame, rows: int) -> DataFram
         .limit(rows)
     )
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    met = texts.join(F.broadcast(chosen), "doc_id")
+    one = met.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "label", "text")).alias("r"))
+    return one.select("doc_id", "r.label", "r.text")

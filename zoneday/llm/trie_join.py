@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneday.llm import flat
+from zoneday.llm.extendible_index import first_rows
 from zoneday.llm.graph import components
 from zoneday.llm.joins import split_join
 from zoneday.llm.run_index import keyed
@@ -364,6 +365,8 @@ def _join_task(names: list[str], sets: list[np.ndarray], side: np.ndarray, count
     rank[np.lexsort((whole, counts[_cell(whole, len(counts))]))] = np.arange(len(whole))
     rows = [np.sort(rank[np.searchsorted(whole, s)]) for s in sets]
     stored = np.flatnonzero(side == 0)
+    if not len(stored):  # a block's hash range may hold no node
+        return []
     asked = np.flatnonzero(side == 1) if (side == 1).any() else stored
     trie = Trie([rows[i] for i in stored])
     parent = list(range(len(sets)))
@@ -478,17 +481,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, **options) -> DataFrame:
     """The documents without those that link to one with a smaller id, with their own columns.
 
-    Rows that share the smallest id of their component stay together.
+    Of rows that share the smallest id of their component one stays; documents
+    without words link with nothing, so they stay unless id and text are equal.
     """
-    kept = _labelled(docs, words, percent, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "k1", "k2").distinct()
+    labelled = _labelled(docs, words, percent, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = labelled.select("doc_id", "k1", "k2", "component").distinct()
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     rows = keyed(docs.select(whole.alias("row"), F.col("doc_id").cast("bigint").alias("of"), F.col("text")), F.col("text"))
     same = (rows["k1"] == kept["k1"]) & (rows["k2"] == kept["k2"]) & rows["of"].eqNullSafe(kept["doc_id"])
-    return rows.join(kept, same, "left_semi").select("row.*")
+    alone = F.when(F.col("component").isNull(), F.struct(rows["k1"], rows["k2"], "of"))
+    met = rows.join(kept, same).select("row", F.struct("component", alone.alias("alone")).alias("same"))
+    return first_rows(met).select("row.*")
 
 
 def _labelled(docs: DataFrame, words: int, percent: int, block: int = BLOCK, few: int = FEW) -> DataFrame:
-    """Per document: doc_id, the two keys of its text, n_shingles, component_id."""
+    """Per document: doc_id, the two keys of its text, n_shingles, component_id, and the component's node (null without words)."""
     flat.few_rows_per_batch(docs.sparkSession)
     rows = keyed(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")), F.col("text"))
     found = nodes(rows, words, percent).withColumn("node", F.when(F.col("n") > 0, F.concat_ws("/", F.hex("s1"), F.hex("s2"), "n")))
@@ -501,8 +508,8 @@ def _labelled(docs: DataFrame, words: int, percent: int, block: int = BLOCK, few
     named = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = materialize(named, "near-classes")
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_node = split_join(named, lowest, "component").select("node", "component_id")
+    by_node = split_join(named, lowest, "component").select("node", "component", "component_id")
     # a set that a single document has needs no join, and a hot one is split by adaptive execution
     return found.join(by_node, "node", "left").select(
-        "doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "k1", "k2", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "component"
     )
