@@ -4,6 +4,12 @@ Each stage takes (spark, docs, sf_dir) and returns a table; it is written to
 shared storage and read again as the next stage's documents, so a lost
 executor costs one stage at most.  All but the last keep the columns of
 documents.
+
+Null texts count as empty: they are scored by the bias alone, are equal to each
+other, link with nothing, hold no secret and pack as one end id.  Null ids are
+the smallest for exact copies and name no group of near ones.  Of rows that
+are repeated, id included, one stays.  Empty tables give empty results, and
+texts of any length are handled whole.
 """
 
 from __future__ import annotations
@@ -37,7 +43,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
-    return certified_packing.best_fit_sequences(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return certified_packing.best_fit_sequences(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("byte_bpe_50k.json")
+    )
 
 
 STAGES = [
