@@ -243,3 +243,43 @@ def test_weights_are_the_broadcast_side(spark, edges):
     plan = raster.zonal_mean(lines, raster.coverage_weights(edges, 8, 8))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
+
+def outline(cx, cy, radius, n, seed):
+    """A star-shaped outline of ``n`` vertices."""
+    rng = random.Random(seed)
+    return [(cx + (r := radius * rng.uniform(0.8, 1.0)) * math.cos(t := 2 * math.pi * k / n), cy + r * math.sin(t)) for k in range(n)]
+
+
+def test_points_in_outlines_of_many_vertices(spark):
+    from zoneday.operators import covering
+
+    shapes = {"a": outline(5.0, 5.0, 4.0, 5000, 1), "b": outline(11.0, 6.0, 3.0, 5000, 2), "c": outline(30.0, 30.0, 0.4, 7, 3), "box": [(0.0, 0.0), (16.0, 0.0), (16.0, 2.0), (0.0, 2.0)]}
+    e = geometry.ring_edges(spark.createDataFrame([ring_rows(z, 0, 0, p) for z, p in shapes.items()], SCHEMA))
+    rng = random.Random(8)
+    pts = [(i, rng.uniform(-1, 16), rng.uniform(-1, 12)) for i in range(1500)] + [(2000 + i, rng.uniform(29.5, 30.5), rng.uniform(29.5, 30.5)) for i in range(50)]
+    # points beside vertices and on the grid lines of the cells
+    pts += [(3000 + k, x + rng.choice([-1, 1]) * 1e-3, y) for k, (x, y) in enumerate(shapes["a"][::25])] + [(5000 + k, float(k % 16), float(k // 16)) for k in range(160)]
+    want = {(i, z) for i, x, y in pts for z, p in shapes.items() if inside(x, y, p) and z != "box"} | {(i, "box") for i, x, y in pts if 0 <= x < 16 and 0 <= y < 2}
+    df = spark.createDataFrame(pts, "point_id int, x double, y double")
+    got = {(r.point_id, r.zone_id) for r in geometry.points_in_polygons(df, e, 4.0).collect()}
+    onto_box = {i for i, x, y in pts if (x in (0.0, 16.0) and 0 <= y <= 2) or (y in (0.0, 2.0) and 0 <= x <= 16)}  # either answer is right on the border
+    drop = lambda pairs: {(i, z) for i, z in pairs if not (z == "box" and i in onto_box)}
+    assert drop(got) == drop(want)
+    leaves, levels = covering.cover(e, 4.0)
+    held = leaves.agg(F.sum(F.size("edges")), F.max(F.size("edges")), F.max("level")).first()
+    assert held[1] <= covering.MOST and held[2] >= 2 and levels == held[2] + 1 and held[0] < 8 * e.count()  # each edge lies in few leaves
+
+
+def test_overlap_of_outlines_of_many_vertices(spark):
+    a, b = outline(5.0, 5.0, 4.0, 3000, 4), outline(8.0, 6.0, 4.0, 3000, 5)
+    edges = lambda z, p: geometry.ring_edges(spark.createDataFrame([ring_rows(z, 0, 0, p)], SCHEMA))
+    got = geometry.overlap_area(edges("a", a), edges("b", b), 4.0).first()
+    # the same area from the coverage of a fine grid
+    cov = {z: raster.coverage_weights(raster.to_grid(edges(z, p), raster.GridSpec(0.0, 12.0, 0.02, 0.02, 600, 650)), 600, 650) for z, p in (("a", a), ("b", b))}
+    met = cov["a"].join(cov["b"].withColumnRenamed("cov", "other"), ["row", "col"]).agg(F.sum(F.col("cov") * F.col("other"))).first()[0]
+    assert got.overlap == pytest.approx(met * 0.02 * 0.02, rel=2e-3)
+    whole = geometry.overlap_area(edges("a", a), edges("p", a), 4.0).first().overlap
+    assert whole == pytest.approx(abs(shoelace(a)), rel=1e-9)
+    bands = geometry._band_directory(edges("b", b), 4.0, 16, 6)
+    width = bands.select((F.col("hi_b") - F.col("lo_b")).alias("w")).agg(F.min("w"), F.max("w")).first()
+    assert width[0] < 0.1 and width[1] <= 4.0

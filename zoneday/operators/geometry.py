@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneday.functions.geodesy import albers_forward, albers_inverse
+from zoneday.operators.covering import cover, points_in_cover
 from zoneday.operators.keys import argmax_row
 from zoneday.session import lookup
 
@@ -172,44 +173,15 @@ def _cell(c: Column, size: float) -> Column:
 def points_in_polygons(
     points: DataFrame, edges: DataFrame, size: float, point: str = "point_id", zone: str = "zone_id"
 ) -> DataFrame:
-    """Pairs (point, zone) with the point inside, by counting edge crossings.
+    """Pairs (point, zone) with the point inside.
 
-    ``size`` is the bucket width, best near a typical polygon's width.  An edge
-    is listed in the buckets a ray from inside its polygon could start in, so
-    the join is an equality join on the bucket; the edge side is broadcast
-    while within the checked bound, and the points never move for the match.
+    ``size`` is the width of a covering's first cells, best near a typical
+    polygon's width.  Cells wholly inside decide by their number alone, and the
+    others hold few edges each, so the work grows with edges and points, not
+    with their product.
     """
-    boxes = bounding_boxes(edges, zone).select(zone, "xmin")
-    listed = (
-        lookup(edges.filter("y1 <> y2"), boxes, zone, "inner")
-        .withColumn(
-            "cy",
-            F.explode(F.sequence(_cell(F.least("y1", "y2"), size), _cell(F.greatest("y1", "y2"), size))),
-        )
-        .withColumn(
-            "cx", F.explode(F.sequence(_cell(F.col("xmin"), size), _cell(F.greatest("x1", "x2"), size)))
-        )
-        .drop("xmin")
-    )
-    placed = points.select(
-        point,
-        F.col("x").alias("_px"),
-        F.col("y").alias("_py"),
-        _cell(F.col("x"), size).alias("cx"),
-        _cell(F.col("y"), size).alias("cy"),
-    )
-    crosses = ((F.col("y1") > F.col("_py")) != (F.col("y2") > F.col("_py"))) & (
-        F.col("_px")
-        < (F.col("x2") - F.col("x1")) * (F.col("_py") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
-    )
-    return (
-        lookup(placed, listed, ["cx", "cy"], "inner")
-        .filter(crosses)
-        .groupBy(point, zone)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") % 2 == 1)
-        .select(point, zone)
-    )
+    leaves, levels = cover(edges, size, zone)
+    return points_in_cover(points, leaves, levels, size, point, zone)
 
 
 def candidate_pairs(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
@@ -241,31 +213,57 @@ def candidate_pairs(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
     )
 
 
-def overlap_area(zones: DataFrame, parents: DataFrame, size: float) -> DataFrame:
+def _band_directory(parents: DataFrame, size: float, most: int, depth: int) -> DataFrame:
+    """(parent_id, fine, lo, hi): for each of a parent's finest bands the band that is used there.
+
+    Bands of width ``size`` are halved up to ``depth`` times, until one holds
+    at most ``most`` edges of the parent.
+    """
+    fine = size / (1 << depth)
+    spans = _listed_bands(parents, fine).groupBy(F.col("zone_id").alias("parent_id"), "fine").agg(F.count(F.lit(1)).alias("n"))
+    # the band that a finest one belongs to, at every width
+    levels = spans.withColumn("halved", F.explode(F.sequence(F.lit(0), F.lit(depth))))
+    levels = levels.withColumn("part", F.floor(F.col("fine") / F.pow(F.lit(2.0), depth - F.col("halved"))).cast("bigint"))
+    held = levels.groupBy("parent_id", "halved", "part").agg(F.sum("n").alias("held"), F.max("n").alias("densest"))
+    # halving helps no further where one finest band alone is as full
+    fits = held.filter((F.col("densest") <= most / 2) & (F.col("held") <= most * 2) | (F.col("halved") == depth))
+    used = levels.join(fits, ["parent_id", "halved", "part"]).groupBy("parent_id", "fine").agg(F.min("halved").alias("halved"))
+    width = F.pow(F.lit(2.0), depth - F.col("halved"))
+    first = F.floor(F.col("fine") / width) * width
+    return used.select("parent_id", "fine", (first * fine).alias("lo_b"), ((first + width) * fine).alias("hi_b"))
+
+
+def _listed_bands(df: DataFrame, fine: float) -> DataFrame:
+    lo, hi = F.least("x1", "x2"), F.greatest("x1", "x2")
+    return df.filter("x1 <> x2").withColumn("fine", F.explode(F.sequence(_cell(lo, fine), _cell(hi, fine))))
+
+
+def overlap_area(zones: DataFrame, parents: DataFrame, size: float, most: int = 16, depth: int = 6) -> DataFrame:
     """Exact area shared by each zone and parent, for polygons in one plane.
 
     A polygon is the signed sum of the strips between its edges and a base
     line, so the shared area is the signed sum over edge pairs of the area
     below both edges.  Only pairs of edges in one x-band of one candidate pair
-    meet; the work is spread by (parent, band).
+    meet.  Bands narrow where a parent's outline is detailed, so that an edge
+    meets few others however many vertices the outlines have; the work is
+    spread by (parent, band).
     """
+    fine = size / (1 << depth)
     pairs = candidate_pairs(zones, parents, size)
+    bands = _band_directory(parents, size, most, depth)
 
     def banded(df: DataFrame) -> DataFrame:
-        lo, hi = F.least("x1", "x2"), F.greatest("x1", "x2")
-        return df.filter("x1 <> x2").withColumn(
-            "band", F.explode(F.sequence(_cell(lo, size), _cell(hi, size)))
-        )
+        return lookup(_listed_bands(df, fine), bands, ["parent_id", "fine"], "inner").drop("fine").distinct()
 
     left = banded(lookup(zones, pairs, "zone_id", "inner").filter(
         (F.least("x1", "x2") < F.col("hi")) & (F.greatest("x1", "x2") > F.col("lo"))
-    ))
-    right = banded(parents).select(
-        F.col("zone_id").alias("parent_id"), "band", *[F.col(c).alias(f"p_{c}") for c in ("x1", "y1", "x2", "y2")]
+    ).withColumn("_e", F.monotonically_increasing_id()))
+    right = banded(parents.withColumn("parent_id", F.col("zone_id")).withColumn("_p", F.monotonically_increasing_id())).select(
+        "parent_id", "_p", "lo_b", "hi_b", *[F.col(c).alias(f"p_{c}") for c in ("x1", "y1", "x2", "y2")]
     )
-    both = lookup(left, right, ["parent_id", "band"], "inner")
-    l = F.greatest(F.least("x1", "x2"), F.least("p_x1", "p_x2"), F.col("band") * size)
-    r = F.least(F.greatest("x1", "x2"), F.greatest("p_x1", "p_x2"), (F.col("band") + 1) * size)
+    both = lookup(left, right, ["parent_id", "lo_b", "hi_b"], "inner")
+    l = F.greatest(F.least("x1", "x2"), F.least("p_x1", "p_x2"), "lo_b")
+    r = F.least(F.greatest("x1", "x2"), F.greatest("p_x1", "p_x2"), "hi_b")
     met = both.withColumns({"_l": l.cast("double"), "_r": r.cast("double")}).filter("_r > _l")
 
     def height(prefix: str, at: str) -> Column:
