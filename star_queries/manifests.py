@@ -212,6 +212,37 @@ def resume_extracts(spark, sf):
     return spark.read.schema(schema).parquet(path).withColumn("value", F.round("value", 6))
 
 
+@register(
+    "revised_days",
+    """select l_returnflag as var, strftime(l_shipdate, '%Y') as period, cast(l_shipdate as date) as date, l_suppkey as zone_id,
+         round(sum(l_quantity) * case when day(l_shipdate) <= 2 then 10 else 1 end, 6) as value
+       from lineitem group by 1,2,3,4,l_shipdate""",
+)
+def revised_days(spark, sf):
+    """All days are extracted; then those of the first two of each month are issued again with ten times the values.
+
+    The second run finds these days by their grids' size and time and replaces
+    them within their periods; a third finds nothing to do.
+    """
+    line = table(spark, sf, "lineitem")
+    day = F.to_date("l_shipdate")
+    out = line.groupBy(
+        F.col("l_returnflag").alias("var"), F.date_format("l_shipdate", "yyyy").alias("period"), day.alias("date"), F.col("l_suppkey").alias("zone_id")
+    ).agg(F.sum("l_quantity").alias("value"))
+    files = out.groupBy("var", "period", "date").agg(F.count(F.lit(1)).alias("length")).withColumn("modified", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    early = F.dayofmonth("date") <= 2
+    again = files.withColumn("modified", F.when(early, F.lit("2024-02-01 00:00:00").cast("timestamp")).otherwise(F.col("modified")))
+    path = scratch_path(spark, "revised")
+    versions = ((files, out), (again, out.withColumn("value", F.col("value") * F.when(early, 10).otherwise(1))), (again, out.withColumn("value", F.lit(-1.0))))
+    for grids, values in versions:
+        todo = materialize(sinks.pending_extracts(grids, path), "due")
+        if not todo.isEmpty():
+            due = values.join(todo.select("var", "date"), ["var", "date"], "left_semi")
+            sinks.write_extracts(due.select("zone_id", "date", "value", "var", "period"), path, ["zone_id", "date"], todo)
+    schema = "date date, zone_id bigint, value double, var string, period string"
+    return spark.read.schema(schema).parquet(path).withColumn("value", F.round("value", 6))
+
+
 @register("unmatched_keys", "select c_custkey, c_name from customer where c_custkey not in (select user_id from events)")
 def unmatched_keys(spark, sf):
     users = table(spark, sf, "events").select(F.col("user_id").alias("c_custkey"))

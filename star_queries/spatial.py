@@ -273,6 +273,45 @@ def dissolve(spark, sf):
     return metrics.select("cz_id", r("area"), r("cx"), r("cy")).join(edges, "cz_id")
 
 
+_HALVES = """select s_nationkey as cz_id, s_suppkey % 10 as x, s_suppkey // 10 as y from supplier"""
+# the sides of tiles in half units, left and right ones twice as many as upper and lower ones
+_HALF_EDGES = f"""select cz_id, 2*(x+dx) as x, 2*y+dy as y, 'v' as d, 0.5 as len from ({_HALVES}), (select unnest([0,1]) as dx), (select unnest([0,1]) as dy)
+    union all select cz_id, 2*x, 2*(y+dy), 'h', 1.0 from ({_HALVES}), (select unnest([0,1]) as dy)"""
+
+
+@register(
+    "dissolve_t_junctions",
+    f"""select cz_id, area, perimeter from (select cz_id, cast(count(*) as double) as area from ({_HALVES}) group by 1)
+        join (select cz_id, round(cast(sum(len) as double), 6) as perimeter from
+          (select cz_id, x, y, d, max(len) as len from ({_HALF_EDGES}) group by 1,2,3,4 having count(*) = 1) group by 1) using (cz_id)""",
+)
+def dissolve_t_junctions(spark, sf):
+    """The tiles of ``dissolve``, of which every second column is cut into halves: their borders meet in T-junctions."""
+    s = table(spark, sf, "supplier")
+    half = F.explode(F.when(F.col("s_suppkey") % 2 == 1, F.array(F.lit(0.0), F.lit(0.5))).otherwise(F.array(F.lit(0.0)))).alias("from")
+    tiles = s.select("s_nationkey", "s_suppkey", half).select(
+        F.concat(F.lit("t"), F.col("s_suppkey").cast("string"), F.when(F.col("from") > 0, "b").otherwise("a")).alias("zone_id"),
+        F.col("s_nationkey").alias("cz_id"),
+        (F.col("s_suppkey") % 10).alias("x0"),
+        (F.col("s_suppkey") % 10 + 1).alias("x1"),
+        (F.floor(F.col("s_suppkey") / 10) + F.col("from")).alias("y0"),
+        (F.floor(F.col("s_suppkey") / 10) + F.col("from") + F.when(F.col("s_suppkey") % 2 == 1, 0.5).otherwise(1.0)).alias("y1"),
+    )
+    outline = geometry.dissolve(geometry.ring_edges(rings(tiles, *BOX)), tiles.select("zone_id", "cz_id"), node_size=1.0)
+    area = geometry.polygon_metrics(outline, "cz_id", projected=True).select("cz_id", r("area"))
+    length = F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))
+    return area.join(outline.groupBy("cz_id").agg(F.round(length, 6).alias("perimeter")), "cz_id")
+
+
+@register("crossing_rings", sql("select zone_id, 0 as i, 2 as j from quads where zone_id like '%3'", "quads"))
+def crossing_rings(spark, sf):
+    """Quadrilaterals of which those ending in 3 have two corners swapped, which makes bow-ties."""
+    q = view(spark, sf, "quads")
+    bow = F.col("zone_id").endswith("3")
+    turned = q.withColumns({to: F.when(bow, F.col(of)).otherwise(F.col(to)) for to, of in (("bx", "cx"), ("by_", "cy"), ("cx", "bx"), ("cy", "by_"))})
+    return geometry.crossing_edges(rings(turned, *QUAD)).select("zone_id", "i", "j")
+
+
 # crossings of the mid-height line by the two long sides of each supplier quadrilateral
 _MID = """select zone_id, round((l + rr)/2, 6) as x, round(m, 6) as y from (
     select *, case when m < dy then ax + (dx-ax)*(m-ay)/(dy-ay) else dx + (cx-dx)*(m-dy)/(cy-dy) end as l,

@@ -248,6 +248,20 @@ def test_extraction_from_files_to_periods(spark, tmp_path, rows):
     assert run(date(2020, 12, 31)).isEmpty()
     back = spark.read.parquet(out).select("zone_id", "date", "value")
     assert rows(back, "date") == [*want, ("z", date(2020, 1, 3), 205.0)]
+    # a provisional day is issued again: its value changes once, and its period alone is written
+    import os
+
+    old = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*2019*/*.parquet")}
+    revised = next(src.rglob("grid_tmax_us_25m_20200102.bil"))
+    grid_file(src, "grid_tmax_us_25m_20200102.bil", base + 300 * (base != -9999))
+    os.utime(revised, (2_000_000_000, 2_000_000_000))
+    spark.catalog.refreshByPath(str(src))
+    assert rows(run(date(2020, 12, 31)).select("date", "status")) == [(date(2020, 1, 2), "read")]
+    assert run(date(2020, 12, 31)).isEmpty()
+    spark.catalog.refreshByPath(out)
+    back = spark.read.parquet(out).select("zone_id", "date", "value")
+    assert rows(back, "date") == [*want[:2], ("z", date(2020, 1, 2), 305.0), ("z", date(2020, 1, 3), 205.0)]
+    assert old and old == {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("*2019*/*.parquet")}
 
 
 def test_quoted_text_and_extract_report(spark, tmp_path, rows):

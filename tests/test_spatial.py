@@ -283,3 +283,43 @@ def test_overlap_of_outlines_of_many_vertices(spark):
     bands = geometry._band_directory(edges("b", b), 4.0, 16, 6)
     width = bands.select((F.col("hi_b") - F.col("lo_b")).alias("w")).agg(F.min("w"), F.max("w")).first()
     assert width[0] < 0.1 and width[1] <= 4.0
+
+
+def test_dissolve_cuts_borders_at_t_junctions(spark):
+    square = lambda x0, y0, x1, y1: [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+    shapes = {"l": square(0.0, 0.0, 2.0, 3.0), "r1": square(2.0, 0.0, 3.0, 1.0), "r2": square(2.0, 1.0, 3.0, 3.0), "far": square(9.0, 9.0, 10.0, 10.0),
+              "slant": [(0.0, 3.0), (2.0, 3.0), (1.0, 5.0)], "cut": [(0.5, 4.0), (1.0, 5.0), (0.0, 5.0)]}
+    e = geometry.ring_edges(spark.createDataFrame([ring_rows(z, 0, 0, p) for z, p in shapes.items()], SCHEMA))
+    parents = spark.createDataFrame([(z, "q" if z == "far" else "p") for z in shapes], "zone_id string, cz_id string")
+    out = geometry.dissolve(e, parents, node_size=1.0).cache()
+    length = {r.cz_id: r.s for r in out.groupBy("cz_id").agg(F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).alias("s")).collect()}
+    side = math.hypot(1, 2)
+    # the slant side of one triangle is half covered by the other
+    assert length == pytest.approx({"q": 4.0, "p": 3 + 3 + 3 + 1 + 2 * side + 1 + math.hypot(0.5, 1.0) - math.hypot(0.5, 1.0)})
+    m = {r.cz_id: r.area for r in geometry.polygon_metrics(out, "cz_id", projected=True).collect()}
+    assert m == pytest.approx({"q": 1.0, "p": 9 + 2 + 0.5})
+    # without noding the shared border stays
+    assert geometry.dissolve(e, parents).count() > out.count() - 4
+
+
+def test_crossing_rings_are_found(spark):
+    bow, eight = [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0)], [(0.0, 0.0), (1.0, 1.0), (2.0, 0.0), (2.0, 2.0), (1.0, 1.0), (0.0, 2.0)]
+    good = [*RINGS, ring_rows("star", 0, 0, outline(0.0, 0.0, 3.0, 900, 6)), ring_rows("twice", 0, 0, [*HEXAGON[:2], HEXAGON[1], *HEXAGON[2:]])]
+    loop = outline(0.0, 0.0, 3.0, 900, 7)
+    loop[100], loop[110] = loop[110], loop[100]
+    bad = [ring_rows("bow", 0, 0, bow), ring_rows("eight", 1, 2, eight), ring_rows("loop", 0, 0, loop), ring_rows("spike", 0, 0, [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (2.0, 0.0), (0.0, 4.0)])]
+    df = spark.createDataFrame(good + bad, SCHEMA)
+    found = geometry.crossing_edges(df).collect()
+    assert {(r.zone_id, r.part, r.ring) for r in found} == {("bow", 0, 0), ("eight", 1, 2), ("loop", 0, 0), ("spike", 0, 0)}
+    assert [(r.i, r.j) for r in found if r.zone_id == "bow"] == [(0, 2)]
+    assert geometry.simple_rings(df).count() == len(good)
+    # against all pairs of sides
+    closed = [*loop, loop[0]]
+    turn = lambda p, q, r: (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+    want = set()
+    for i in range(900):
+        for j in range(i + 2, 900 - (i == 0)):
+            a, b, c, d = closed[i], closed[i + 1], closed[j], closed[j + 1]
+            if turn(a, b, c) * turn(a, b, d) < 0 and turn(c, d, a) * turn(c, d, b) < 0:
+                want.add((i, j))
+    assert {(r.i, r.j) for r in found if r.zone_id == "loop"} == want

@@ -50,7 +50,7 @@ def crossings(edges: Column, ax: Column, ay: Column, bx: Column, by: Column) ->
     return F.size(F.filter(edges, crosses))
 
 
-def _touched(edges: DataFrame, size: float, zone: str) -> DataFrame:
+def touched_cells(edges: DataFrame, size: float, zone: str) -> DataFrame:
     """(zone, cx, cy, e): each edge in every cell it touches; a cell too many does no harm."""
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
     rows = edges.withColumn("cy", F.explode(F.sequence(_cell(low, size), _cell(high, size))))
@@ -66,7 +66,7 @@ def _touched(edges: DataFrame, size: float, zone: str) -> DataFrame:
 
 def first_cells(edges: DataFrame, size: float, zone: str = "zone_id") -> DataFrame:
     """(zone, cx, cy, edges, inside): cells with edges, ``inside`` of the reference point, and cells wholly inside."""
-    cells = _touched(edges, size, zone).groupBy(zone, "cx", "cy").agg(F.collect_list("e").alias("edges"))
+    cells = touched_cells(edges, size, zone).groupBy(zone, "cx", "cy").agg(F.collect_list("e").alias("edges"))
     # along the line through a row's reference points: edges that cross it, reference points, and right borders of
     # cells behind which no edge follows at once
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zoneday.functions.geodesy import albers_forward, albers_inverse
-from zoneday.operators.covering import cover, points_in_cover
+from zoneday.operators.covering import cover, points_in_cover, touched_cells
 from zoneday.operators.keys import argmax_row
 from zoneday.session import lookup
 
@@ -48,6 +48,49 @@ def valid_rings(rings: DataFrame) -> DataFrame:
     return rings.filter((F.size(pts) >= 4) & closed).filter(_signed_area(pts) != 0)
 
 
+def crossing_edges(rings: DataFrame) -> DataFrame:
+    """(zone_id, part, ring, i, j): sides of a ring, numbered along it, that meet although they aren't neighbours.
+
+    Sides meet by cells of a grid that fits the ring: its box cut into about
+    as many cells as it has sides.  Touching counts as meeting.  Sides without
+    length are left out first, and numbers skip them.
+    """
+    key = ["zone_id", "part", "ring"]
+    sides = F.filter(_sides(F.col("pts")), lambda s: (s["a"]["x"] != s["b"]["x"]) | (s["a"]["y"] != s["b"]["y"]))
+    listed = rings.filter(F.size("pts") >= 4).select(*key, sides.alias("_s"))
+    top = lambda axis, pick: pick(F.transform("_s", lambda s: s["a"][axis]))
+    box = {f"{axis}0": top(axis, F.array_min) for axis in ("x", "y")} | {f"{axis}9": top(axis, F.array_max) for axis in ("x", "y")}
+    listed = listed.filter(F.size("_s") > 0).withColumns({**box, "_n": F.size("_s")})
+    width = F.greatest(F.col("x9") - F.col("x0"), F.col("y9") - F.col("y0")) / F.ceil(F.sqrt("_n"))
+    e = listed.select(*key, "_n", "x0", "y0", width.alias("_w"), F.posexplode("_s").alias("i", "e"))
+    cells = e
+    for axis in ("x", "y"):
+        ends = [F.floor((F.col(f"e.{end}.{axis}") - F.col(f"{axis}0")) / F.col("_w")).cast("int") for end in ("a", "b")]
+        low, high = F.least(*ends), F.greatest(*ends)
+        cells = cells.withColumn(f"c{axis}", F.explode(F.sequence(low, high)))
+    one = cells.select(*key, "cx", "cy", "_n", "i", "e")
+    other = cells.select(*key, "cx", "cy", F.col("i").alias("j"), F.col("e").alias("f"))
+    met = lookup(one, other, [*key, "cx", "cy"], "inner").filter("i + 1 < j and not (i = 0 and j = _n - 1)")
+    a, b, c, d = F.col("e.a"), F.col("e.b"), F.col("f.a"), F.col("f.b")
+    turn = lambda p, q, r: F.signum((q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"]))
+
+    def within(p: Column, q: Column, r: Column) -> Column:
+        """Whether r, in line with p and q, lies between them."""
+        return (F.least(p["x"], q["x"]) <= r["x"]) & (r["x"] <= F.greatest(p["x"], q["x"])) & (F.least(p["y"], q["y"]) <= r["y"]) & (r["y"] <= F.greatest(p["y"], q["y"]))
+
+    met = met.withColumns({"_1": turn(a, b, c), "_2": turn(a, b, d), "_3": turn(c, d, a), "_4": turn(c, d, b)})
+    across = (F.col("_1") * F.col("_2") < 0) & (F.col("_3") * F.col("_4") < 0)
+    touch = [(F.col(t) == 0) & within(p, q, r) for t, p, q, r in (("_1", a, b, c), ("_2", a, b, d), ("_3", c, d, a), ("_4", c, d, b))]
+    return met.filter(across | touch[0] | touch[1] | touch[2] | touch[3]).select(*key, "i", "j").distinct()
+
+
+def simple_rings(rings: DataFrame) -> DataFrame:
+    """The valid rings whose sides don't cross or touch each other."""
+    good = valid_rings(rings)
+    bad = crossing_edges(good).select("zone_id", "part", "ring").distinct()
+    return lookup(good, bad, ["zone_id", "part", "ring"], "left_anti")
+
+
 def ring_edges(rings: DataFrame) -> DataFrame:
     """Directed edges of ``rings(zone_id, part, ring, pts)``; ring 0 of a part is its outline."""
     measured = rings.select("zone_id", "ring", "pts", _signed_area(F.col("pts")).alias("_area"))
@@ -101,13 +144,50 @@ def polygon_metrics(edges: DataFrame, zone: str = "zone_id", projected: bool = F
     )
 
 
-def dissolve(edges: DataFrame, parents: DataFrame, parent: str = "cz_id", zone: str = "zone_id") -> DataFrame:
-    """Union of zones that share their borders vertex by vertex, as edges of the parent.
+def node_edges(edges: DataFrame, group: str, size: float, eps: float = 1e-9) -> DataFrame:
+    """Edges cut wherever a vertex of their group lies on them.
+
+    Edges and vertices meet by cells of width ``size``, best near a typical
+    edge's length.  A vertex counts as lying on an edge up to ``eps`` of the
+    edge's length; the parts end in the vertex itself, so neighbours' borders
+    become equal vertex by vertex.
+    """
+    ends = ["x1", "y1", "x2", "y2"]
+    lines = edges.select(group, *ends).distinct()
+    points = edges.select(group, F.col("x1").alias("px"), F.col("y1").alias("py")).union(edges.select(group, "x2", "y2")).distinct()
+    placed = points.withColumns({"cx": _cell(F.col("px"), size), "cy": _cell(F.col("py"), size)})
+    met = lookup(touched_cells(lines, size, group).select(group, "cx", "cy", "e.*"), placed, [group, "cx", "cy"], "inner")
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    square = dx * dx + dy * dy
+    along = ((F.col("px") - F.col("x1")) * dx + (F.col("py") - F.col("y1")) * dy) / square
+    off = F.abs(dx * (F.col("py") - F.col("y1")) - dy * (F.col("px") - F.col("x1")))
+    own = ((F.col("px") == F.col("x1")) & (F.col("py") == F.col("y1"))) | ((F.col("px") == F.col("x2")) & (F.col("py") == F.col("y2")))
+    on = met.filter((square > 0) & ~own & (along > 0) & (along < 1) & (off <= eps * square))
+    cuts = on.groupBy(group, *ends).agg(F.array_sort(F.collect_list(F.struct(along.alias("t"), F.col("px").alias("x"), F.col("py").alias("y")))).alias("_cuts"))
+    none = F.array().cast("array<struct<t:double,x:double,y:double>>")
+    stop = lambda t, x, y: F.array(F.struct(F.lit(t).alias("t"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")))
+    met = lookup(edges, cuts, [group, *ends])
+    pts = F.concat(stop(0.0, "x1", "y1"), F.coalesce("_cuts", none), stop(1.0, "x2", "y2"))
+    parts = met.withColumn("_pts", pts).drop("_cuts", *ends).withColumn("_s", F.explode(_sides(F.col("_pts"))))
+    return parts.select(
+        *[c for c in edges.columns if c not in ends], F.col("_s.a.x").alias("x1"), F.col("_s.a.y").alias("y1"), F.col("_s.b.x").alias("x2"), F.col("_s.b.y").alias("y2")
+    )
+
+
+def dissolve(
+    edges: DataFrame, parents: DataFrame, parent: str = "cz_id", zone: str = "zone_id", node_size: float | None = None
+) -> DataFrame:
+    """Union of zones that share their borders, as edges of the parent.
 
     A border between two members occurs once in each direction and cancels, so
-    only the outline remains; no geometry is collected anywhere.
+    only the outline remains; no geometry is collected anywhere.  With
+    ``node_size`` (a typical edge's length) edges are first cut at other
+    members' vertices that lie on them; without it borders must agree vertex
+    by vertex.
     """
     labelled = lookup(edges, parents.select(zone, parent).distinct(), zone, "inner")
+    if node_size is not None:
+        labelled = node_edges(labelled, parent, node_size)
     forward = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") <= F.col("y2")))
     a = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))
     b = F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))

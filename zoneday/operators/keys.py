@@ -103,20 +103,16 @@ def flag_any(
     """Mark rows where any of several code columns holds a code of the set.
 
     Both sides are compared without dots and outer blanks.  The flag is never
-    NULL.  Adaptive execution broadcasts the distinct code set where its
-    measured bytes allow that; otherwise it splits a hot code.
+    NULL.  It depends on the codes alone, so the different sets of codes are
+    taken apart and matched once, and the rows meet the sets that matched in
+    one join; a hot set is split by adaptive execution.
     """
     wanted = codes.select(norm_code("code").alias("_code")).filter("_code <> ''").distinct()
-    hits: list[Column] = []
-    for i, c in enumerate(columns):
-        mark = f"_hit{i}"
-        df = df.join(
-            wanted.select(F.col("_code").alias(f"_code{i}"), F.lit(True).alias(mark)),
-            norm_code(c) == F.col(f"_code{i}"),
-            "left",
-        ).drop(f"_code{i}")
-        hits.append(F.col(mark))
-    return df.withColumn(out, F.coalesce(*hits, F.lit(False))).drop(*[f"_hit{i}" for i in range(len(columns))])
+    held = F.array_sort(F.array_distinct(F.array_compact(F.array(*(norm_code(c) for c in columns)))))
+    keyed = df.withColumn("_codes", F.array_join(held, "\x1f"))
+    each = keyed.select("_codes").distinct().withColumn("_code", F.explode(F.split("_codes", "\x1f")))
+    hits = lookup(each, wanted, "_code", "left_semi").select("_codes").distinct().withColumn("_hit", F.lit(True))
+    return lookup(keyed, hits, "_codes").withColumn(out, F.coalesce("_hit", F.lit(False))).drop("_hit", "_codes")
 
 
 def describe_codes(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zoneday.session import lookup
+
 
 def bands_to_long(df: DataFrame, ids: Sequence[str], prefix: str, value: str = "value") -> DataFrame:
     """One column per day to one row per day, the date taken from the column name."""
@@ -30,7 +32,7 @@ def band_array_to_long(
         F.raise_error(F.lit("array length differs from the number of bands"))
     )
     long = df.select(*ids, F.posexplode(checked).alias("_pos", value)).withColumn("band", F.col("_pos") + 1)
-    return long.join(F.broadcast(bands.select("band", "date")), "band").select(*ids, "date", value)
+    return lookup(long, bands.select("band", "date"), "band", "inner").select(*ids, "date", value)
 
 
 def metrics_to_long(df: DataFrame, ids: Sequence[str], metrics: Sequence[str]) -> DataFrame:

@@ -46,9 +46,10 @@ def extract_zones(
     period: str = "yyyy",
     strict: bool = False,
 ) -> DataFrame:
-    """Zonal means of all pending days, written to ``out``; returns (var, date, path, length, period, status).
+    """Zonal means of all pending days, written to ``out``; returns (var, date, path, length, modified, period, status).
 
-    Days already in ``out`` are left out before any grid is opened.  Pending
+    Days already in ``out`` are left out before any grid is opened, unless
+    their grid has been issued again since: then the day is replaced.  Pending
     files below the size of the grid, or whose header names another shape, are
     not read: they are returned as ``too short`` or ``other shape``, or fail
     the job with ``strict``, and are taken up by a later run once they are
@@ -71,5 +72,5 @@ def extract_zones(
     shape = f"{grid.nrows},{grid.ncols},{grid.nodata}"
     stacks = grids.read_stacks(spark, None, variables, window_of(grid, bbox), files=listed, shape=shape)
     means = zonal_mean_stacked(stacks, layer_tiles(weights)).withColumn("period", F.date_format("date", period))
-    sinks.write_extracts(means, out, ["zone_id", "date"])
+    sinks.write_extracts(means, out, ["zone_id", "date"], todo)
     return pending

@@ -32,12 +32,11 @@ def name_parts(path: Column, variables: Sequence[str], ext: str = "bil|tif") ->
 def raster_catalog(
     spark: SparkSession, directory: str, variables: Sequence[str], start: date, end: date, ext: str = "bil|tif"
 ) -> DataFrame:
-    """(var, date, path, length) of the raster files in range; file contents are not read."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory).select("path", "length")
-    )
+    """(var, date, path, length, modified) of the raster files in range; file contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    files = files.select("path", "length", F.col("modificationTime").alias("modified"))
     var, day = name_parts(F.col("path"), variables, ext)
-    return files.select(var.alias("var"), day.alias("date"), "path", "length").filter(
+    return files.select(var.alias("var"), day.alias("date"), "path", "length", "modified").filter(
         (F.col("var") != "") & F.col("date").between(F.lit(start), F.lit(end))
     )
 

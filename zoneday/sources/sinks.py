@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zoneday.session import lookup
+from zoneday.session import lookup, materialize
 
 
 def sorted_for_write(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,35 +52,85 @@ def _paths(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
-def written_days(spark: SparkSession, path: str) -> DataFrame:
-    """(var, date) that already have rows; two narrow columns are read."""
-    return spark.read.parquet(path).select("var", "date").distinct()
+def _read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def ledger_path(path: str) -> str:
+    """Beside the extracts: one row per written day with the size and time of the grid it came from."""
+    return path.rstrip("/") + "_days"
+
+
+def written_days(spark: SparkSession, path: str) -> DataFrame | None:
+    """(var, date, length, modified) of the days that have been written, none on a first run.
+
+    The ledger is small and says which version of a grid was read.  Extracts
+    without one say which days they hold, of unknown versions.
+    """
+    ledger = _read_if_any(spark, ledger_path(path))
+    if ledger is not None:
+        latest = F.max_by(F.struct("length", "modified"), "written_at").alias("_s")
+        return ledger.groupBy("var", "date").agg(latest).select("var", "date", "_s.length", "_s.modified")
+    done = _read_if_any(spark, path)
+    if done is None:
+        return None
+    unknown = [F.lit(None).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modified")]
+    return done.select("var", "date").distinct().select("var", "date", *unknown)
 
 
 def pending_extracts(df: DataFrame, path: str) -> DataFrame:
-    """Rows whose (var, date) is not written yet; all of them on a first run.
+    """Rows whose (var, date) is not written yet, or was written from another version of its grid.
 
     A period that is still open, or whose damaged grid was repaired, so gets
-    its missing days.  Apply it to the job table before extracting, and read
-    only the missing days' grids.
+    its missing days, and a provisional day that was issued again is due again
+    where ``df`` has the grids' ``length`` and ``modified``.  Apply it to the
+    job table before extracting, and read only these days' grids.
     """
-    try:
-        done = written_days(df.sparkSession, path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    done = written_days(df.sparkSession, path)
+    if done is None:
         return df
-    return lookup(df, done, ["var", "date"], "left_anti")
+    signs = [c for c in ("length", "modified") if c in df.columns]
+    if len(signs) < 2:
+        return lookup(df, done.select("var", "date"), ["var", "date"], "left_anti")
+    known = done.select("var", "date", F.struct("length", "modified").alias("_was"))
+    met = lookup(df, known, ["var", "date"])
+    same = F.col("_was.modified").isNull() | (F.struct("length", "modified") == F.col("_was"))
+    return met.filter(F.col("_was").isNull() | ~same).drop("_was")
 
 
-def write_extracts(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+def write_extracts(df: DataFrame, path: str, keys: Sequence[str], grids: DataFrame | None = None) -> None:
     """Add the pending days below their (var, period); a repeated run changes nothing.
 
-    A write is committed as a whole, so a job that broke off leaves no days
-    behind.  Ranges over period and keys spread one large period over many tasks.
+    Without ``grids`` days that are written stay as they are.  With ``grids``
+    (var, date, length, modified), the files that ``df`` was made from, its
+    days replace those written before: the (var, period) they touch are
+    written anew with their other days, no other period is opened, and the
+    ledger is told last.  A write is committed as a whole, so a job that broke
+    off leaves no days behind and the next run does them again.  Ranges over
+    period and keys spread one large period over many tasks.
     """
-    todo = sorted_for_write(pending_extracts(df, path), ["var", "period", *keys])
-    todo.write.mode("append").partitionBy("var", "period").parquet(path)
+    order = ["var", "period", *keys]
+    if grids is None:
+        sorted_for_write(pending_extracts(df, path), order).write.mode("append").partitionBy("var", "period").parquet(path)
+        return
+    spark = df.sparkSession
+    fresh = materialize(df, "fresh-days")
+    old = _read_if_any(spark, path)
+    if old is not None:
+        touched = materialize(fresh.select("var", "period").distinct(), "touched-periods")
+        # period folders would otherwise be read as numbers
+        old = spark.read.schema(fresh.schema).parquet(path)
+        kept = lookup(lookup(old, touched, ["var", "period"], "left_semi"), grids.select("var", "date").distinct(), ["var", "date"], "left_anti")
+        fresh = materialize(fresh.unionByName(kept.select(fresh.columns)), "revised-periods")
+    writer = sorted_for_write(fresh, order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("var", "period").parquet(path)
+    signed = grids.select("var", "date", F.col("length").cast("bigint").alias("length"), F.col("modified").cast("timestamp").alias("modified"))
+    signed.withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(ledger_path(path))
 
 
 def append_failures(failures: DataFrame, path: str) -> None:
