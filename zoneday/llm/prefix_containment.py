@@ -98,17 +98,16 @@ def window_shingles(windows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 def shingle_places(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
     """(sha, n, at, h): where each different text has one of the ``wanted`` shingles; written."""
-    sizes = sorted(r["size"] for r in wanted.select("size").distinct().collect())  # one to SHINGLE numbers
-    if not sizes:
-        sizes = [SHINGLE]
+    # written: a table that is grouped where it is joined would keep hot shingles in one task
+    hashes = materialize(wanted.select("h", "size").distinct(), "wanted-shingles")
+    sizes = sorted(r["size"] for r in hashes.select("size").distinct().collect()) or [SHINGLE]  # one to SHINGLE numbers
     rows = _once(docs.select(F.col(text).alias("text")), sha=_digest(F.col("text")), words=words_of(F.col("text")))
     rows = rows.select("sha", "words", F.size("words").alias("n"))
     by_size = [F.transform("words", _from_word(size)) for size in sizes]
     spread = rows.select("sha", "n", F.posexplode(F.concat(*by_size)).alias("k", "h"))
-    hashes = wanted.select("h").distinct()
     # a shingle that runs over the end has fewer words and is cut here
     size = F.element_at(F.array(*map(F.lit, sizes)), F.floor(F.col("k") / F.col("n")).cast("int") + 1)
-    place = spread.join(hashes, "h").withColumns({"at": F.col("k") % F.col("n"), "size": size}).filter(F.col("at") + F.col("size") <= F.col("n"))
+    place = spread.join(hashes.select("h"), "h").withColumns({"at": F.col("k") % F.col("n"), "size": size}).filter(F.col("at") + F.col("size") <= F.col("n"))
     return materialize(place.select("sha", "n", "at", "h").distinct(), "shingle-places")
 
 
@@ -118,7 +117,7 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle
     spans = window_shingles(windows, shingle)
     places = shingle_places(docs, spans)
     rarity = places.groupBy("h").agg(F.count("*").alias("held"))
-    ranked = spans.join(rarity, "h", "left").groupBy("win", "len").agg(
+    ranked = spans.join(materialize(rarity, "shingle-rarity"), "h", "left").groupBy("win", "len").agg(
         F.min(F.struct("held", "place", "h")).alias("rarest"), F.count_if(F.col("held").isNull()).alias("absent")
     )
     prefix = materialize(ranked.filter("absent = 0").select("win", "len", "rarest.place", "rarest.h"), "prefix-shingles")
