@@ -175,7 +175,7 @@ def field_powers(base: int, n: int) -> np.ndarray:
     return _field[base][:n]
 
 
-class SpanHashes:
+class FieldHashes:
     """62-bit hashes of any spans of one array of bytes: two polynomials over the field of PRIME elements.
 
     Unlike sums modulo a power of two, they have no words that meet for every base.
@@ -184,7 +184,7 @@ class SpanHashes:
     _table = mix(np.arange(1, 257, dtype=np.uint64)) % np.uint64(PRIME)
 
     def __init__(self, data: np.ndarray):
-        n = self.n = len(data)
+        n = len(data)
         self.sums, self.back = [], []
         values = self._table[data]
         for point in _POINTS:
@@ -197,10 +197,27 @@ class SpanHashes:
         one, two = (_mod(_mod(s[ends] - s[starts]) * b[starts]) for s, b in zip(self.sums, self.back, strict=True))
         return mix((one << np.uint64(31) | two) + mix((ends - starts).astype(np.uint64)))
 
+
+class SpanHashes:
+    """64-bit hashes of any spans of one array of bytes, for spans of a few hundred bytes.
+
+    Sums modulo a power of two have words of a thousand letters that meet for
+    every base: ``FieldHashes`` is for spans of any length.
+    """
+
+    _table = mix(np.arange(1, 257, dtype=np.uint64))
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(self._table[data] * powers(_BASE, n), out=self.sums[1:])
+        self.back = powers(pow(_BASE, -1, 1 << 64), n + 1)
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.back[starts] + (ends - starts).astype(np.uint64))
+
     def windows(self, size: int) -> np.ndarray:
         """Of every window of ``size`` bytes."""
-        n = self.n - size + 1
-        if n <= 0:
+        if len(self.sums) <= size:
             return np.zeros(0, dtype=np.uint64)
-        one, two = (_mod(_mod(s[size:] - s[:-size]) * b[:n]) for s, b in zip(self.sums, self.back, strict=True))
-        return mix((one << np.uint64(31) | two) + mix(np.uint64(size)))
+        return mix((self.sums[size:] - self.sums[:-size]) * self.back[: len(self.sums) - size])

@@ -62,7 +62,7 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, words: int = WORDS) -> tu
     """The distinct shingle hashes of each text, sorted, and the text of each; data are UTF-8 bytes."""
     low = _LOWER[data]
     starts, ends = flat.runs(~_SPACE[low], bounds)
-    word = flat.SpanHashes(low).of(starts, ends)
+    word = flat.FieldHashes(low).of(starts, ends)
     text = flat.owner(starts, bounds)
     count = np.bincount(text, minlength=len(bounds) - 1)
     salt = np.resize(_SALT, words) + np.arange(words, dtype=np.uint64) * np.uint64(2)
