@@ -84,6 +84,14 @@ VIEWS: dict[str, str] = {
           cast(floor((l_suppkey % 100)/10) as int) as row, cast((l_suppkey % 100) % 10 as int) as col,
           avg(l_quantity) as value
         from lineitem group by 1,2,3,4""",
+    # one zone per supplier and one row per day on which it shipped; values are missing where nothing counted
+    "supply_panel": """
+        select concat('s',cast(l_suppkey as string)) as zone_id, cast(l_shipdate as date) as date,
+          cast(year(l_shipdate) as int) as year,
+          avg(case when l_returnflag <> 'R' then cast(l_quantity as double) end) as tmax,
+          avg(case when l_discount > 0.02 then cast(l_quantity as double) / 2 end) as tmin,
+          sum(case when l_linestatus = 'O' then cast(l_tax as double) * 100 end) as ppt
+        from lineitem group by 1,2,3""",
     "rect_polygons": """
         select concat('48',lpad(cast(n_nationkey as string),3,'0')) as zone_id,
           cast(0.13 + (n_nationkey % 5)*1.9 as double) as x0, cast(0.13 + (n_nationkey % 5)*1.9 + 1.9 as double) as x1,

@@ -373,18 +373,23 @@ def panel_report(df: DataFrame, zone: str, variables: Sequence[str], day: str =
     present = [v for v in variables if v in df.columns]
     per_zone = df.groupBy(zone).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.min(day).alias("lo"),
-        F.max(day).alias("hi"),
+        F.min(day).alias("first_day"),
+        F.max(day).alias("last_day"),
         *[F.count(v).alias(f"n_{v}") for v in present],
         *[F.sum(v).alias(f"s_{v}") for v in present],
     )
+    return report_rows(per_zone, present)
+
+
+def report_rows(per_zone: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """The report's rows from one row per zone: rows, first_day, last_day, and n_ and s_ of every variable."""
     total = per_zone.agg(
         F.sum("rows").alias("rows"),
         F.count(F.lit(1)).alias("zones"),
-        F.min("lo").alias("lo"),
-        F.max("hi").alias("hi"),
-        *[F.sum(f"n_{v}").alias(f"n_{v}") for v in present],
-        *[F.sum(f"s_{v}").alias(f"s_{v}") for v in present],
+        F.min("first_day").alias("lo"),
+        F.max("last_day").alias("hi"),
+        *[F.sum(f"n_{v}").alias(f"n_{v}") for v in variables],
+        *[F.sum(f"s_{v}").alias(f"s_{v}") for v in variables],
     )
 
     def row(item: str, detail: Column | str, n: Column, value: Column | None = None) -> Column:
@@ -399,7 +404,7 @@ def panel_report(df: DataFrame, zone: str, variables: Sequence[str], day: str =
         row("last_day", F.col("hi").cast("string"), F.lit(None)),
         row("calendar_days", "", F.datediff("hi", "lo") + 1),
     ]
-    for v in present:
+    for v in variables:
         rows.append(row("pct_valid", v, F.col(f"n_{v}"), F.col(f"n_{v}") / F.col("rows") * 100))
         rows.append(row("mean", v, F.col(f"n_{v}"), F.try_divide(f"s_{v}", f"n_{v}")))
     return total.select(F.inline(F.array(*rows)))

@@ -52,7 +52,7 @@ def _paths(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
-def _read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
@@ -72,11 +72,11 @@ def written_days(spark: SparkSession, path: str) -> DataFrame | None:
     The ledger is small and says which version of a grid was read.  Extracts
     without one say which days they hold, of unknown versions.
     """
-    ledger = _read_if_any(spark, ledger_path(path))
+    ledger = read_if_any(spark, ledger_path(path))
     if ledger is not None:
         latest = F.max_by(F.struct("length", "modified"), "written_at").alias("_s")
         return ledger.groupBy("var", "date").agg(latest).select("var", "date", "_s.length", "_s.modified")
-    done = _read_if_any(spark, path)
+    done = read_if_any(spark, path)
     if done is None:
         return None
     unknown = [F.lit(None).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modified")]
@@ -120,7 +120,7 @@ def write_extracts(df: DataFrame, path: str, keys: Sequence[str], grids: DataFra
         return
     spark = df.sparkSession
     fresh = materialize(df, "fresh-days")
-    old = _read_if_any(spark, path)
+    old = read_if_any(spark, path)
     if old is not None:
         touched = materialize(fresh.select("var", "period").distinct(), "touched-periods")
         # period folders would otherwise be read as numbers
