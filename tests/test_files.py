@@ -58,6 +58,21 @@ def test_employment_sheets(spark, tmp_path, rows):
         tables.read_employment(spark, str(tmp_path), "nothing")
 
 
+def test_sheets_of_many_layouts_in_one_pass(spark, tmp_path, rows):
+    for i in range(12):  # every sheet another order of columns and another column more
+        names = ["a", f"x{i}", "b B"][i % 3 :] + ["a", f"x{i}", "b B"][: i % 3]
+        cell = {"a": f'"{i}, ""q""\nend"', f"x{i}": "", "b B": f" v{i}"}
+        (tmp_path / f"s{i}.csv").write_text("\ufeff" * (i % 2) + ",".join(names) + "\r\n\r\n" + ",".join(cell[n] for n in names) + "\r\n")
+    (tmp_path / "s_head.csv").write_text("a\n")
+    (tmp_path / "s_none.csv").write_text("")
+    (tmp_path / "s_short.csv").write_text(f"b b,a\n{'y' * 200_000}\n")
+    df = tables.read_sheets(spark, str(tmp_path), "s*.csv", ["a", "b_b", "x3", "gone"])
+    want = [(f'{i}, "q"\nend', f" v{i}", None, None) for i in range(12)] + [(None, "y" * 200_000, None, None)]
+    assert sorted(rows(df), key=str) == sorted(want, key=str)
+    with pytest.raises(FileNotFoundError):
+        tables.read_sheets(spark, str(tmp_path / "nowhere"), "s*.csv", ["a"])
+
+
 def test_fixed_width_and_crosswalk(spark, tmp_path, rows):
     (tmp_path / "icd.txt").write_text("A000    Cholera due to Vibrio  \nT670XXA Heatstroke and sunstroke, initial encounter\n")
     assert rows(tables.read_icd10(spark, str(tmp_path / "icd.txt")), "code") == [

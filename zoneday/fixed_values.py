@@ -104,6 +104,7 @@ MONTH_COLUMNS = (
     "november_employment",
     "december_employment",
 )
+EMPLOYMENT_COLUMNS = ("st", "cnty", "year", "qtr", "ownership", "industry", "status_code", *MONTH_COLUMNS)
 MONTH_LABELS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 # Claim columns after name repair, and the short name used here.

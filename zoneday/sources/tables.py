@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,31 +69,57 @@ def read_claims(spark: SparkSession, paths: Sequence[str], na: Sequence[str] = (
     return stack(parts, fill_missing=False)
 
 
-# up to the first line break that is not inside quotes
-_FIRST_LINE = r'^((?:[^"\r\n]|"[^"]*")*)'
+# one CSV record, or one field with the comma before it; quoted text may hold line breaks, commas and doubled quotes
+_RECORD = r'((?:[^"\r\n]++|"(?:[^"]++|"")*+")++)'
+_FIELD = r',("(?:[^"]++|"")*+"|[^,"]*+)'
 
 
-def read_employment(spark: SparkSession, directory: str, prefix: str = "allhlcn") -> DataFrame:
-    """Employment sheets below a folder, all text, columns missing in some files filled with NULL.
+def _fields(record: Column) -> Column:
+    """The texts of a record's fields, without their quotes."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_FIELD), F.lit(1))
+    bare = lambda f: F.replace(F.call_function("substring", f, F.lit(2), F.char_length(f) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(raw, lambda f: F.when(f.startswith('"'), bare(f)).otherwise(f))
 
-    Files are grouped by their header line first, so sheets of one layout are
-    one scan however many there are.  Their headers contain line breaks; a
-    sheet is one small unit, so it need not be split.
+
+def _tidy(name: Column) -> Column:
+    """``clean.tidy_name`` as an expression."""
+    return F.lower(F.regexp_replace(F.regexp_replace(name, "[\r\n ]", "_"), "_+", "_"))
+
+
+def read_sheets(spark: SparkSession, directory: str, glob: str, columns: Sequence[str]) -> DataFrame:
+    """Wanted columns of all CSV sheets below a folder, all text, in one pass, whatever their layouts.
+
+    Every sheet's first record names its fields, so the layout travels with
+    the sheet's rows and the plan is the same for any number of layouts; a
+    column that a sheet lacks is NULL, as is a blank field.  Headers and
+    fields may hold line breaks; a sheet is one small unit and is not split.
+    Blank lines and a byte order mark are no part of it.  A folder without
+    such sheets is an error.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .options(recursiveFileLookup="true", pathGlobFilter=f"{prefix}*.csv")
-        .load(directory)
-        .select("path", F.regexp_extract(F.decode(F.substring("content", 1, 65536), "utf-8"), _FIRST_LINE, 1).alias("header"))
+    files = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter=glob)
+    try:
+        listing = files.load(directory)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no folder {directory}") from e
+    if listing.select("path").isEmpty():  # from the listing, no sheet is opened
+        raise FileNotFoundError(f"no {glob} below {directory}")
+    text = F.regexp_replace(F.decode("content", "utf-8"), "^\ufeff", "")
+    records = listing.select(F.regexp_extract_all(text, F.lit(_RECORD), F.lit(1)).alias("records")).filter(F.size("records") > 0)
+    named = records.select(
+        F.transform(_fields(F.col("records")[0]), _tidy).alias("names"),
+        F.explode(F.slice("records", 2, F.greatest(F.size("records") - 1, F.lit(0)))).alias("record"),
     )
-    # a file list with first lines, read in one pass; the sheets themselves stay distributed
-    by_header: dict[str, list[str]] = {}
-    for row in listing.collect():
-        by_header.setdefault(row.header, []).append(row.path)
-    if not by_header:
-        raise FileNotFoundError(f"no {prefix}*.csv below {directory}")
-    frames = [clean.normalize_columns(_text_csv(spark, files, multiLine="true")) for files in by_header.values()]
-    return stack(frames)
+    split = named.select("names", _fields(F.col("record")).alias("values"))
+    at = lambda c: F.array_position("names", c).cast("int")
+    value = lambda c: F.when(at(c) > 0, F.try_element_at("values", F.nullif(at(c), F.lit(0))))
+    return split.select(*[F.nullif(value(c), F.lit("")).alias(c) for c in columns])
+
+
+def read_employment(spark: SparkSession, directory: str, prefix: str = "allhlcn", columns: Sequence[str] = fv.EMPLOYMENT_COLUMNS) -> DataFrame:
+    """Employment sheets below a folder: the wanted columns as text."""
+    return read_sheets(spark, directory, f"{prefix}*.csv", columns)
 
 
 def clean_employment(raw: DataFrame, prefix: str = fv.STATE_PREFIX) -> DataFrame:
