@@ -71,7 +71,11 @@ def shape_stats(df: DataFrame, zone: str, day: str = "date", group: Sequence[str
 
 
 def check_shape(df: DataFrame, zone: str, n_zones: int, n_days: int, label: str, day: str = "date") -> DataFrame:
-    one = shape_stats(df, zone, day)
+    return shape_results(shape_stats(df, zone, day), n_zones, n_days, label)
+
+
+def shape_results(one: DataFrame, n_zones: int, n_days: int, label: str) -> DataFrame:
+    """The shape gate over one row of counts."""
     return _rows(
         one,
         [
@@ -193,16 +197,21 @@ def range_rules(
 
 def check_rules(df: DataFrame, rules: Mapping[str, Rule], label: str) -> DataFrame:
     """All rules in one pass.  A share of 0 allows no violation, otherwise it is a strict bound."""
-    aggs, results = [], []
-    for i, (name, (bad, share)) in enumerate(rules.items()):
-        aggs += [F.count_if(bad).alias(f"b{i}"), F.count(bad).alias(f"n{i}")]
+    aggs = [a for i, (bad, _) in enumerate(rules.values()) for a in (F.count_if(bad).alias(f"b{i}"), F.count(bad).alias(f"n{i}"))]
+    return rule_results(df.agg(*aggs), rules, label)
+
+
+def rule_results(one: DataFrame, rules: Mapping[str, Rule], label: str) -> DataFrame:
+    """The value rules over one row of violations ``b0`` … and testable rows ``n0`` …"""
+    results = []
+    for i, (name, (_, share)) in enumerate(rules.items()):
         count, n = F.col(f"b{i}"), F.col(f"n{i}")
         if share:
             passed = (n == 0) | (count / F.nullif(n, F.lit(0)) < share)
             results.append(_result(f"{label}: {name}", passed, count, f"share < {share:g}"))
         else:
             results.append(_result(f"{label}: {name}", count == 0, count, "0"))
-    return _rows(df.agg(*aggs), results)
+    return _rows(one, results)
 
 
 def check_rollup(
@@ -306,7 +315,10 @@ def check_cross_panel(
 
 def check_mean_between(df: DataFrame, rows: Column, value: str, lo: float, hi: float, label: str) -> DataFrame:
     """Mean over selected rows inside a band; no such rows means nothing to check."""
-    one = df.filter(rows).agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n"))
+    return mean_results(df.filter(rows).agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n")), lo, hi, label)
+
+
+def mean_results(one: DataFrame, lo: float, hi: float, label: str) -> DataFrame:
     passed = (F.col("n") == 0) | F.col("mean").between(lo, hi)
     return _rows(one, [_result(label, passed, F.col("mean"), f"{lo:g}..{hi:g}")])
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from zoneday import fixed_values as fv
 from zoneday.functions import clean
-from zoneday.operators import checks, dense, geometry, keys, manifest, rollup, summaries
+from zoneday.operators import audit, checks, dense, geometry, keys, manifest, rollup, summaries
 from zoneday.plans import claims as claim_plans
 from zoneday.plans import weather as weather_plans
 from zoneday.session import materialize
@@ -107,6 +107,9 @@ class PanelFiles:
     zone_meta: str
     county_out: str
     zone_out: str
+    # where CSV copies go, if they are wanted
+    county_csv: str | None = None
+    zone_csv: str | None = None
 
 
 def build_county_zone(
@@ -116,29 +119,57 @@ def build_county_zone(
     n_counties: int = fv.N_COUNTIES,
     n_zones: int = fv.N_COMMUTING_ZONES,
 ) -> DataFrame:
-    """Both weather panels from the periodic extracts; stops before writing a misshapen one.
+    """Both weather panels from the periodic extracts; a misshapen one is never published.
 
-    Returns the gate's results over the written panels.
+    Each panel is judged while it is written beside its place, and both take
+    their places by rename once both pass.  Returns the gate's results: those
+    of the write, and the roll-up, which reads the panels when it is asked for.
     """
     meta, zone_meta = tables.read_panel(spark, f.county_meta), tables.read_panel(spark, f.zone_meta)
     checks.enforce(checks.check_meta(meta, "fips", n_counties, ["cz_id"]))
     long = tables.read_extracts(spark, f.extracts, s.variables, "fips")
-    # both panels are made and checked before any written one is replaced
-    county = materialize(weather_plans.zone_panel(long, meta, s), "county-panel")
-    checks.enforce(checks.check_shape(county, "fips", n_counties, s.n_days, "county"))
-    zones = materialize(weather_plans.parent_panel(county, meta, zone_meta, s), "zone-panel")
-    checks.enforce(checks.check_shape(zones, "cz_id", n_zones, s.n_days, "cz"))
-    sinks.write_panel(county, f.county_out, "fips")
-    sinks.write_panel(zones, f.zone_out, "cz_id")
-    county = tables.read_panel(spark, f.county_out)
-    zones = tables.read_panel(spark, f.zone_out)
-    return weather_plans.county_zone_gate(county, zones, meta, s, n_counties, n_zones)
+    county = weather_plans.zone_panel(long, meta, s)
+    _, rules = weather_plans.county_rules(county, s)
+    staged = [audit.stage_panel(county, f.county_out, audit.Audit("county", "fips", n_counties, s.start, s.end, rules=rules))]
+    try:
+        written = tables.read_panel(spark, staged[0].path)
+        zones = weather_plans.parent_panel(written, meta, zone_meta, s)
+        zone, month, lo, hi = fv.CLIMATOLOGY_ZONE
+        usual = audit.Mean(
+            f"climatology: {zone} month {month} tmax", (F.col("cz_id") == zone) & (F.month("date") == month), "tmax", lo, hi
+        )
+        wanted = audit.Audit("zone", "cz_id", n_zones, s.start, s.end, means=[usual], totals=["n_counties"])
+        staged.append(audit.stage_panel(zones, f.zone_out, wanted))
+    except Exception:
+        audit.discard(spark, staged)
+        raise
+    audit.publish(spark, staged)
+    reports = []
+    for panel, copy, key in ((f.county_out, f.county_csv, "fips"), (f.zone_out, f.zone_csv, "cz_id")):
+        if copy:
+            reports.append(sinks.copy_as_csv(spark, panel, copy, [key, "date"]).withColumn("panel", F.lit(panel)))
+    if reports:
+        keys.stack(reports).show(truncate=False)
+    county, zones = tables.read_panel(spark, f.county_out), tables.read_panel(spark, f.zone_out)
+    # the one number that the geography gate needs of the zone panel was added up while it was written
+    members = spark.range(1).select(F.lit(staged[1].totals["n_counties"]).alias("n_counties"))
+    return keys.stack(
+        [
+            *(s.shape for s in staged),
+            *(s.values for s in staged),
+            checks.check_geography(meta, members, n_counties, n_zones, s.n_days),
+            weather_plans.rollup_gate(county, zones, meta, s),
+        ]
+    )
 
 
 def build_postal(
-    spark: SparkSession, extracts: str, meta: DataFrame, eras: DataFrame, s: weather_plans.PanelSettings, out: str
+    spark: SparkSession, extracts: str, meta: DataFrame, eras: DataFrame, s: weather_plans.PanelSettings, out: str, csv: str | None = None
 ) -> DataFrame:
-    """The postal-area panel over all eras from files ``{var}_{era}_{YYYYMM}.csv``; returns the written panel."""
+    """The postal-area panel over all eras from files ``{var}_{era}_{YYYYMM}.csv``; returns the written panel.
+
+    With ``csv`` a CSV copy goes there, and the sizes of both are shown.
+    """
     long = tables.read_extracts(spark, extracts, s.variables, "zcta5", r"[a-z0-9]+_\d{6}", with_period=True)
     long = long.withColumn("era", F.substring_index("period", "_", 1)).withColumnRenamed("zcta5", "zone_id")
     panel = materialize(weather_plans.era_panel(long.drop("period"), meta, eras, s), "postal-panel")
@@ -152,6 +183,8 @@ def build_postal(
         )
     )
     sinks.write_panel(panel, out, "zone_id")
+    if csv:
+        sinks.copy_as_csv(spark, out, csv, ["zone_id", "date"]).show(truncate=False)
     return tables.read_panel(spark, out)
 
 

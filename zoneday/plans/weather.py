@@ -150,6 +150,20 @@ def postal_metadata(
 # ---- gates ---------------------------------------------------------------
 
 
+def county_rules(county: DataFrame, s: PanelSettings) -> tuple[list[str], dict[str, checks.Rule]]:
+    """The panel's value columns and the rules they must keep."""
+    values = [v for v in (*s.variables, *fv.HUMIDITY_VARIABLES) if v in county.columns]
+    ranges = {v: r for v, r in (s.ranges or fv.PLAUSIBLE_RANGES).items() if v in values}
+    return values, {**checks.order_rule(), **checks.physical_rules(county.columns), **checks.range_rules(values, ranges)}
+
+
+def rollup_gate(county: DataFrame, zones: DataFrame, county_meta: DataFrame, s: PanelSettings) -> DataFrame:
+    """The stored zone panel equals the county panel rolled up, by the metadata's zones and areas."""
+    values, _ = county_rules(county, s)
+    keyed = attach(county, county_meta.select("fips", "cz_id", "area_km2"), "fips")
+    return checks.check_rollup(keyed, zones, ["cz_id", "date"], values)
+
+
 def county_zone_gate(
     county: DataFrame,
     zones: DataFrame,
@@ -160,15 +174,12 @@ def county_zone_gate(
     climatology: tuple[str, int, float, float] = fv.CLIMATOLOGY_ZONE,
 ) -> DataFrame:
     """All results for the county and commuting-zone panels."""
-    values = [v for v in (*s.variables, *fv.HUMIDITY_VARIABLES) if v in county.columns]
-    ranges = {v: r for v, r in (s.ranges or fv.PLAUSIBLE_RANGES).items() if v in values}
-    keyed = attach(county, county_meta.select("fips", "cz_id", "area_km2"), "fips")
-    rules = {**checks.order_rule(), **checks.physical_rules(county.columns), **checks.range_rules(values, ranges)}
+    _, rules = county_rules(county, s)
     return stack(
         [
             checks.check_shape(county, "fips", n_counties, s.n_days, "county"),
             checks.check_shape(zones, "cz_id", n_zones, s.n_days, "zone"),
-            checks.check_rollup(keyed, zones, ["cz_id", "date"], values),
+            rollup_gate(county, zones, county_meta, s),
             checks.check_rules(county, rules, "county"),
             checks.check_geography(county_meta, zones, n_counties, n_zones, s.n_days),
             checks.check_climatology(zones, *climatology),

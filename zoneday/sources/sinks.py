@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -29,6 +30,47 @@ def write_panel(df: DataFrame, path: str, zone: str, day: str = "date", mode: st
     writer.option("partitionOverwriteMode", "static").partitionBy("year").parquet(path)
 
 
+def staging_path(path: str) -> str:
+    """A fresh folder beside ``path``, on the same storage."""
+    return f"{path.rstrip('/')}_staged-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, found = _folder(spark, path)
+    fs.delete(found, True)
+
+
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a written folder in the place of another by renames; readers never see half of it.
+
+    The old folder goes aside first and comes back if the new one can't be moved.
+    """
+    fs, fresh = _folder(spark, staged)
+    _, target = _folder(spark, path)
+    _, aside = _folder(spark, f"{staged}-old")
+    held = fs.exists(target)
+    if held and not fs.rename(target, aside):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(fresh, target):
+        if held:
+            fs.rename(aside, target)
+        raise OSError(f"could not move {staged} to {path}")
+    if held:
+        fs.delete(aside, True)
+
+
+def copy_as_csv(spark: SparkSession, parquet_path: str, csv_path: str, keys: Sequence[str]) -> DataFrame:
+    """CSV copy of a written panel in key order; returns the size report of both formats."""
+    panel = spark.read.parquet(parquet_path)
+    write_csv(panel, csv_path, keys)
+    return sink_report(panel, csv_path, parquet_path)
+
+
 def write_csv(df: DataFrame, path: str, keys: Sequence[str] = (), mode: str = "overwrite") -> None:
     """CSV parts with a header; parts follow each other in key order."""
     out = sorted_for_write(df, keys) if keys else df
