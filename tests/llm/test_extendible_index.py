@@ -58,6 +58,21 @@ def test_directory_splits_overfull_buckets(spark):
     assert extendible_index.directory(one, capacity=10, max_depth=4).first().depth == 4  # the rest is one chain
 
 
+def test_chains_are_settled_by_owner_tasks(spark):
+    # all texts on three keys: every key is one chain, its links are the different texts, counted whole
+    rows = [(i, "hot" if i % 3 else f"t{i % 60:03d}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    index = extendible_index.build_index(docs, capacity=4, max_depth=6, key=lambda t: F.pmod(F.length(t), F.lit(3)).cast("bigint"))
+    by = {}
+    for i, t in rows:
+        by.setdefault(t, []).append(i)
+    got = index.collect()
+    assert {r.sha: (r.n, r.keep_id) for r in got} == {hashlib.sha256(t.encode()).hexdigest(): (len(v), max(v)) for t, v in by.items()}
+    for k in {r.key for r in got}:
+        assert sorted(r.link for r in got if r.key == k) == list(range(1, 1 + sum(r.key == k for r in got)))
+    assert len(got) == len(by)
+
+
 def test_query_against_sql(spark, sf_dir):
     name = "op6_extendible_index"
     _, ok, note = compare(spark, duck(sf_dir), name, queries.QUERIES[name], queries.ORACLES[name], sf_dir)

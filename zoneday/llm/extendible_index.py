@@ -6,11 +6,12 @@ with more than ``capacity`` different keys is split by doubling the directory,
 down to ``max_depth`` bits; a bucket that is still overfull keeps its overflow
 in one chain.  The directory has at most 2**max_depth rows.
 
-Equal texts are gathered before they are dealt out, so a text that a third of
-all rows share is one row of each reading task.  Owner tasks then take key
-ranges, chain the different texts of one key, and write the index to the
-session's shared folder.  Texts are grouped by their bytes, so two texts with
-one key are never taken for equal.
+Rows of one text are first gathered into at most ``SHARES`` rows where they
+are read, so a text that a third of all rows share is a few rows of each task.
+Owner tasks then take the key ranges of the buckets: they order the texts of
+one key, chain those that differ byte by byte, and settle there which row of
+a text stays and how many there are.  The chains are the index, written to
+the session's shared folder; two texts with one key are two of its links.
 
 Null text counts as empty.  Of equal texts the row with the largest doc_id
 stays; a null doc_id is smaller than any other, and rows that share the
@@ -29,6 +30,7 @@ from zoneday.session import materialize
 
 CAPACITY = 4096
 MAX_DEPTH = 16
+SHARES = 8
 
 
 def text_key(text: Column) -> Column:
@@ -51,7 +53,8 @@ def directory(keys: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DE
         "part", F.expr(f"shiftrightunsigned(cell, {max_depth} - depth)")
     )
     fits = levels.groupBy("depth", "part").agg(F.sum("n").alias("held")).filter((F.col("held") <= capacity) | (F.col("depth") == max_depth))
-    reached = levels.join(fits, ["depth", "part"]).groupBy("cell").agg(F.min("depth").alias("depth"))
+    # a bucket per depth and prefix: at most 2**(max_depth + 1) rows
+    reached = levels.join(F.broadcast(fits), ["depth", "part"]).groupBy("cell").agg(F.min("depth").alias("depth"))
     return reached.select(
         "cell",
         "depth",
@@ -65,14 +68,17 @@ def build_index(
 ) -> DataFrame:
     """The index over ``rows`` (id, text): bucket, key, link of the chain, sha, n, keep_id; written to shared files."""
     keyed = rows.select("id", "text", key(F.col("text")).alias("key"))
-    # equal texts, compared by their bytes; gathered where they are read
-    texts = keyed.groupBy("key", "text").agg(F.count("*").alias("n"), F.max("id").alias("keep_id"))
-    pages = materialize(texts.select("key", F.sha2("text", 256).alias("sha"), "n", "keep_id"), "index-pages")
-    cells = F.broadcast(directory(pages.select("key").distinct(), capacity, max_depth))  # at most 2**max_depth rows
-    placed = pages.withColumn("cell", prefix(F.col("key"), max_depth)).join(cells, "cell")
-    owned = placed.repartitionByRange("bucket", "key")
-    chain = Window.partitionBy("bucket", "key").orderBy("sha")
-    return materialize(owned.select("bucket", "depth", "key", F.row_number().over(chain).alias("link"), "sha", "n", "keep_id"), "index")
+    cells = F.broadcast(directory(keyed.select("key").distinct(), capacity, max_depth))  # at most 2**max_depth rows
+    share = F.pmod(F.xxhash64("id"), F.lit(SHARES)).alias("share")
+    gathered = keyed.groupBy("key", "text", share).agg(F.count("*").alias("n"), F.max("id").alias("keep_id"))
+    placed = gathered.withColumn("cell", prefix(F.col("key"), max_depth)).join(cells, "cell")
+    owned = placed.select("bucket", "depth", "key", "text", "n", "keep_id").repartitionByRange("bucket", "key")
+    # an owner holds all rows of its keys: the chain grows by a link where a text's bytes differ from those before it
+    chain = Window.partitionBy("bucket", "key").orderBy("text")
+    differs = owned.withColumn("fresh", F.when(F.col("text").eqNullSafe(F.lag("text").over(chain)), 0).otherwise(1))
+    linked = differs.withColumn("link", F.sum("fresh").over(chain))
+    links = linked.groupBy("bucket", "depth", "key", "link", "text").agg(F.sum("n").alias("n"), F.max("keep_id").alias("keep_id"))
+    return materialize(links.select("bucket", "depth", "key", "link", F.sha2("text", 256).alias("sha"), "n", "keep_id"), "index")
 
 
 def mark_duplicates(
