@@ -1,11 +1,12 @@
 """Secret scans with corpus-wide ownership frequency, in DataFrame functions only.
 
-Spans of fixed patterns are found in every text.  Besides these, long tokens
-of letters and digits are candidates: each is hashed, and for each hash the
-distinct owners and repositories that hold it are counted over the whole
-corpus.  A candidate that many owners hold is a widely copied example; one
-that at most ``max_owners`` hold and that looks live is added as an ``owned``
-span.  Counting goes from (hash, owner, repository) over (hash, owner) to
+Spans of fixed patterns are found in every text.  Their values are candidates,
+and so are long tokens of letters and digits that look live: each is hashed,
+and for each hash the distinct owners and repositories that hold it are
+counted over the whole corpus.  A candidate that more than ``max_owners``
+owners or ``max_repositories`` repositories hold is a widely copied example,
+any other is its owners' own.  An own token is added as an ``owned`` span;
+spans of the patterns stay either way, and are told apart by counts.  Counting goes from (hash, owner, repository) over (hash, owner) to
 (hash), each step combined before it is dealt out, so a token that a third
 of all documents share is one row of each task.
 
@@ -33,6 +34,7 @@ ASSIGN_LEAST = 12
 TOKEN = r"[A-Za-z0-9_-]{20,}"
 BLOCK = 256
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 16
 
 
 def _running(x: Column) -> Column:
@@ -93,7 +95,7 @@ def looks_live(token: Column) -> Column:
 
 
 def candidates(docs: DataFrame, doc_id: Column, text: Column, source: Column) -> DataFrame:
-    """Per document: its key, owner and repository, the base spans, and the candidate tokens with their hashes.
+    """Per document: its key, owner and repository, the base spans, and the candidates with the hashes of their values.
 
     A source named ``owner/repository`` belongs to that owner; any other source is its own owner.
     """
@@ -109,6 +111,9 @@ def candidates(docs: DataFrame, doc_id: Column, text: Column, source: Column) ->
     rows = find(rows, "whole", {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "token": TOKEN}).drop("whole")
     value = lambda s: F.regexp_extract(s["hit"], ASSIGN, 2)
     bare = lambda spans: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    candidate = lambda s, v, base: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), F.sha2(v, 256).alias("hash"), F.lit(base).alias("base")
+    )
     return rows.select(
         "id",
         "key",
@@ -117,9 +122,10 @@ def candidates(docs: DataFrame, doc_id: Column, text: Column, source: Column) ->
         bare(F.filter("assign", lambda s: F.char_length(value(s)) >= ASSIGN_LEAST)).alias("assign"),
         bare(F.col("access")).alias("access"),
         bare(F.col("hex")).alias("hex"),
-        F.transform(
-            F.filter("token", lambda s: looks_live(s["hit"])),
-            lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.sha2(s["hit"], 256).alias("hash")),
+        F.concat(
+            F.transform(F.filter("token", lambda s: looks_live(s["hit"])), lambda s: candidate(s, s["hit"], False)),
+            F.transform(F.filter("assign", lambda s: F.char_length(value(s)) >= ASSIGN_LEAST), lambda s: candidate(s, value(s), True)),
+            F.transform(F.concat("access", "hex"), lambda s: candidate(s, s["hit"], True)),
         ).alias("token"),
     )
 
@@ -131,24 +137,31 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
 
-def scan(docs: DataFrame, doc_id: Column, text: Column, source: Column, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Per document: id, key, its base spans by kind, ``owned`` spans and the number of widely copied tokens."""
+def scan(
+    docs: DataFrame, doc_id: Column, text: Column, source: Column, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES
+) -> DataFrame:
+    """Per document: id, key, its base spans by kind, ``owned`` spans, and how many tokens and base values are own or copied."""
     found = materialize(candidates(docs, doc_id, text, source), "secret-candidates")
     counts = ownership(found)
-    tokens = found.filter(F.size("token") > 0).select("id", "key", F.explode("token").alias("t")).select("id", "key", "t.start", "t.end", "t.hash").distinct()
-    judged = split_join(tokens, counts, "hash").select("id", "key", F.struct("start", "end").alias("span"), (F.col("owners") <= max_owners).alias("own"))
+    tokens = found.filter(F.size("token") > 0).select("id", "key", F.explode("token").alias("t")).select("id", "key", "t.*").distinct()
+    own = ((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).alias("own")
+    judged = split_join(tokens, counts, "hash").select("id", "key", F.struct("start", "end").alias("span"), "base", own)
     per_doc = judged.groupBy(F.col("id").alias("of"), F.col("key").alias("of_key")).agg(
-        F.collect_list(F.when(F.col("own"), F.col("span"))).alias("owned"), F.count_if(~F.col("own")).alias("n_copied")
+        F.collect_list(F.when(F.col("own") & ~F.col("base"), F.col("span"))).alias("owned"),
+        F.count_if(~F.col("own") & ~F.col("base")).alias("n_copied"),
+        F.count_if(F.col("own") & F.col("base")).alias("n_base_own"),
+        F.count_if(~F.col("own") & F.col("base")).alias("n_base_copied"),
     )
     none = F.array().cast("array<struct<start:int,end:int>>")
+    counted = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_copied", "n_base_own", "n_base_copied")]
     return found.join(per_doc, (found["key"] == per_doc["of_key"]) & found["id"].eqNullSafe(per_doc["of"]), "left").select(
-        "id", "key", "assign", "access", "hex", F.coalesce("owned", none).alias("owned"), F.coalesce("n_copied", F.lit(0)).alias("n_copied")
+        "id", "key", "assign", "access", "hex", F.coalesce("owned", none).alias("owned"), *counted
     )
 
 
-def secrets(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_copied."""
-    found = scan(docs, F.col("doc_id"), F.col("text"), F.col("source"), max_owners)
+def secrets(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
+    """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_copied, n_base_own, n_base_copied."""
+    found = scan(docs, F.col("doc_id"), F.col("text"), F.col("source"), max_owners, max_repositories)
     base = F.concat(*(_marks(F.col(k), k) for k in KINDS[:3]))
     return found.select(
         F.col("id").alias("doc_id"),
@@ -156,7 +169,7 @@ def secrets(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.concat(base, _marks(F.col("owned"), "owned"))).alias("spans"),
         F.size("owned").cast("bigint").alias("n_owned"),
-        F.col("n_copied").cast("bigint").alias("n_copied"),
+        *(F.col(c).cast("bigint").alias(c) for c in ("n_copied", "n_base_own", "n_base_copied")),
     )
 
 
