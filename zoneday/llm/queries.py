@@ -61,7 +61,26 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ftrl_toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
-@query("op3_run_index")
+@query(
+    "op3_run_index",
+    """
+    with b as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+    blocks as (select doc_id, k, h[2 * k + 1 : 2 * k + 1422] as h from b, unnest(range(0, len(h) // 2 - 199, 512)) as u(k)),
+    starts as (select doc_id, k + i as pos, md5(h[2 * i + 1 : 2 * i + 400]) as bytes
+        from blocks, unnest(range(0, least(512, len(h) // 2 - 199))) as u(i)),
+    again as (select doc_id, pos from starts join (select bytes from starts group by 1 having count(*) > 1) using (bytes)),
+    marked as (select doc_id, pos, coalesce(pos > lag(pos) over (partition by doc_id order by pos) + 200, true) as fresh from again),
+    runs as (select doc_id, run, min(pos) as head, max(pos) + 200 as tail
+        from (select doc_id, pos, count_if(fresh) over (partition by doc_id order by pos) as run from marked) group by 1, 2),
+    cuts as (select doc_id, run, head, tail, coalesce(lag(tail) over (partition by doc_id order by run), 0) as prev from runs),
+    kept as (select doc_id, sum(tail - head) as n_removed, count(*) as n_spans,
+        string_agg(h[2 * prev + 1 : 2 * head], '' order by run) || any_value(h)[2 * max(tail) + 1 :] as rest
+        from cuts join b using (doc_id) group by 1)
+    select doc_id, cast(len(h) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+      coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(rest, h))) as kept_sha256
+    from b left join kept using (doc_id)
+    """,
+)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_index.remove_repeats(documents(spark, sf_dir))
 
@@ -88,7 +107,53 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extendible_index.exact_duplicates(documents(spark, sf_dir))
 
 
-@query("op7_ownership")
+# Letters of either case are written out: what "ignore case" takes in beyond A-Z differs between engines.
+_ASSIGN = "|".join(
+    "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in name) for name in ("password", "passwd", "secret", "token", "api_?key")
+)
+_ASSIGN = rf"""({_ASSIGN})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_ONE_CHARACTER = "|".join(f"{chr(c)}{{6}}" for c in range(0x2D, 0x7B) if chr(c).isalnum() or chr(c) in "_-")
+
+
+def _matches(kind: str, pattern: str, wanted: str) -> str:
+    """SQL: where the pattern's leftmost matches lie, from the lengths of the pieces between them."""
+    return f"""
+    {kind}_found as (select doc_id, source, place, hit, sum(len(gap) + len(hit)) over (partition by doc_id order by place) as past
+        from (select doc_id, source, unnest(hits) as hit, unnest(gaps[: len(hits)]) as gap, unnest(range(len(hits))) as place
+            from (select doc_id, source, regexp_extract_all(t, '{pattern}') as hits, string_split_regex(t, '{pattern}') as gaps from d))),
+    {kind}_spans as (select doc_id, source, hit, cast(past - len(hit) as bigint) as start, cast(past as bigint) as past from {kind}_found where {wanted})"""
+
+
+@query(
+    "op7_ownership",
+    f"""
+    with d as (select doc_id, coalesce(source, '') as source, coalesce(text, '') as t from documents),
+    {_matches("assign", _ASSIGN, f"len(regexp_extract(hit, '{_ASSIGN}', 2)) >= 12")},
+    {_matches("access", "AKIA[A-Z0-9]+", "len(hit) >= 18")},
+    {_matches("hex", "[0-9a-f]+", "len(hit) >= 16")},
+    {_matches("token", "[A-Za-z0-9_-]+", "len(hit) >= 20")},
+    base as (
+        select *, 0 as rank, 'assign' as kind, regexp_extract(hit, '{_ASSIGN}', 2) as value from assign_spans
+        union all select *, 1, 'access', hit from access_spans
+        union all select *, 2, 'hex', hit from hex_spans),
+    live as (select *, 3 as rank, 'owned' as kind, hit as value from token_spans
+        where regexp_matches(hit, '[A-Za-z]') and regexp_matches(hit, '[0-9][^0-9]*[0-9]') and not regexp_matches(hit, '{_ONE_CHARACTER}')),
+    candidate as (select * from base union all select * from live),
+    held as (select value, count(distinct split_part(source, '/', 1)) <= 2 and count(distinct source) <= 16 as own from candidate group by 1),
+    judged as (select * from candidate join held using (value)),
+    spans as (select * from judged where rank < 3 or own),
+    counted as (select doc_id,
+        count_if(rank = 0) as n_assign, count_if(rank = 1) as n_access, count_if(rank = 2) as n_hex, count_if(rank = 3 and own) as n_owned,
+        count_if(rank = 3 and not own) as n_copied, count_if(rank < 3 and own) as n_base_own, count_if(rank < 3 and not own) as n_base_copied
+        from judged group by 1),
+    listed as (select doc_id, string_agg(kind || ':' || start || ':' || past, ',' order by start, rank, past) as spans,
+        string_agg(kind || ':' || start || ':' || past, ',' order by start, rank, past) filter (where rank < 3) as base
+        from spans group by 1)
+    select doc_id, sha256(coalesce(base, '')) as base_sha256, coalesce(listed.spans, '') as spans,
+      {", ".join(f"cast(coalesce({c}, 0) as bigint) as {c}" for c in ("n_assign", "n_access", "n_hex", "n_owned", "n_copied", "n_base_own", "n_base_copied"))}
+    from d left join counted using (doc_id) left join listed using (doc_id)
+    """,
+)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ownership.secrets(documents(spark, sf_dir))
 
@@ -100,12 +165,42 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_trie_join")
+@query(
+    "op9_trie_join",
+    r"""
+    with recursive d as (select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+    s as (select distinct doc_id, array_to_string(w[i : i + 4], ' ') as shingle
+        from d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as u(i) where len(w) > 0),
+    sizes as (select doc_id, count(*) as n from s group by 1),
+    shared as (select a.doc_id as a, b.doc_id as b, count(*) as n_shared from s a join s b using (shingle) where a.doc_id <> b.doc_id group by 1, 2),
+    links as (select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * n_shared >= 75 * (x.n + y.n - n_shared)),
+    reach(doc_id, other) as (select a, b from links union select r.doc_id, l.b from reach r join links l on l.a = r.other),
+    lowest as (select doc_id, min(other) as other from reach group by 1)
+    select doc_id, coalesce(n, 0) as n_shingles, least(doc_id, coalesce(other, doc_id)) as component_id
+    from d left join sizes using (doc_id) left join lowest using (doc_id)
+    """,
+)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_join.near_duplicates(documents(spark, sf_dir))
 
 
-@query("op10_nn_descent")
+@query(
+    "op10_nn_descent",
+    """
+    with recursive v as (select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+        where label is not null and embedding is not null
+          and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links as (select a.vec_id as a, b.vec_id as b from v a join v b using (label)
+        where a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.93),
+    reach(vec_id, other) as (select a, b from links union select r.vec_id, l.b from reach r join links l on l.a = r.other),
+    lowest as (select vec_id, min(other) as other from reach group by 1),
+    linked as (select a as vec_id, count(*) as n from links group by 1)
+    select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(other, vec_id)) as component_id,
+      vec_id = least(vec_id, coalesce(other, vec_id)) as kept
+    from embeddings left join linked using (vec_id) left join lowest using (vec_id)
+    """,
+)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.near_duplicates(embeddings(spark, sf_dir))
 
