@@ -11,6 +11,7 @@ from zoneday import fixed_values as fv
 from zoneday.operators import checks, geometry
 from zoneday.plans import jobs
 from zoneday.plans import weather as plans
+from zoneday.sources import tables
 
 CLAIM_HEAD = ",".join(n.replace(".", " ") for n in fv.CLAIM_COLUMNS)
 
@@ -118,3 +119,11 @@ def test_layers_panels_and_gate(spark, tmp_path):
     postal = jobs.build_postal(spark, p("px"), made, eras, s2, p("postal"))
     assert postal.count() == 4 and postal.filter("tmax is null").count() == 2
     assert postal.filter("zone_id = '77002'").first().county_fips == "48003"
+
+    # a panel that lacks an era is not published; the old one stays
+    more = eras.unionAll(spark.createDataFrame([("zcta530", start + timedelta(days=2), start + timedelta(days=3))], eras.schema))
+    with pytest.raises(checks.GateFailed, match="zcta530: days"):
+        jobs.build_postal(spark, p("px"), made, more, s2, p("postal"))
+    assert tables.read_panel(spark, p("postal")).count() == 4
+    # the published vintages are the eras where none are given
+    assert [(r.era, str(r.start_date)) for r in plans.vintage_eras(spark).collect()] == [("zcta510", "2010-01-01"), ("zcta520", "2020-01-01")]

@@ -63,6 +63,12 @@ def test_postal_layers(spark, made, tmp_path):
     }
     assert {tuple(r) for r in out["era_sets"].collect()} == {("77001", "both"), ("77002", "only_first")}
     assert out["no_county"].isEmpty()
+    # a vintage's own id column wins over the general names
+    both = square("77001", -99.9, 30.1, 0.3).replace('"GEOID":', '"ZCTA5CE20": "77009", "GEOID":')
+    assert "ZCTA5CE20" in both
+    (tmp_path / "c.json").write_text(both)
+    own = jobs.PostalLayerFiles({"zcta520": str(tmp_path / "c.json")}, p("counties.json"), f.county_meta, p("postal_meta_own"))
+    assert [r.zone_id for r in jobs.build_postal_layers(spark, own, band=(1, 1))["meta"].collect()] == ["77009"]
     with pytest.raises(checks.GateFailed, match="zcta520: areas"):
         jobs.build_postal_layers(spark, files, band=(2, 3))
 
@@ -115,3 +121,15 @@ def test_plan_downloads(spark, tmp_path):
     blocks = {tuple(r) for r in out["blocks"].collect()}
     assert blocks == {("tmax", date(2020, 12, 31), date(2021, 1, 2)), ("tmax", date(2021, 1, 4), date(2021, 1, 4)), ("tmin", date(2020, 12, 29), date(2021, 1, 4))}
     assert out["requests"].filter(F.col("var") == "tmin").count() == 2 and out["retry"].count() == 1
+    assert out["invalid"].isEmpty()
+
+
+def test_invalid_files_are_asked_for_again(spark, tmp_path):
+    shapes = {"20201229": (3, 4, 12), "20201230": (2, 4, 8), "20201231": (3, 4, 11), "20210101": (None, None, 0), "20210102": (None, None, 5)}
+    for day, (nrows, ncols, cells) in shapes.items():
+        (tmp_path / f"grid_tmax_us_25m_{day}.bil").write_bytes(b"abcd" * cells)
+        if nrows:
+            (tmp_path / f"grid_tmax_us_25m_{day}.hdr").write_text(f"NROWS {nrows}\nNCOLS {ncols}\n")
+    out = jobs.plan_downloads(spark, str(tmp_path), ["tmax"], date(2020, 12, 29), date(2021, 1, 2), min_shape=(3, 4))
+    assert {r.path[-12:-4] for r in out["invalid"].collect()} == {"20201230", "20201231"}  # the empty one is missing without a word
+    assert [tuple(r) for r in out["blocks"].collect()] == [("tmax", date(2020, 12, 30), date(2021, 1, 1))]

@@ -101,6 +101,11 @@ def check_era_shape(
         .join(want, "era", "left")
         .join(shape_stats(df, zone, day, ["era"]), "era", "left")
     )
+    return era_results(one)
+
+
+def era_results(one: DataFrame) -> DataFrame:
+    """The era gate over one row of counts per era, with the wanted numbers in ``_days`` and ``_zones``."""
     named = lambda what: F.concat(F.col("era"), F.lit(f": {what}"))
     col = F.col
     span = (col("first_day") == col("start_date")) & (col("last_day") == col("end_date"))
@@ -337,8 +342,11 @@ def check_spot(
 
 def check_band(df: DataFrame, lo: int, hi: int, label: str, severity: str = "error") -> DataFrame:
     """Row count inside a band; ``severity='warning'`` reports without failing the gate."""
-    one = df.agg(F.count(F.lit(1)).alias("n"))
-    return _rows(one, [_result(label, F.col("n").between(lo, hi), F.col("n"), f"{lo}..{hi}", severity)])
+    return band_results(df.agg(F.count(F.lit(1)).alias("n")), "n", lo, hi, label, severity)
+
+
+def band_results(one: DataFrame, column: str, lo: int, hi: int, label: str, severity: str = "error") -> DataFrame:
+    return _rows(one, [_result(label, F.col(column).between(lo, hi), F.col(column), f"{lo}..{hi}", severity)])
 
 
 def check_count(one: DataFrame, column: str, label: str, severity: str = "error") -> DataFrame:

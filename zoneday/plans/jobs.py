@@ -164,25 +164,31 @@ def build_county_zone(
 
 
 def build_postal(
-    spark: SparkSession, extracts: str, meta: DataFrame, eras: DataFrame, s: weather_plans.PanelSettings, out: str, csv: str | None = None
+    spark: SparkSession,
+    extracts: str,
+    meta: DataFrame,
+    eras: DataFrame | None,
+    s: weather_plans.PanelSettings,
+    out: str,
+    csv: str | None = None,
 ) -> DataFrame:
     """The postal-area panel over all eras from files ``{var}_{era}_{YYYYMM}.csv``; returns the written panel.
 
-    With ``csv`` a CSV copy goes there, and the sizes of both are shown.
+    Without ``eras`` the published vintages are taken.  The panel is judged
+    while it is written beside its place, era by era, and takes its place by
+    rename if every era has its zones on its days; a number of rows outside
+    the usual band is shown as a warning.  With ``csv`` a CSV copy goes there,
+    and the sizes of both are shown.
     """
+    eras = weather_plans.vintage_eras(spark) if eras is None else eras
     long = tables.read_extracts(spark, extracts, s.variables, "zcta5", r"[a-z0-9]+_\d{6}", with_period=True)
     long = long.withColumn("era", F.substring_index("period", "_", 1)).withColumnRenamed("zcta5", "zone_id")
-    panel = materialize(weather_plans.era_panel(long.drop("period"), meta, eras, s), "postal-panel")
-    checks.enforce(
-        keys.stack(
-            [
-                checks.check_vintage(panel, eras),
-                checks.check_era_shape(panel, eras, meta),
-                checks.check_band(panel, *fv.ROW_COUNT_BAND, "postal rows", "warning"),
-            ]
-        )
-    )
-    sinks.write_panel(panel, out, "zone_id")
+    panel = weather_plans.era_panel(long.drop("period"), meta, eras, s)
+    areas = meta.select("era", "zone_id").distinct().groupBy("era").agg(F.count(F.lit(1)).alias("n"))
+    # the eras are a handful; one without areas must still show up and fail
+    spans = eras.join(areas, "era", "left").select("era", F.coalesce("n", F.lit(0)).alias("n"), "start_date", "end_date")
+    wanted = [audit.Era(*r) for r in spans.orderBy("start_date", "era").collect()]
+    audit.publish(spark, [audit.stage_panel(panel, out, audit.Audit("postal", "zone_id", eras=wanted, band=fv.ROW_COUNT_BAND))])
     if csv:
         sinks.copy_as_csv(spark, out, csv, ["zone_id", "date"]).show(truncate=False)
     return tables.read_panel(spark, out)
@@ -211,7 +217,10 @@ def build_postal_layers(
     county_edges = geometry.ring_edges(geometry.valid_rings(counties))
     made = []
     for era, path in f.areas.items():
-        edges = geometry.ring_edges(geometry.valid_rings(polygons.read_polygons(spark, path)))
+        # a vintage's layer names its areas in a column of its own
+        own = [v[3] for v in fv.VINTAGES if v[0] == era]
+        names = {**polygons.ID_ALTERNATES, "zone_id": (*own, *polygons.ID_ALTERNATES["zone_id"])}
+        edges = geometry.ring_edges(geometry.valid_rings(polygons.read_polygons(spark, path, alternates=names)))
         made.append(weather_plans.postal_metadata(edges, county_edges, county_meta, era))
     meta = materialize(keys.stack(made), "postal-meta")
     results = [checks.check_band(meta.filter(F.col("era") == era), *band, f"{era}: areas") for era in f.areas]
@@ -295,12 +304,28 @@ def build_heat_index(spark: SparkSession, tmax_csv: str, humidity_csv: str, stat
 
 
 def plan_downloads(
-    spark: SparkSession, rasters_dir: str, variables: Sequence[str], start: date, end: date, failures: DataFrame | None = None
+    spark: SparkSession,
+    rasters_dir: str,
+    variables: Sequence[str],
+    start: date,
+    end: date,
+    failures: DataFrame | None = None,
+    min_shape: tuple[int, int] = fv.MIN_RASTER_SHAPE,
 ) -> dict[str, DataFrame]:
-    """What the archive holds and lacks: inventory, missing blocks, requests by calendar year, and days to retry."""
-    catalog = materialize(rasters.raster_catalog(spark, rasters_dir, variables, start, end), "catalog")
+    """What the archive holds and lacks: inventory, missing blocks, requests by calendar year, and days to retry.
+
+    A raw grid shorter than its header says, or one with fewer rows or columns
+    than ``min_shape``, counts as missing and is returned as ``invalid``.
+    Empty files count as missing too; the reader passes over them, so they are
+    not returned.  A file without a header counts as whole.
+    """
+    found = materialize(rasters.shaped_catalog(spark, rasters_dir, variables, start, end, "bil|tif"), "catalog")
+    whole = F.coalesce(F.col("length") >= F.col("nrows") * F.col("ncols") * 4, F.lit(True))
+    shape = {c: F.coalesce(c, F.lit(n)) for c, n in zip(("nrows", "ncols"), min_shape, strict=True)}
+    catalog = materialize(manifest.valid_files(found.filter(whole).withColumns(shape), 1, min_shape), "valid-files")
     blocks = dense.gap_blocks(catalog, dense.variable_table(spark, variables), start, end)
     out = {"inventory": manifest.inventory(catalog, start, end), "blocks": blocks, "requests": dense.year_chunks(blocks)}
+    out["invalid"] = keys.unmatched(found, catalog, "path")
     if failures is not None:
         out["retry"] = manifest.retry_manifest(failures)
     return out

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneday import fixed_values as fv
@@ -90,6 +90,11 @@ def parent_panel(
     )
 
 
+def vintage_eras(spark: SparkSession, vintages: Sequence[tuple[str, date, date, str]] = fv.VINTAGES) -> DataFrame:
+    """(era, start_date, end_date) of the published postal vintages."""
+    return spark.createDataFrame([v[:3] for v in vintages], "era string, start_date date, end_date date")
+
+
 def era_panel(
     long: DataFrame, meta: DataFrame, eras: DataFrame, s: PanelSettings, zone: str = "zone_id"
 ) -> DataFrame:

@@ -76,12 +76,14 @@ def grid_headers(spark: SparkSession, directory: str, variables: Sequence[str])
     return named.select("var", "date", size("nrows").alias("nrows"), size("ncols").alias("ncols")).filter("var <> '' and date is not null")
 
 
-def shaped_catalog(spark: SparkSession, directory: str, variables: Sequence[str], start: date, end: date) -> DataFrame:
-    """The catalog of raw grids with the shape that each one's header names (NULL without a header).
+def shaped_catalog(
+    spark: SparkSession, directory: str, variables: Sequence[str], start: date, end: date, ext: str = "bil"
+) -> DataFrame:
+    """The catalog of grids with the shape that each one's header names (NULL without a header).
 
     ``manifest.valid_files`` with ``min_shape`` sets implausible ones aside.
     """
-    catalog = raster_catalog(spark, directory, variables, start, end, "bil")
+    catalog = raster_catalog(spark, directory, variables, start, end, ext)
     return lookup(catalog, grid_headers(spark, directory, variables), ["var", "date"])
 
 
