@@ -31,7 +31,7 @@ def passed(df):
 def test_counts_equal_the_gates(spark, tmp_path):
     rules = {"v < 2": (F.col("v") >= 2, 0.0), "few ones": (F.col("v") == 1, 0.5)}
     mean = audit.Mean("mean of z1", F.col("zone") == "z1", "v", 1.0, 1.0)
-    bad = [*dense(), dense()[0], ("z9", date(2021, 1, 1), 5.0), (None, None, None)]
+    bad = [*dense(), dense()[0], dense()[0], ("z9", date(2021, 1, 1), 5.0), (None, None, None)]
     for rows in (dense(), bad, []):
         df = spark.createDataFrame(rows, SCHEMA)
         s = audit.stage_panel(df, str(tmp_path / "panel"), wanted(rules=rules, means=[mean], totals=["v"]))

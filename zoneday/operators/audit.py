@@ -89,14 +89,14 @@ def _metrics(a: Audit) -> list[Column]:
     if a.eras:
         out.append(one(~F.coalesce(F.col("era").isin([e.name for e in a.eras]), F.lit(False))).alias("n_no_era"))
     else:
-        out += [one(F.col("_nth") > 1).alias("n_twice"), different(a.zone).alias("n_zones"), different(a.day).alias("n_days")]
+        # a key held by several rows counts once
+        out += [one(F.col("_nth") == 2).alias("n_twice"), different(a.zone).alias("n_zones"), different(a.day).alias("n_days")]
         out.append(one(outside(a.start, a.end)).alias("n_outside"))
     for i, e in enumerate(a.eras):
         own = F.col("era") == e.name
         day = F.when(own, F.col(a.day))
         out += [
             one(own).alias(f"e{i}_rows"),
-            # a key held by several rows counts once
             one(own & (F.col("_nth") == 2)).alias(f"e{i}_twice"),
             different(F.when(own, F.col(a.zone))).alias(f"e{i}_zones"),
             different(day).alias(f"e{i}_days"),

@@ -231,13 +231,22 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     share of the different values, however many rows have one of them.
     Returns ``(group, total, q array<double>)`` in the order of ``probs``.
     """
+    return _ranked(_value_ranges(df, group, value), probs).select(F.col("_g").alias(group), F.col("_total").alias("total"), "q")
+
+
+def _value_ranges(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(_g, _v, _n, _bin): the different values of each group, counted and dealt out by range; written once."""
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     # the range is a column of the written table, so it is the same whoever reads it
-    binned = materialize(counts.repartitionByRange("_g", "_v").withColumn("_bin", F.spark_partition_id()), "value-ranges")
+    return materialize(counts.repartitionByRange("_g", "_v").withColumn("_bin", F.spark_partition_id()), "value-ranges")
+
+
+def _ranked(binned: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(_g, _total, q) of counted values."""
     # a handful of rows per group from here on
     before = Window.partitionBy("_g").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     per_bin = (
@@ -275,7 +284,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     lo = F.max(F.when(F.col("_rank") == F.floor("_pos"), F.col("_v")))
     hi = F.max(F.when(F.col("_rank") == F.ceil("_pos"), F.col("_v")))
     each = found.groupBy("_g", "_total", "_i").agg((lo + (hi - lo) * F.max(F.col("_pos") - F.floor("_pos"))).alias("_q"))
-    return each.groupBy(F.col("_g").alias(group), F.col("_total").alias("total")).agg(
+    return each.groupBy("_g", "_total").agg(
         F.array(*[F.max(F.when(F.col("_i") == i, F.col("_q"))) for i in range(len(probs))]).alias("q")
     )
 
@@ -284,30 +293,27 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers, mean, outlier count.
 
     Whiskers end at the last value within 1.5 interquartile ranges of the box.
-    The quartiles are exact ranks, found in ranges of values.
+    The quartiles are exact ranks, found in ranges of values.  Every number
+    comes from the counted values, so ``df`` is read once and equal values are
+    one row from there on.
     """
-    # read several times below, so written once; usually an aggregate of a panel
-    df = materialize(df.filter(F.col(value).isNotNull()).select(group, value), "box")
-    quart = exact_quantiles(df, group, value, [0.25, 0.5, 0.75]).select(group, "q")
-    with_q = lookup(df, quart, group, "inner")
-    fenced = with_q.select(
-        group,
-        F.col(value).alias("_v"),
-        F.get("q", 0).alias("q1"),
-        F.get("q", 1).alias("median"),
-        F.get("q", 2).alias("q3"),
-        outlier_test(F.col(value), F.get("q", 0), F.get("q", 2)).alias("_out"),
-    )
-    inner = F.when(~F.col("_out"), F.col("_v"))
-    return fenced.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max("q1").alias("q1"),
-        F.max("median").alias("median"),
-        F.max("q3").alias("q3"),
-        F.min(inner).alias("whisker_low"),
-        F.max(inner).alias("whisker_high"),
-        F.avg("_v").alias("mean"),
-        F.count_if("_out").alias("n_outliers"),
+    counted = _value_ranges(df, group, value)
+    quart = _ranked(counted, [0.25, 0.5, 0.75]).select("_g", "q")
+    n, v = F.col("_n"), F.col("_v")
+    out = outlier_test(v, F.get("q", 0), F.get("q", 2))
+    return (
+        lookup(counted, quart, "_g", "inner")
+        .groupBy(F.col("_g").alias(group))
+        .agg(
+            F.sum(n).alias("n"),
+            F.max(F.get("q", 0)).alias("q1"),
+            F.max(F.get("q", 1)).alias("median"),
+            F.max(F.get("q", 2)).alias("q3"),
+            F.min(F.when(~out, v)).alias("whisker_low"),
+            F.max(F.when(~out, v)).alias("whisker_high"),
+            (F.sum(v * n) / F.sum(n)).alias("mean"),
+            F.sum(F.when(out, n).otherwise(0)).alias("n_outliers"),
+        )
     )
 
 
