@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 
 import numpy as np
 import pytest
@@ -141,6 +142,20 @@ def test_sparse_weights():
     assert len(model.places) < 100 and model.values[list(model.places).index(7777)] > 0
 
 
+def test_toxicity_learns_in_a_task(spark, monkeypatch):
+    """Only the weights reach the driver, and they are those that learning over the rows in order of their ids gives."""
+    rows = [(i, f"plain words number {i % 7} {'vile slur' if i % 3 == 0 else 'kind talk'} here {i % 5}", int(i % 3 == 0)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int").repartition(5)
+    model = ftrl_toxicity.fit(docs.drop("label"), docs.select("doc_id", "label"))
+    place, text = ftrl_toxicity.features([t for _, t, _ in rows])
+    want = ftrl_toxicity.train([(y, np.unique(place[text == i])) for i, _, y in rows])
+    assert len(model.places) and model.bias == want.bias
+    assert model.places.tolist() == want.places.tolist() and model.values.tolist() == want.values.tolist()
+
+    monkeypatch.setattr(ftrl_toxicity, "train", lambda examples: ftrl_toxicity.Model(float(os.getpid()), np.zeros(0, np.int64), np.zeros(0)))
+    assert ftrl_toxicity.fit(docs.drop("label"), docs.select("doc_id", "label")).bias != os.getpid()
+
+
 def test_sample_is_bounded_for_repeated_ids(spark):
     from zoneday.llm.samples import labelled_sample
 

@@ -5,7 +5,8 @@ pairs with one word skipped, hashed into 2**20 places.  FTRL-proximal learns
 one weight per place with a rate of its own; its L1 term leaves most at zero,
 so what reaches the tasks is a short list of places and weights.
 
-Learning uses a bounded sample of labelled rows (``SAMPLE_ROWS``); scoring
+Learning uses a bounded sample of labelled rows (``SAMPLE_ROWS``); as it goes
+row by row, one task does it, and only the weights reach the driver.  Scoring
 reads every whole text where it lies and shuffles nothing.  Null and empty
 texts get the score of the bias alone.  Null labels teach nothing; where a
 document has several labels the smallest counts; without any usable label
@@ -108,21 +109,26 @@ def train(examples: list[tuple[int, np.ndarray]], epochs: int = 6, seed: int = 7
     used = np.flatnonzero(counts > 1)
     number = np.full(1 << BITS, -1, dtype=np.int32)
     number[used] = np.arange(len(used))
-    local = []
-    for label, places in examples:
-        at = number[places]
-        local.append((label, np.append(at[at >= 0], np.int32(len(used)))))
+    ends = np.cumsum([np.count_nonzero(counts[places] > 1) + 1 for _, places in examples])
+    local = np.full(ends[-1], len(used), dtype=np.int32)  # all examples in one array; the last place of each is the bias
+    starts = np.append(0, ends[:-1])
+    for (_, places), a, b in zip(examples, starts, ends, strict=True):
+        local[a : b - 1] = number[places[counts[places] > 1]]
     ftrl, rng = Ftrl(len(used) + 1), np.random.default_rng(seed)
     for _ in range(epochs):
-        for i in rng.permutation(len(local)):
-            ftrl.learn(local[i][1], float(local[i][0]))
+        for i in rng.permutation(len(examples)):
+            ftrl.learn(local[starts[i] : ends[i]], float(examples[i][0]))
     w = ftrl.weights(np.arange(len(used)))
     live = np.flatnonzero(w)
     return Model(float(ftrl.weights(np.array([len(used)]), free=True)[0]), used[live], w[live])
 
 
 def fit(docs: DataFrame, labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Learns from at most ``rows`` of ``labelled`` (doc_id, label 0/1); tasks extract the features."""
+    """Learns from at most ``rows`` of ``labelled`` (doc_id, label 0/1).
+
+    Tasks extract the features, one task learns from them; the driver gets a
+    row with the model, whatever the size of the sample.
+    """
 
     def run(batches):
         for batch, texts, _ in flat.text_rows(batches, "text"):
@@ -133,9 +139,18 @@ def fit(docs: DataFrame, labelled: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
             sets = [place[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], ["doc_id", "label", "places"])
 
+    def learn(batches):
+        examples = [(y, np.frombuffer(p.as_buffer(), dtype=np.uint32)) for b in batches for y, p in zip(b.column(1).to_pylist(), b.column(2), strict=True)]
+        model = train(examples)
+        parts = [model.places.astype(np.int64).tobytes(), model.values.astype(np.float64).tobytes()]
+        yield pa.RecordBatch.from_arrays([pa.array([model.bias], pa.float64()), *(pa.array([x], pa.binary()) for x in parts)], ["bias", "places", "values"])
+
     sample = labelled_sample(docs, labelled.select("doc_id", F.col("label").cast("int").alias("label")), rows)
-    got = sample.mapInArrow(run, "doc_id bigint, label int, places binary").toPandas().sort_values("doc_id", kind="stable")
-    return train([(y, np.frombuffer(p, dtype=np.uint32)) for y, p in zip(got["label"], got["places"], strict=True)])
+    sets = sample.mapInArrow(run, "doc_id bigint, label int, places binary").repartition(1).sortWithinPartitions("doc_id")
+    made = sets.mapInArrow(learn, "bias double, places binary, values binary").collect()
+    if not made:  # a plan without rows may run no task
+        return train([])
+    return Model(made[0].bias, np.frombuffer(made[0].places, dtype=np.int64), np.frombuffer(made[0].values, dtype=np.float64))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
