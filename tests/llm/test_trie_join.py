@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from zoneday.llm import graph, queries, trie_join
+from zoneday.llm import flat, graph, queries, trie_join
 
 
 def shingles(text, k=5):
@@ -134,3 +134,21 @@ def test_components(spark):
         label[b] = a
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+
+
+def test_sets_of_many_texts_need_little_memory(monkeypatch):
+    """Texts are hashed a few at a time: the same sets, by short tables of powers; one long text is hashed whole."""
+    monkeypatch.setattr(flat, "_field", {})
+    texts = [b"", b"one two", *(b" ".join(b"w%d" % (i * j % 97) for j in range(40 + i)) for i in range(900)), b"", b"last one of all these texts"]
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    bounds = np.r_[0, np.cumsum([len(t) for t in texts])]
+    assert len(data) > 4 * trie_join.PIECE
+    h, t = trie_join.shingle_sets(data, bounds)
+    assert sum(p.nbytes for p in flat._field.values()) < 1 << 24
+    edge = np.searchsorted(t, np.arange(len(texts) + 1))
+    assert (np.diff(t) >= 0).all() and edge[-1] == len(h)
+    for i in (0, 1, 2, 300, 700, 901, 902, len(texts) - 1):
+        alone, _ = trie_join.shingle_sets(np.frombuffer(texts[i], dtype=np.uint8), np.array([0, len(texts[i])]))
+        assert alone.tolist() == h[edge[i] : edge[i + 1]].tolist()
+    long = np.frombuffer(b"a b c d e f g " * 100_000, dtype=np.uint8)
+    assert len(trie_join.shingle_sets(long, np.array([0, len(long)]))[0]) == 7

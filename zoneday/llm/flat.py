@@ -162,15 +162,16 @@ def _mod(x: np.ndarray) -> np.ndarray:
     return np.where(x >= p, x - p, x)
 
 
+FIELD_CELLS = (1 << 18) + 1  # powers kept at least; a worker keeps four lists of them
 _field: dict[int, np.ndarray] = {}
 
 
 def field_powers(base: int, n: int) -> np.ndarray:
     """base**i modulo PRIME for i < n."""
     if base not in _field or len(_field[base]) < n:
-        p = np.ones(1, dtype=np.uint64)
-        while len(p) < max(n, CHUNK_CHARS + 1):
-            p = np.concatenate([p, _mod(p * np.uint64(pow(base, len(p), PRIME)))])
+        size, p = max(n, FIELD_CELLS), np.ones(1, dtype=np.uint64)
+        while len(p) < size:
+            p = np.concatenate([p, _mod(p[: size - len(p)] * np.uint64(pow(base, len(p), PRIME)))])
         _field[base] = p
     return _field[base][:n]
 

@@ -46,6 +46,7 @@ from zoneday.session import materialize
 WORDS = 5
 PERCENT = 75
 CHUNK = 1 << 20
+PIECE = 1 << 18  # bytes of whole texts that are hashed at once
 PART = 1 << 19  # shingles of one hash range
 CELLS = 1 << 21
 FEW = 32
@@ -59,7 +60,21 @@ _SALT = np.array([0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingle hashes of each text, sorted, and the text of each; data are UTF-8 bytes."""
+    """The distinct shingle hashes of each text, sorted, and the text of each; data are UTF-8 bytes.
+
+    Hashing holds some ten numbers a byte, so it takes a few texts at a time.
+    """
+    hashes, owners, a = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while a < len(bounds) - 1:
+        b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + PIECE, side="right")) - 1)
+        h, t = _piece_sets(data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], words)
+        hashes.append(h)
+        owners.append(t + a)
+        a = b
+    return np.concatenate(hashes), np.concatenate(owners)
+
+
+def _piece_sets(data: np.ndarray, bounds: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     low = _LOWER[data]
     starts, ends = flat.runs(~_SPACE[low], bounds)
     word = flat.FieldHashes(low).of(starts, ends)
@@ -503,7 +518,9 @@ def _labelled(docs: DataFrame, words: int, percent: int, block: int = BLOCK, few
     texts = rows.join(wanted, ["k1", "k2"], "left_semi").select("text")
     sets = _read_sets(texts, words).select(F.concat_ws("/", F.hex("s1"), F.hex("s2"), "n").alias("node"), "shingles")
     sets = materialize(sets.groupBy("node").agg(F.min("shingles").alias("shingles")), "shingle-sets")
-    label = components(links(sets, frequencies(sets), percent, block, few))
+    # written first: contracting in the same tasks would take two Python workers a task
+    found_links = materialize(links(sets, frequencies(sets), percent, block, few), "node-links")
+    label = components(found_links)
     classes = found.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = materialize(named, "near-classes")
